@@ -36,9 +36,11 @@ def sound_box(document: Column, path: str) -> Column:
     return F.coalesce(four & (sides[0] <= sides[2]) & (sides[1] <= sides[3]), F.lit(False))
 
 
-def locator_problem(locator: Column) -> Column:
-    """Name the first rule the locator text breaks; null when it breaks none."""
-    document = F.try_parse_json(locator)
+def locator_problem(document: Column) -> Column:
+    """Name the first rule a locator breaks; null when it breaks none.
+
+    `document` is the locator as `try_parse_json` gives it.
+    """
 
     def bad_count(path):
         return part(document, path).isNotNull() & ~F.coalesce(whole_number(document, path) >= 1, F.lit(False))

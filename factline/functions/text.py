@@ -64,10 +64,10 @@ OTHER_MEDIA = "application/octet-stream"
 # Possessive runs keep the match linear on long lines; the second head alternative is the
 # blank item, which the grammar allows.
 _HEAD = (
-    rf"(?:[{SPACE}]*+([{WORD}-](?:[{WORD} -]*[{WORD}-])?)[{SPACE}]*+"
+    rf"(?:[{SPACE}]*+([{WORD}-](?:[{WORD}-]++| ++(?=[{WORD}-]))*+)[{SPACE}]*+"
     rf"|[{SPACE}&&[^ ]]*+ [{SPACE}]*+)"
 )
-_NUMBER = r"(-?\p{Nd}+(?:\.\p{Nd}+)?)"
+_NUMBER = r"(-?\p{Nd}++(?:\.\p{Nd}++)?+)"
 OBSERVATION_LINE = (
     rf"\A{_HEAD}[,：:][{SPACE}]*+{_NUMBER}[{SPACE}]*+(?:,[{SPACE}]*+(.*))?\z"
 )
@@ -84,26 +84,21 @@ def lines(text: Column) -> Column:
     return F.split(text, LINE_END)
 
 
-def is_observation(line: Column) -> Column:
-    return line.rlike(OBSERVATION_LINE)
+def cut_observation(line: Column) -> Column:
+    """Item, number and category with NUL between them; the line itself when it is no observation.
 
+    One pass of the expression tells whether the line matches (the result differs) and gives
+    all three parts.
+    """
+    return F.regexp_replace(line, OBSERVATION_LINE, "$1\0$2\0$3")
 
-def observation_item(line: Column) -> Column:
-    return F.regexp_extract(line, OBSERVATION_LINE, 1)
 
-
-def observation_value(line: Column) -> Column:
-    number = F.regexp_extract(line, OBSERVATION_LINE, 2)
+def observation_parts(cut: Column) -> tuple[Column, Column, Column]:
+    parts = F.split(cut, "\0", 3)
+    number = parts[1]
     foreign, ascii_digits = _digit_tables()
-    return (
-        F.when(number.rlike(r"\A[-.0-9]+\z"), number)
-        .otherwise(F.translate(number, foreign, ascii_digits))
-        .cast("double")
-    )
-
-
-def observation_category(line: Column) -> Column:
-    return blank_to_null(F.regexp_extract(line, OBSERVATION_LINE, 3))
+    value = F.when(number.rlike(r"\A[-.0-9]+\z"), number).otherwise(F.translate(number, foreign, ascii_digits))
+    return parts[0], value.cast("double"), blank_to_null(parts[2])
 
 
 def blank_to_null(text: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factline.functions import locators
+from factline.functions.once import once
 
 # The columns of the published tables, all text.
 FIXED_COLUMNS = {
@@ -46,30 +47,30 @@ def fixed_schema(schema: T.StructType, logical: str) -> list[str]:
     return problems
 
 
-def check_evidence(evidence: DataFrame, assets: DataFrame, page_counts: DataFrame | None = None) -> DataFrame:
+def check_evidence(evidence: DataFrame, assets: DataFrame) -> DataFrame:
     """Evidence rows that break a rule.
 
-    `assets` has one row per `asset_id`; `page_counts` optionally gives `(asset_id, pages)`.
+    `assets` has one row per `asset_id`; where it has a column `pages`, locators are held
+    against that page count.
     """
-    known = assets.select("asset_id", F.lit(True).alias("_known"))
-    if page_counts is not None:
-        known = known.join(page_counts.select("asset_id", "pages"), "asset_id", "left")
-    else:
-        known = known.withColumn("pages", F.lit(None).cast("bigint"))
-    page = locators.whole_number(F.try_parse_json("locator_json"), "$.page")
+    pages = F.col("pages") if "pages" in assets.columns else F.lit(None)
+    known = assets.select("asset_id", F.lit(True).alias("_known"), pages.cast("bigint").alias("pages"))
+    document = F.col("_document")
+    page = locators.whole_number(document, "$.page")
     reason = (
         F.when(F.coalesce("evidence_id", F.lit("")) == "", "evidence id is empty")
         .when(F.col("_known").isNull(), "asset is not loaded")
         .when(F.col("quote").isNull(), "quote is not text")
         .otherwise(F.coalesce(
-            locators.locator_problem(F.col("locator_json")),
+            locators.locator_problem(document),
             F.when(page > F.col("pages"), "page exceeds the source"),
         ))
     )
+    parsed = once(evidence.join(known, "asset_id", "left"), _document=F.try_parse_json("locator_json"))
     return (
-        evidence.join(known, "asset_id", "left")
-        .select("evidence_id", "asset_id", "locator_json", reason.alias("reason"))
+        once(parsed, reason=reason)
         .filter(F.col("reason").isNotNull())
+        .select("evidence_id", "asset_id", "locator_json", "reason")
     )
 
 
@@ -122,10 +123,9 @@ def sound_path(path: Column) -> Column:
 
 def check_manifests(manifests: DataFrame, scope: str, schema_version: str) -> DataFrame:
     """Status of each manifest `(folder, text)`: `ok` or the first rule it breaks."""
-    m = F.from_json("text", MANIFEST_SCHEMA)
-    doc = F.try_parse_json("text")
+    m = F.from_json("text", MANIFEST_SCHEMA + ", _corrupt_record string")
     rules: list[tuple[Column, str]] = [
-        (F.col("_doc").isNull() | _bad(F.schema_of_variant("_doc").startswith("OBJECT<")), "contract invalid"),
+        (F.col("_m._corrupt_record").isNotNull() | ~F.ltrim("text").startswith("{"), "contract invalid"),
         (_bad(F.col("_m.schema_version") == schema_version), "contract invalid"),
         (_bad(F.col("_m.artifact_id").rlike(UUID)), "contract invalid"),
         (_bad(F.length("_m.scope_id") > 0), "contract invalid"),
@@ -149,13 +149,14 @@ def check_manifests(manifests: DataFrame, scope: str, schema_version: str) -> Da
     status = F.lit(None).cast("string")
     for broken, reason in reversed(rules):
         status = F.when(broken, reason).otherwise(status)
-    return manifests.withColumn("_m", m).withColumn("_doc", doc).select(
-        "folder", F.col("_m.artifact_id").alias("artifact_id"), F.coalesce(status, F.lit("ok")).alias("status")
+    return once(manifests.select("folder", "text"), _m=m).select(
+        "folder", F.when(F.col("_m._corrupt_record").isNull(), F.col("_m.artifact_id")).alias("artifact_id"),
+        F.coalesce(status, F.lit("ok")).alias("status")
     )
 
 
 def require_none(violations: DataFrame, what: str) -> None:
     """Strict mode: fail when a violations table has any row."""
-    example = violations.take(1)
-    if example:
-        raise ContractError(f"{what}: {example[0].asDict()}")
+    found = violations.agg(F.count(F.lit(1)).alias("rows"), F.first(F.struct(*violations.columns)).alias("example")).first()
+    if found["rows"]:
+        raise ContractError(f"{what}: {found['rows']} violations, such as {found['example'].asDict()}")

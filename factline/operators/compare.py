@@ -86,26 +86,29 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
-def profile(df: DataFrame, exact: bool = True) -> DataFrame:
-    """Rows, nulls, distinct values and range of every column, one output row per column.
+def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows, nulls, exact distinct values and range of every column, one output row per column.
 
-    Exact distinct counts shuffle each column's distinct values; pass `exact=False` for
-    sketches when only a wide, very large table's shape is wanted.
+    Each column is reduced to its values and their counts, then to one row. A columnar source
+    is read one column at a time and equal values are combined before the shuffle, so a
+    value that fills a third of the table costs nothing. Store a costly plan first.
     """
-    distinct = F.countDistinct if exact else F.approx_count_distinct
-    wide = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[a for i, c in enumerate(df.columns) for a in (
-            F.count_if(F.col(c).isNull()).alias(f"_null{i}"), distinct(c).alias(f"_distinct{i}"),
-            F.min(c).cast("string").alias(f"_min{i}"), F.max(c).cast("string").alias(f"_max{i}"))],
-    )
-    per_column = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col("_n").alias("rows"), F.col(f"_null{i}").alias("nulls"),
-                 F.col(f"_distinct{i}").alias("distinct_values"), F.col(f"_min{i}").alias("min_text"),
-                 F.col(f"_max{i}").alias("max_text"))
-        for i, c in enumerate(df.columns)
-    ])
-    return wide.select(F.inline(per_column))
+    reports = []
+    for name in columns or df.columns:
+        value = F.col("value")
+        counted = df.select(F.col(name).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        reports.append(counted.agg(
+            F.lit(name).alias("column_name"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(value.isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.count("value").alias("distinct_values"),
+            F.min("value").cast("string").alias("min_text"),
+            F.max("value").cast("string").alias("max_text"),
+        ))
+    stacked = reports[0]
+    for report in reports[1:]:
+        stacked = stacked.unionByName(report)
+    return stacked
 
 
 def coverage(df: DataFrame, group: list[str], period: str, key: str, old, new) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from factline.operators import checks, compare, observations, publish
 from factline.queries.registry import on_tables, query, table
 from factline.sources import files
-from factline.storage import fresh_path, keep
+from factline.storage import fresh_path, keep, spread
 
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
          "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -128,7 +128,7 @@ def text_observations(spark, sf_dir):
       SELECT concat('order-', l_orderkey), l_linenumber,
              concat('Lines of order ', l_orderkey, '\n', 'part ', l_partkey, ' : ', l_quantity, ', ', l_returnflag,
                     '\n', 'no further remarks')
-      FROM {lineitem}""")
+      FROM {lineitem}""", heavy=True)
     return observations.page_observations(lines)
 
 
@@ -146,7 +146,7 @@ PAYLOAD = """
 
 def payloads(spark, sf_dir):
     return on_tables(spark, sf_dir, f"SELECT event_id AS asset_id, PAYLOAD AS payload FROM {{events}}".replace(
-        "PAYLOAD", PAYLOAD.replace("{", "{{").replace("}", "}}")))
+        "PAYLOAD", PAYLOAD.replace("{", "{{").replace("}", "}}")), heavy=True)
 
 
 @query("q_lateral_evidence", f"""
@@ -253,7 +253,7 @@ MEDIA = "CASE WHEN n_chars > 2000 THEN 'application/pdf' WHEN n_chars > 500 THEN
 def replies(spark, sf_dir):
     reply = REPLY.replace("{nl}", "\\n").replace("{", "{{").replace("}", "}}")
     return on_tables(spark, sf_dir, f"""
-      SELECT concat('document-', doc_id) AS asset_id, {MEDIA} AS media_type, {reply} AS reply FROM {{documents}}""")
+      SELECT concat('document-', doc_id) AS asset_id, {MEDIA} AS media_type, {reply} AS reply FROM {{documents}}""", heavy=True)
 
 
 @query("q_model_sanitize", f"""
@@ -294,7 +294,7 @@ def model_extract(spark, sf_dir):
         head, markdown = body.split("Document:\n", 1)
         return json.dumps({"observations": [{"item": "characters", "value": len(markdown), "quote": head.split("\n")[1]}]})
 
-    documents = table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id").select(
         F.concat(F.lit("document-"), F.col("doc_id")).alias("asset_id"), F.lit("text/plain").alias("media_type"),
         F.col("text").alias("markdown"), "lang")
     requests = observations.model_requests(documents, REQUEST_PROMPT, "reader", "LANG")

@@ -110,8 +110,7 @@ RULES = f"""
   r AS (SELECT *, {RULES} AS reason FROM p)
   SELECT evidence_id, asset_id, locator_json, reason FROM r WHERE reason IS NOT NULL""")
 def locator_validation(spark, sf_dir):
-    assets = known_assets(spark, sf_dir)
-    return checks.check_evidence(event_evidence(spark, sf_dir), assets, assets)
+    return checks.check_evidence(event_evidence(spark, sf_dir), known_assets(spark, sf_dir))
 
 
 @query("q_evidence_orphans", f"""
@@ -165,7 +164,7 @@ def manifest_check(spark, sf_dir):
     """One manifest per order, with a fault for some priorities and states."""
     folder = FOLDER.replace("VARCHAR", "STRING")
     body = MANIFEST.replace(FOLDER, folder).replace("HASH", "sha2(CAST(o_orderkey AS STRING), 256)").replace("{", "{{").replace("}", "}}")
-    manifests = on_tables(spark, sf_dir, f"SELECT {folder} AS folder, {body} AS text FROM {{orders}}")
+    manifests = on_tables(spark, sf_dir, f"SELECT {folder} AS folder, {body} AS text FROM {{orders}}", heavy=True)
     return checks.check_manifests(manifests, "local", MANIFEST_VERSION)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factline.storage import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,11 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def on_tables(spark: SparkSession, sf_dir: str, sql: str, args=None) -> DataFrame:
-    """Run SQL that names the given tables as `{orders}` and so on."""
+KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id", "pages": "page_id"}
+
+
+def on_tables(spark: SparkSession, sf_dir: str, sql: str, args=None, heavy: bool = False) -> DataFrame:
+    """Run SQL that names the given tables as `{orders}` and so on.
+
+    `heavy` distributes tables that were written as few files before costly per-row work.
+    """
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
              "embeddings", "pages", "benchmark", "labels", "conversations"]
     used = {n: table(spark, sf_dir, n) for n in names if "{" + n + "}" in sql}
+    if heavy:
+        used = {n: spread(df, KEYS[n]) if n in KEYS else df for n, df in used.items()}
     return spark.sql(sql, args=args, **used)
 
 

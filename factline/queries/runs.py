@@ -9,7 +9,7 @@ from factline.plans import checkpoints, ingest, oplog
 from factline.plans.results import store_result
 from factline.queries.registry import ORACLES, on_tables, query, table
 from factline.sources import artifacts
-from factline.storage import fresh_path
+from factline.storage import fresh_path, spread
 
 _ROW = """'{"event_id":' || event_id || ',"event_type":"' || event_type || '","props":' || to_json(props)
        || ',"ts":"' || CAST(ts AS VARCHAR) || '","user_id":' || user_id || ',"value":' || CAST(value AS VARCHAR) || '}'"""
@@ -21,7 +21,7 @@ _TYPES = ('[["event_id","bigint"],["ts","timestamp_ntz"],["user_id","bigint"],["
   s AS (SELECT count(*) AS n, sum(CAST('0x' || substr(h, 1, 15) AS HUGEINT)) AS a, sum(CAST('0x' || substr(h, 16, 15) AS HUGEINT)) AS b FROM h)
   SELECT n AS rows, sha256('{_TYPES}' || ':' || n || ':' || CAST(a AS VARCHAR) || ':' || CAST(b AS VARCHAR)) AS digest FROM s""")
 def content_digest(spark, sf_dir):
-    return versions.content_digest(table(spark, sf_dir, "events"))
+    return versions.content_digest(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 @query("q_canonical_json", f"SELECT event_id, {_ROW} AS row_json FROM events")
@@ -159,4 +159,4 @@ ORACLES["q_catalog"] = " UNION ALL ".join(
 def udf_increment(spark, sf_dir):
     spark.udf.register("increment", F.udf(lambda n: None if n is None else n + 1, "bigint", useArrow=True))
     return on_tables(spark, sf_dir, """
-      SELECT l_orderkey, l_linenumber, increment(CAST(l_quantity AS BIGINT)) AS next_quantity FROM {lineitem}""")
+      SELECT l_orderkey, l_linenumber, increment(CAST(l_quantity AS BIGINT)) AS next_quantity FROM {lineitem}""", heavy=True)

@@ -36,3 +36,15 @@ def keep(df: DataFrame, label: str = "table", max_records_per_file: int = 5_000_
     path = fresh_path(df.sparkSession, label)
     df.write.option("maxRecordsPerFile", max_records_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Distribute a scan that has fewer partitions than there are cores, before heavy per-row work.
+
+    A large table has many more input partitions than cores and is returned as it is. Give a
+    key with many values; only select the columns that are needed first.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)
