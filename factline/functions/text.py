@@ -136,6 +136,13 @@ def redact(text: Column, secrets: list[str] | tuple[str, ...] = ()) -> Column:
     return F.regexp_replace(text, pattern, "$1=[REDACTED]")
 
 
+def redact_text(value: str, secrets: list[str] | tuple[str, ...] = ()) -> str:
+    """The same rule for a short text on the driver, such as a statement that is logged."""
+    for secret in secrets:
+        value = value.replace(secret, SECRET_MASK)
+    return re.sub(rf"(?i)({SECRET_WORDS})\s*=\s*[^\s;&]+", rf"\1={SECRET_MASK}", value)
+
+
 def strip_fence(text: Column) -> Column:
     """Remove the Markdown fence a model puts round its JSON."""
     trimmed = F.regexp_replace(text, rf"\A[{SPACE}]+|(?<![{SPACE}])[{SPACE}]++\z", "")

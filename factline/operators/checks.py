@@ -56,21 +56,22 @@ def check_evidence(evidence: DataFrame, assets: DataFrame) -> DataFrame:
     pages = F.col("pages") if "pages" in assets.columns else F.lit(None)
     known = assets.select("asset_id", F.lit(True).alias("_known"), pages.cast("bigint").alias("pages"))
     document = F.col("_document")
-    page = locators.whole_number(document, "$.page")
+    parsed = once(evidence, _document=F.try_parse_json("locator_json"))
+    # What the row alone can tell is settled before the join, so that quotes are not shuffled.
+    judged = once(
+        parsed,
+        _page=locators.whole_number(document, "$.page"),
+        _problem=F.when(F.col("quote").isNull(), "quote is not text").otherwise(locators.locator_problem(document)),
+    ).select("evidence_id", "asset_id", "locator_json", "_page", "_problem")
     reason = (
         F.when(F.coalesce("evidence_id", F.lit("")) == "", "evidence id is empty")
         .when(F.col("_known").isNull(), "asset is not loaded")
-        .when(F.col("quote").isNull(), "quote is not text")
-        .otherwise(F.coalesce(
-            locators.locator_problem(document),
-            F.when(page > F.col("pages"), "page exceeds the source"),
-        ))
+        .otherwise(F.coalesce("_problem", F.when(F.col("_page") > F.col("pages"), "page exceeds the source")))
     )
-    parsed = once(evidence.join(known, "asset_id", "left"), _document=F.try_parse_json("locator_json"))
     return (
-        once(parsed, reason=reason)
+        judged.join(known, "asset_id", "left")
+        .select("evidence_id", "asset_id", "locator_json", reason.alias("reason"))
         .filter(F.col("reason").isNotNull())
-        .select("evidence_id", "asset_id", "locator_json", "reason")
     )
 
 

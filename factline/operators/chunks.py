@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from factline.functions import text
 from factline.operators.numbering import BLOCK, running_totals
+from factline.storage import keep
 
 ENVELOPE_SCHEMA = (
     "knowledge_id string, page bigint, success boolean, total bigint, "
@@ -86,6 +87,9 @@ def walk(envelopes: DataFrame, requested: DataFrame | None = None, block: int =
             .withColumn("hits", F.coalesce("hits", F.lit(0)))
         )
         sums["found"] = "hits"
+    # Pages carry no text. They are used several times below, so they are stored, not read again
+    # from the envelopes.
+    pages = keep(pages, "pages")
     totals = running_totals(pages, "knowledge_id", "page", sums, {"total": "declared"}, block)
     satisfied = (F.col("found") >= F.col("needed")) if requested is not None else F.lit(False)
     ended = (F.col("rows") == 0) | F.coalesce(F.col("seen") >= F.col("total"), F.lit(False))
@@ -101,7 +105,7 @@ def walk(envelopes: DataFrame, requested: DataFrame | None = None, block: int =
         F.col("_end.distinct_chunks").alias("distinct_chunks"), F.col("_end.total").alias("total"),
         F.col("_end.rows").alias("_rows"), F.col("_end.stop").alias("stop"),
     )
-    changed = _total_changes(read, ends, block)
+    changed = _total_changes(pages, ends)
     everything = F.when(F.col("total").isNull(), F.col("_rows") == 0).otherwise(F.col("distinct_chunks") == F.col("total"))
     return ends.join(changed, "knowledge_id", "left").select(
         "knowledge_id", "fetched_pages", "seen", "distinct_chunks", "total", "stop",
@@ -110,9 +114,9 @@ def walk(envelopes: DataFrame, requested: DataFrame | None = None, block: int =
     )
 
 
-def _total_changes(read: DataFrame, ends: DataFrame, block: int) -> DataFrame:
+def _total_changes(pages: DataFrame, ends: DataFrame) -> DataFrame:
     """Documents whose declared totals up to the stopping page are not all the same."""
-    until = read.select("knowledge_id", "page", "declared").join(
+    until = pages.select("knowledge_id", "page", "declared").join(
         ends.select("knowledge_id", "fetched_pages"), "knowledge_id"
     ).filter(F.col("page") <= F.col("fetched_pages"))
     return until.groupBy("knowledge_id").agg((F.min("declared") != F.max("declared")).alias("_changed"))

@@ -129,18 +129,19 @@ def coverage(df: DataFrame, group: list[str], period: str, key: str, old, new) -
 def conflicts(facts: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """Every distinct value of the keys that have more than one, with its observation count.
 
-    The values stay side by side as rows; equal observations are combined before the shuffle.
+    The values stay side by side as rows; equal observations are combined before the shuffle,
+    and that one shuffle feeds both the values and the count of values per key.
     """
     values = facts.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("observations"))
     several = (
         values.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        .agg(F.count(F.lit(1)).alias("distinct_values"))
+        .agg(F.count(F.lit(1)).alias("distinct_values"), F.sum("observations").alias("key_observations"))
         .filter(F.col("distinct_values") > 1)
     )
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return values.join(several, same).select(*keys, value, "observations", "distinct_values")
+    return values.join(several, same).select(*keys, value, "observations", "distinct_values", "key_observations")
 
 
 def with_evidence(facts: DataFrame, evidence: DataFrame) -> DataFrame:

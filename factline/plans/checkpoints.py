@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factline.functions.canonical import canonical
-from factline.operators.checks import ContractError, verify_files
-from factline.operators.versions import code_digest, table_digest
+from factline.operators.checks import ContractError
+from factline.operators.versions import code_digest
 from factline.sources import artifacts
 
 CHECKPOINT_VERSION = "evidence-checkpoint/v1"
+# The table of saved input files, with their bytes.
+ASSETS = "input_file_copies"
 
 
 def save(spark: SparkSession, tables: dict[str, DataFrame], root: str, scope: str,
@@ -25,7 +27,7 @@ def save(spark: SparkSession, tables: dict[str, DataFrame], root: str, scope: st
     folder = f"{root}/checkpoints/data/{checkpoint_id}"
     chosen = dict(tables)
     if assets is not None:
-        chosen["_assets"] = assets
+        chosen[ASSETS] = assets
     entries = artifacts.write_tables(spark, chosen, folder, 5_000_000)
     for entry in entries:
         entry["provenance"] = (provenance or {}).get(entry["name"], {})
@@ -54,17 +56,11 @@ def restore(spark: SparkSession, root: str, checkpoint_id: str, scope: str) -> d
     if manifest["spark_version"] != pyspark.__version__:
         raise ContractError("checkpoint was written by another Spark version")
     folder = f"{root}/checkpoints/data/{checkpoint_id}"
-    listed = spark.read.schema(artifacts.FILE_SCHEMA).parquet(f"{folder}/files")
-    for entry in manifest["tables"]:
-        if table_digest(listed.filter(F.col("path").startswith(entry["path"] + "/")))[1] != entry["sha256"]:
-            raise ContractError("hash mismatch: checkpoint file list")
-    bad = verify_files(listed, artifacts.hash_files(spark, folder)).filter(F.col("status") != "ok").take(1)
-    if bad:
-        raise ContractError(f"hash mismatch: {bad[0]['path']} is {bad[0]['status']}")
-    return {e["name"]: spark.read.schema(T.StructType.fromJson(e["schema"])).parquet(f"{folder}/{e['path']}")
-            for e in manifest["tables"]}
-
-
-def restore_assets(assets: DataFrame, folder: str) -> DataFrame:
-    """Asset rows of a restored checkpoint with paths that point into the restored folder."""
-    return assets.withColumn("path", F.concat(F.lit(f"{folder}#"), F.col("asset_id")))
+    artifacts.verify_tables(spark, folder, manifest["tables"])
+    tables = {e["name"]: spark.read.schema(T.StructType.fromJson(e["schema"])).parquet(f"{folder}/{e['path']}")
+              for e in manifest["tables"]}
+    if ASSETS in tables:
+        # The saved copies stand in for the original files.
+        here = F.concat(F.lit(f"{folder}/outputs/{ASSETS}#"), F.col("asset_id"))
+        tables[ASSETS] = tables[ASSETS].withColumn("path", here)
+    return tables

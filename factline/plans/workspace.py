@@ -11,9 +11,11 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.functions.canonical import digest
+from factline.functions import text
+from factline.functions.canonical import canonical, digest
 from factline.operators import chunks
-from factline.operators.versions import code_digest
+from factline.operators.checks import check_manifests, require_none, verify_files
+from factline.operators.versions import code_digest, table_digest
 from factline.plans import checkpoints, ingest, oplog
 from factline.plans.results import StoredResult, preview, store_result
 from factline.sources import artifacts, database, files, knowledge
@@ -31,13 +33,17 @@ class Workspace:
         self.tables: dict[str, DataFrame] = {}
         self.provenance: dict[str, dict] = {}
         self.assets: DataFrame | None = None
+        self.sources: list[tuple[str, str | None]] = []
         self.results: dict[str, StoredResult] = {}
+        self._versions: dict[str, str] = {}
+        self._digests: dict[str, str] = {}
         self.functions: dict[str, dict] = {}
 
     @contextmanager
     def _logged(self, action: str, request: dict):
-        entry = {"operation_id": str(uuid4()), "action": action, "request": request, "request_digest": digest(request),
-                 "input_tables": sorted(self.tables), "started_at": artifacts.now(), "status": "succeeded"}
+        entry = {"operation_id": str(uuid4()), "action": action, "request": text.redact_text(canonical(request), text.known_secrets()),
+                 "request_digest": digest(request), "input_tables": dict(self._versions), "started_at": artifacts.now(),
+                 "status": "succeeded"}
         before = dict(self.tables)
         try:
             yield entry
@@ -56,14 +62,31 @@ class Workspace:
             raise ValueError("a table name has letters, digits and underscores")
         df.createOrReplaceTempView(name)
         self.tables[name], self.provenance[name] = df, provenance or {"kind": "python"}
+        self._versions[name] = str(uuid4())
         return df
 
+    def digest(self, name: str) -> str:
+        """Content digest of a table, computed once for each version of it."""
+        version = self._versions[name]
+        if version not in self._digests:
+            self._digests[version] = table_digest(self.tables[name])[1]
+        return self._digests[version]
+
+    def changed_sources(self) -> DataFrame:
+        """Loaded files that are gone or no longer have the bytes they were loaded with."""
+        found = [files.scan_assets(self.spark, path, glob) for path, glob in self.sources]
+        again = found[0]
+        for df in found[1:]:
+            again = again.unionByName(df)
+        return verify_files(self.assets, again.select("path", "sha256").distinct()).filter(F.col("status").isin("missing", "mismatch"))
+
     # Load
 
     def load_file(self, path: str, name: str | None = None, glob: str | None = None, schema=None) -> DataFrame:
         """Register files as assets; tabular files also become a table when a name is given."""
         with self._logged("load", {"kind": "file", "path": path, "name": name}):
             found = keep(files.scan_assets(self.spark, path, glob), "assets")
+            self.sources.append((path, glob))
             self.assets = found if self.assets is None else self.assets.unionByName(found).dropDuplicates(["asset_id"])
             if name is None:
                 return found
@@ -79,8 +102,8 @@ class Workspace:
         """Documents, their chunks, completeness, and the status of the artifacts they name."""
         with self._logged("load", {"kind": "knowledge", "pages": pages_path}):
             documents = knowledge.load_documents(self.spark, documents_path, allowed_bases)
-            pages = knowledge.load_envelopes(self.spark, pages_path).join(
-                documents.select("knowledge_id"), "knowledge_id", "left_semi")
+            pages = keep(knowledge.load_envelopes(self.spark, pages_path).join(
+                documents.select("knowledge_id"), "knowledge_id", "left_semi"), "envelopes")
             bad = chunks.bad_envelopes(pages).take(1)
             if bad:
                 raise ValueError(f"response invalid: {bad[0].asDict()}")
@@ -89,9 +112,9 @@ class Workspace:
                 if gone:
                     raise ValueError(f"chunks not found: {gone}")
             kept = keep(chunks.assemble(pages, requested), "chunks")
-            index = artifacts.index(self.spark, self.root).select(
-                "artifact_id", F.lit("workspace").alias("store_alias"),
-                F.when(F.col("scope_id") != self.scope, "scope mismatch").alias("problem"))
+            manifests = check_manifests(artifacts.manifests(self.spark, self.root), self.scope, artifacts.SCHEMA_VERSION)
+            index = manifests.select(F.col("folder").alias("artifact_id"), F.lit("workspace").alias("store_alias"),
+                                     F.nullif("status", F.lit("ok")).alias("problem"))
             made = {
                 f"{prefix}_documents": documents,
                 f"{prefix}_chunks": kept,
@@ -102,6 +125,14 @@ class Workspace:
                 self.add(name, df, {"kind": "knowledge", "pages": pages_path})
             return made
 
+    def load_marked(self, prefix: str) -> list[str]:
+        """Load every artifact that the chunks of a knowledge load name and that may be loaded."""
+        usable = self.tables[f"{prefix}_artifacts"].filter(F.col("status") == "loaded").select("artifact_id").distinct()
+        ids = [r["artifact_id"] for r in usable.collect()]
+        for artifact_id in ids:
+            self.load_artifact("artifact_" + artifact_id.replace("-", ""), artifact_id)
+        return ids
+
     def load_artifact(self, prefix: str, artifact_id: str) -> dict[str, DataFrame]:
         with self._logged("load", {"kind": "artifact", "artifact_id": artifact_id}):
             made = artifacts.load(self.spark, self.root, artifact_id, self.scope)
@@ -157,9 +188,12 @@ class Workspace:
         """Run a declared pipeline. Every distinct run adds its own tables and leaves older ones."""
         with self._logged("execute", {"mode": "pipeline", "id": spec.id, "params": params or {}}):
             taken = {name: self.tables[name] for name in inputs}
-            if self.assets is not None:
-                taken.setdefault("input_files", self.assets)
-            result = ingest.run(self.spark, spec, taken, params or {}, self.root, self.scope)
+            digests = {name: self.digest(name) for name in inputs}
+            if self.assets is not None and "input_files" not in taken:
+                require_none(self.changed_sources(), "source changed")
+                taken["input_files"] = self.assets
+                digests["input_files"] = table_digest(self.assets)[1]
+            result = ingest.run(self.spark, spec, taken, params or {}, self.root, self.scope, input_digests=digests)
             prefix = "run_" + result["artifact_id"].replace("-", "")
             for name, df in result["tables"].items():
                 self.add(f"{prefix}_{name}", df, {"kind": "pipeline", "id": spec.id, "recipe_hash": result["recipe_hash"]})
@@ -174,12 +208,22 @@ class Workspace:
         if len(set(names)) != len(names):
             raise ValueError("name each table once")
         with self._logged("checkpoint", {"tables": names}):
+            copies = None
+            if self.assets is not None:
+                require_none(self.changed_sources(), "source changed")
+                for path, glob in self.sources:
+                    found = files.scan_assets(self.spark, path, glob, content=True)
+                    copies = found if copies is None else copies.unionByName(found)
+                copies = copies.dropDuplicates(["asset_id"])
             return checkpoints.save(self.spark, {n: self.tables[n] for n in names}, self.root, self.scope,
-                                    {n: self.provenance[n] for n in names})
+                                    {n: self.provenance[n] for n in names}, copies)
 
     def restore(self, checkpoint_id: str) -> list[str]:
         with self._logged("restore", {"checkpoint_id": checkpoint_id}):
             made = checkpoints.restore(self.spark, self.root, checkpoint_id, self.scope)
+            copies = made.pop(checkpoints.ASSETS, None)
+            if copies is not None:
+                self.assets = copies.drop("content")
             for name, df in made.items():
                 self.add(name, df, {"kind": "checkpoint", "checkpoint_id": checkpoint_id})
             return list(made)

@@ -94,8 +94,9 @@ def coverage_change(spark, sf_dir):
 
 @query("q_conflicts", """
   WITH v AS (SELECT l_orderkey, l_linenumber, l_quantity, count(*) AS observations FROM lineitem GROUP BY 1, 2, 3)
-  SELECT l_orderkey, l_linenumber, l_quantity, observations, n AS distinct_values
-  FROM v JOIN (SELECT l_orderkey AS o, l_linenumber AS l, count(*) AS n FROM v GROUP BY 1, 2 HAVING count(*) > 1)
+  SELECT l_orderkey, l_linenumber, l_quantity, observations, n AS distinct_values, s AS key_observations
+  FROM v JOIN (SELECT l_orderkey AS o, l_linenumber AS l, count(*) AS n, CAST(sum(observations) AS BIGINT) AS s
+               FROM v GROUP BY 1, 2 HAVING count(*) > 1)
     ON o = l_orderkey AND l = l_linenumber""")
 def conflicts(spark, sf_dir):
     return compare.conflicts(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_quantity")

@@ -25,6 +25,8 @@ from factline.operators.checks import ContractError, check_manifests, fixed_sche
 from factline.operators.versions import table_digest
 
 SCHEMA_VERSION = "evidence-artifact/v1"
+# Largest part file that is hashed as a whole.
+HASHED_BYTES = 256 * 1024 * 1024
 FILE_SCHEMA = "path string, length bigint, sha256 string"
 
 
@@ -33,12 +35,45 @@ def now() -> str:
 
 
 def hash_files(spark: SparkSession, folder: str, below: str = "outputs") -> DataFrame:
-    """Path relative to `folder`, length and SHA-256 of every Parquet part file."""
+    """Path relative to `folder`, length and SHA-256 of every Parquet part file.
+
+    A file is hashed as one value, so files over HASHED_BYTES have no hash of their own; the
+    row digest of their table stands in for it.
+    """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.parquet").load(f"{folder}/{below}"))
     name = folder.rstrip("/").rsplit("/", 1)[-1]
-    return files.select(F.substring_index("path", f"/{name}/", -1).alias("path"), "length",
-                        F.sha2("content", 256).alias("sha256"))
+    path = F.substring_index("path", f"/{name}/", -1).alias("path")
+    small = files.filter(F.col("length") <= HASHED_BYTES).select(path, "length", F.sha2("content", 256).alias("sha256"))
+    large = files.filter(F.col("length") > HASHED_BYTES).select(path, "length", F.lit(None).cast("string").alias("sha256"))
+    return small.unionByName(large)
+
+
+def folder_digest(spark: SparkSession, folder: str) -> str:
+    """Digest of every file below a folder: relative path and hash, in any order."""
+    name = folder.rstrip("/").rsplit("/", 1)[-1]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return table_digest(files.select(F.substring_index("path", f"/{name}/", -1).alias("path"), F.sha2("content", 256).alias("sha256")))[1]
+
+
+def verify_tables(spark: SparkSession, folder: str, entries: list[dict]) -> None:
+    """Compare the file list, every part file, and the rows of tables with unhashed files."""
+    listed = spark.read.schema(FILE_SCHEMA).parquet(f"{folder}/files")
+    for entry in entries:
+        if table_digest(listed.filter(F.col("path").startswith(entry["path"] + "/")))[1] != entry["sha256"]:
+            raise ContractError(f"hash mismatch: file list of {entry['name']}")
+    marked = [df.select("path", F.coalesce("sha256", F.concat(F.lit("length "), F.col("length"))).alias("sha256"))
+              for df in (listed, hash_files(spark, folder))]
+    bad = verify_files(*marked).filter(F.col("status") != "ok").take(1)
+    if bad:
+        raise ContractError(f"hash mismatch: {bad[0]['path']} is {bad[0]['status']}")
+    unhashed = [r["path"] for r in listed.filter(F.col("sha256").isNull()).select(
+        F.substring_index("path", "/", 2).alias("path")).distinct().collect()]
+    for entry in entries:
+        if entry["path"] in unhashed:
+            stored = spark.read.schema(T.StructType.fromJson(entry["schema"])).parquet(f"{folder}/{entry['path']}")
+            if table_digest(stored) != (entry["rows"], entry["content_digest"]):
+                raise ContractError(f"hash mismatch: rows of {entry['name']}")
 
 
 def write_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str, max_records_per_file: int) -> list[dict]:
@@ -130,14 +165,7 @@ def verify(spark: SparkSession, root: str, artifact_id: str, scope: str) -> dict
     if row["status"] != "ok":
         raise ContractError(f"manifest: {row['status']}")
     manifest = json.loads(found.first()["text"])
-    folder = f"{root}/data/{artifact_id}"
-    listed = spark.read.schema(FILE_SCHEMA).parquet(f"{folder}/files")
-    for entry in manifest["outputs"]:
-        if table_digest(listed.filter(F.col("path").startswith(entry["path"] + "/")))[1] != entry["sha256"]:
-            raise ContractError("hash mismatch: file list")
-    bad = verify_files(listed, hash_files(spark, folder)).filter(F.col("status") != "ok").take(1)
-    if bad:
-        raise ContractError(f"hash mismatch: {bad[0]['path']} is {bad[0]['status']}")
+    verify_tables(spark, f"{root}/data/{artifact_id}", manifest["outputs"])
     return manifest
 
 

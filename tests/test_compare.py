@@ -70,7 +70,7 @@ def test_duplicates_conflicts_and_profile(spark):
     values = defaultdict(Counter)
     for item, _, value, _ in data:
         values[item][value] += 1
-    want = [(k, v, n, len(c)) for k, c in values.items() if len(c) > 1 for v, n in c.items()]
+    want = [(k, v, n, len(c), sum(c.values())) for k, c in values.items() if len(c) > 1 for v, n in c.items()]
     assert rows(compare.conflicts(df, ["item"])) == sorted(want, key=repr)
     got = {r["column_name"]: r for r in compare.profile(df).collect()}
     items = [t[0] for t in data]
