@@ -43,6 +43,15 @@ def facts_of(records: DataFrame) -> DataFrame:
     )
 
 
+def in_order(published: DataFrame) -> DataFrame:
+    """Evidence or facts by asset and by element number, for presentation.
+
+    A stored table has no order of its own; the number is the part of the id after the asset.
+    """
+    number = F.expr("try_cast(substring(evidence_id, length(asset_id) + 2) AS BIGINT)")
+    return published.orderBy("asset_id", number, "evidence_id")
+
+
 def _payload(df: DataFrame) -> Column:
     return F.from_json(df["payload"], PAYLOAD_SCHEMA)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factline.functions.canonical import canonical
-from factline.operators import checks, observations, publish
+from factline.operators import checks
 from factline.operators.versions import code_digest, recipe_hash, table_digest
 from factline.sources import artifacts
 from factline.storage import keep
@@ -93,13 +93,3 @@ def sql_step(spark: SparkSession, query: str, tables: dict[str, DataFrame]) -> D
     """Run a query that names tables as `{table}`. No shared view name is taken."""
     used = {name: df for name, df in tables.items() if "{" + name + "}" in query}
     return spark.sql(query, **used)
-
-
-def records_outputs(records: DataFrame, documents: DataFrame, multiplier: float = 1) -> dict[str, DataFrame]:
-    """The three published tables from records that are computed once."""
-    kept = keep(observations.scale(records, multiplier), "records")
-    return {
-        "documents": publish.documents_of(documents),
-        "evidence": publish.evidence_of(kept),
-        "facts": publish.facts_of(kept),
-    }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factline.operators import checks, compare, observations, publish
+from factline.plans import documents
 from factline.queries.registry import on_tables, query, table
 from factline.sources import files
 from factline.storage import fresh_path, keep, spread
@@ -204,6 +205,25 @@ def csv_documents(spark, sf_dir):
     return publish.facts_of(observations.csv_records(assets)).select("item", "value", "category")
 
 
+@query("q_ingest_documents", """
+  SELECT 'part-' || l_partkey AS item, l_quantity * 2 AS value, nullif(l_returnflag, 'N') AS category FROM lineitem""")
+def ingest_documents(spark, sf_dir):
+    """CSV files and paged conversations through the whole ingest; conversations hold no observations."""
+    path = fresh_path(spark, "csv-documents")
+    rows = on_tables(spark, sf_dir, """
+      SELECT concat('part-', l_partkey) AS item, l_quantity AS value, nullif(l_returnflag, 'N') AS category FROM {lineitem}""")
+    rows.write.option("header", "true").option("maxRecordsPerFile", 1_000_000).csv(path)
+    columns = ["asset_id", "media_type", "original_name", "content"]
+    written = files.scan_assets(spark, path, "*.csv", content=True).select(*columns)
+    paged = on_tables(spark, sf_dir, """
+      SELECT DISTINCT concat('conversation-', conv_id) AS asset_id, 'application/pdf' AS media_type,
+             concat('conversation ', conv_id) AS original_name, CAST('' AS BINARY) AS content FROM {conversations}""")
+    pages = on_tables(spark, sf_dir, """
+      SELECT concat('conversation-', conv_id) AS asset_id, turn + 1 AS page, text FROM {conversations}""")
+    result = documents.ingest_documents(spark, written.unionByName(paged), fresh_path(spark, "store"), "local", pages, multiplier=2)
+    return result["tables"]["facts"].select("item", "value", "category")
+
+
 @query("q_csv_table", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
 def csv_table(spark, sf_dir):
     path = fresh_path(spark, "csv")
@@ -216,7 +236,7 @@ def csv_table(spark, sf_dir):
 def jsonl_table(spark, sf_dir):
     path = fresh_path(spark, "jsonl")
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
-    rows.write.option("ignoreNullFields", "false").json(path)
+    files.write_jsonl(rows, path)
     return files.load_table(spark, path, "json", rows.schema)
 
 

@@ -66,7 +66,7 @@ EVIDENCE = f"""
 
 def event_evidence(spark, sf_dir):
     escaped = EVIDENCE.replace("{", "{{").replace("}", "}}").replace("FROM events", "FROM {events}")
-    return on_tables(spark, sf_dir, escaped)
+    return on_tables(spark, sf_dir, escaped, heavy=True)
 
 
 def known_assets(spark, sf_dir):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factline.functions import text
+from factline.functions.canonical import canonical_row
 from factline.operators.observations import MAX_FILE_BYTES
 
 
@@ -63,3 +64,8 @@ def load_table(spark: SparkSession, path: str, kind: str | None = None, schema:
             F.col(f"`{f.name}`").cast("bigint").alias(f.name) if isinstance(f.dataType, T.IntegerType) else F.col(f"`{f.name}`")
             for f in table.schema.fields])
     return table
+
+
+def write_jsonl(df: DataFrame, path: str) -> None:
+    """Rows as canonical JSON lines: sorted keys, nulls kept, hex bytes, other types as text."""
+    df.select(canonical_row(df.schema).alias("value")).write.text(path)
