@@ -51,9 +51,11 @@ def json_text(col: Column, kind: T.DataType) -> Column:
             F.when(F.isnan(col), F.lit('"nan"'))
             .when(col == float("inf"), F.lit('"inf"'))
             .when(col == float("-inf"), F.lit('"-inf"'))
-            .otherwise(_scalar(col))
+            .otherwise(F.coalesce(col.cast("string"), null))
         )
-    if isinstance(kind, (*NUMERIC, T.StringType, T.BooleanType)):
+    if isinstance(kind, (*NUMERIC, T.BooleanType)):
+        return F.coalesce(col.cast("string"), null)
+    if isinstance(kind, T.StringType):
         return _scalar(col)
     return _scalar(col.cast("string"))
 
@@ -68,6 +70,24 @@ def canonical_row(schema: T.StructType) -> Column:
     return F.concat(F.lit("{"), *parts, F.lit("}"))
 
 
+def digest_text(schema: T.StructType) -> Column:
+    """The row as text for hashing: every value with its length before it, `n` for null.
+
+    Lengths keep neighbouring values apart, so no escaping is needed; bytes enter as a hash.
+    """
+    parts = []
+    for field in schema.fields:
+        col, kind = F.col("`" + field.name.replace("`", "``") + "`"), field.dataType
+        if isinstance(kind, T.BinaryType):
+            value = F.sha2(col, 256)
+        elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+            value = F.when(col.isNotNull(), json_text(col, kind))
+        else:
+            value = col.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("n")))
+    return F.concat(*parts)
+
+
 def hash_number(text: Column, start: int = 1) -> Column:
     """Fifteen hex digits of a SHA-256, from `start`, as a number wide enough to be summed."""
     return F.conv(F.substring(F.sha2(text, 256), start, 15), 16, 10).cast("decimal(28,0)")

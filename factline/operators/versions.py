@@ -7,23 +7,27 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factline.functions.canonical import canonical, canonical_row, digest, hash_number
+from factline.functions.canonical import canonical, digest, digest_text, hash_number
 
 
-def content_digest(df: DataFrame) -> DataFrame:
+def content_digest(df: DataFrame, group: Column | None = None) -> DataFrame:
     """One row `(rows, digest)` that is the same for the same rows in any order.
 
     Every row is hashed where it lies; only a count and two sums leave each task. Copies
-    count, so the digest also changes when a row is repeated.
+    count, so the digest also changes when a row is repeated. With `group` there is one
+    digest for each of its values.
     """
     schema_text = canonical([[f.name, f.dataType.simpleString()] for f in df.schema.fields])
-    hashed = df.select(canonical_row(df.schema).alias("_text")).select(
-        hash_number(F.col("_text"), 1).alias("_a"), hash_number(F.col("_text"), 16).alias("_b"))
-    sums = hashed.agg(F.count(F.lit(1)).alias("rows"), F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    named = [] if group is None else [group.alias("group")]
+    keys = ["group"] if named else []
+    hashed = df.select(*named, digest_text(df.schema).alias("_text")).select(
+        *keys, hash_number(F.col("_text"), 1).alias("_a"), hash_number(F.col("_text"), 16).alias("_b"))
+    sums = hashed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
     zero = F.lit(0).cast("decimal(38,0)")
     total = F.concat_ws(":", F.lit(schema_text), F.col("rows").cast("string"),
                         F.coalesce("_a", zero).cast("string"), F.coalesce("_b", zero).cast("string"))
-    return sums.select("rows", F.sha2(total, 256).alias("digest"))
+    return sums.select(*keys, "rows", F.sha2(total, 256).alias("digest"))
 
 
 def table_digest(df: DataFrame) -> tuple[int, str]:

@@ -85,7 +85,7 @@ def run(
         checks.require_none(checks.check_evidence(outputs["evidence"], tables[asset_table]), "evidence")
     manifest = artifacts.publish(spark, outputs, root, scope, recipe, key,
                                  {"id": spec.id, "version": spec.version, "digest": spec.digest()})
-    return {"tables": artifacts.load(spark, root, manifest["artifact_id"], scope),
+    return {"tables": artifacts.tables_of(spark, root, manifest),
             "artifact_id": manifest["artifact_id"], "recipe_hash": key, "reused": False}
 
 

@@ -13,11 +13,14 @@ from factline.storage import fresh_path, spread
 
 _ROW = """'{"event_id":' || event_id || ',"event_type":"' || event_type || '","props":' || to_json(props)
        || ',"ts":"' || CAST(ts AS VARCHAR) || '","user_id":' || user_id || ',"value":' || CAST(value AS VARCHAR) || '}'"""
+_DIGESTED = " || ".join(
+    f"CASE WHEN {c} IS NULL THEN 'n' ELSE length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+    for c in ("event_id", "ts", "user_id", "event_type", "value", "props"))
 _TYPES = ('[["event_id","bigint"],["ts","timestamp_ntz"],["user_id","bigint"],["event_type","string"],["value","double"],["props","string"]]')
 
 
 @query("q_content_digest", f"""
-  WITH h AS (SELECT sha256({_ROW}) AS h FROM events),
+  WITH h AS (SELECT sha256({_DIGESTED}) AS h FROM events),
   s AS (SELECT count(*) AS n, sum(CAST('0x' || substr(h, 1, 15) AS HUGEINT)) AS a, sum(CAST('0x' || substr(h, 16, 15) AS HUGEINT)) AS b FROM h)
   SELECT n AS rows, sha256('{_TYPES}' || ':' || n || ':' || CAST(a AS VARCHAR) || ':' || CAST(b AS VARCHAR)) AS digest FROM s""")
 def content_digest(spark, sf_dir):

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from factline.functions.canonical import canonical
 from factline.operators.checks import ContractError, check_manifests, fixed_schema, verify_files
-from factline.operators.versions import table_digest
+from factline.operators.versions import content_digest, table_digest
 
 SCHEMA_VERSION = "evidence-artifact/v1"
 # Largest part file that is hashed as a whole.
@@ -59,18 +59,17 @@ def folder_digest(spark: SparkSession, folder: str) -> str:
 def verify_tables(spark: SparkSession, folder: str, entries: list[dict]) -> None:
     """Compare the file list, every part file, and the rows of tables with unhashed files."""
     listed = spark.read.schema(FILE_SCHEMA).parquet(f"{folder}/files")
+    digests = _list_digests(listed)
     for entry in entries:
-        if table_digest(listed.filter(F.col("path").startswith(entry["path"] + "/")))[1] != entry["sha256"]:
+        if digests.get(entry["path"]) != (entry["sha256"], entry["files_hashed"]):
             raise ContractError(f"hash mismatch: file list of {entry['name']}")
     marked = [df.select("path", F.coalesce("sha256", F.concat(F.lit("length "), F.col("length"))).alias("sha256"))
               for df in (listed, hash_files(spark, folder))]
     bad = verify_files(*marked).filter(F.col("status") != "ok").take(1)
     if bad:
         raise ContractError(f"hash mismatch: {bad[0]['path']} is {bad[0]['status']}")
-    unhashed = [r["path"] for r in listed.filter(F.col("sha256").isNull()).select(
-        F.substring_index("path", "/", 2).alias("path")).distinct().collect()]
     for entry in entries:
-        if entry["path"] in unhashed:
+        if not entry["files_hashed"]:
             stored = spark.read.schema(T.StructType.fromJson(entry["schema"])).parquet(f"{folder}/{entry['path']}")
             if table_digest(stored) != (entry["rows"], entry["content_digest"]):
                 raise ContractError(f"hash mismatch: rows of {entry['name']}")
@@ -90,12 +89,20 @@ def write_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
     hash_files(spark, folder).write.parquet(f"{folder}/files")
     listed = spark.read.schema(FILE_SCHEMA).parquet(f"{folder}/files")
     # A table is one folder of part files; its hash is the digest of their listed hashes.
+    digests = _list_digests(listed)
     for entry in entries:
-        of_table = listed.filter(F.col("path").startswith(entry["path"] + "/"))
-        entry["sha256"] = table_digest(of_table)[1]
+        entry["sha256"], entry["files_hashed"] = digests[entry["path"]]
     return entries
 
 
+def _list_digests(listed: DataFrame) -> dict[str, tuple[str, bool]]:
+    """For each table folder the digest of its file list, and whether every file has a hash."""
+    folder = F.substring_index("path", "/", 2)
+    hashed = listed.groupBy(folder.alias("group")).agg((F.count("sha256") == F.count(F.lit(1))).alias("hashed"))
+    rows = content_digest(listed, folder).join(hashed, "group").collect()
+    return {r["group"]: (r["digest"], r["hashed"]) for r in rows}
+
+
 def _write_text(spark: SparkSession, text: str, path: str) -> None:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
 
@@ -171,8 +178,12 @@ def verify(spark: SparkSession, root: str, artifact_id: str, scope: str) -> dict
 
 def load(spark: SparkSession, root: str, artifact_id: str, scope: str) -> dict[str, DataFrame]:
     """The verified artifact's tables. Image rows point at their bytes inside the artifact."""
-    manifest = verify(spark, root, artifact_id, scope)
-    folder = f"{root}/data/{artifact_id}"
+    return tables_of(spark, root, verify(spark, root, artifact_id, scope))
+
+
+def tables_of(spark: SparkSession, root: str, manifest: dict) -> dict[str, DataFrame]:
+    """The tables of a manifest that was just verified or just written."""
+    folder = f"{root}/data/{manifest['artifact_id']}"
     tables = {
         o["name"]: spark.read.schema(T.StructType.fromJson(o["schema"])).parquet(f"{folder}/{o['path']}")
         for o in manifest["outputs"] if o["format"] == "parquet"
