@@ -18,9 +18,9 @@ ENVELOPE_SCHEMA = (
     "knowledge_id string, page bigint, success boolean, total bigint, "
     "data array<struct<id:string,knowledge_id:string,chunk_index:bigint,content:string>>"
 )
-PARTIAL = "Only a partial set of readable chunks was fetched."
-REPEATED = "Pagination repeated chunks; fetch stopped."
-TOTAL_CHANGED = "Chunk total changed during pagination; completeness is not guaranteed."
+PARTIAL = "Not every declared chunk was read."
+REPEATED = "A page brought only known chunks, so reading stopped there."
+TOTAL_CHANGED = "Pages declare different totals."
 
 
 def bad_envelopes(envelopes: DataFrame) -> DataFrame:
@@ -60,12 +60,8 @@ def first_copies(chunks: DataFrame) -> DataFrame:
     )
 
 
-def walk(envelopes: DataFrame, requested: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
-    """Where reading each document stops, and why; one row per document.
-
-    Pages are read in order from 1. Reading stops at the first page that completes the
-    requested ids, is empty or reaches the declared total, or adds nothing new.
-    """
+def _ends(envelopes: DataFrame, requested: DataFrame | None, block: int) -> tuple[DataFrame, DataFrame]:
+    """The stored page table, and the stored stopping page of each document."""
     landed = page_rows(envelopes).groupBy("knowledge_id", "page").agg(
         F.max("rows").alias("rows"), F.max("declared").alias("declared")
     )
@@ -105,6 +101,17 @@ def walk(envelopes: DataFrame, requested: DataFrame | None = None, block: int =
         F.col("_end.distinct_chunks").alias("distinct_chunks"), F.col("_end.total").alias("total"),
         F.col("_end.rows").alias("_rows"), F.col("_end.stop").alias("stop"),
     )
+    # Stored, so that Spark knows its size when it plans the joins with chunk text.
+    return pages, keep(ends, "ends")
+
+
+def walk(envelopes: DataFrame, requested: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+    """Where reading each document stops, and why; one row per document.
+
+    Pages are read in order from 1. Reading stops at the first page that completes the
+    requested ids, is empty or reaches the declared total, or adds nothing new.
+    """
+    pages, ends = _ends(envelopes, requested, block)
     changed = _total_changes(pages, ends)
     everything = F.when(F.col("total").isNull(), F.col("_rows") == 0).otherwise(F.col("distinct_chunks") == F.col("total"))
     return ends.join(changed, "knowledge_id", "left").select(
@@ -140,7 +147,7 @@ def assemble(envelopes: DataFrame, requested: DataFrame | None = None, block: in
 
     Present them with `in_order`; the order columns stay on the rows.
     """
-    ends = walk(envelopes, requested, block).select("knowledge_id", "fetched_pages")
+    ends = _ends(envelopes, requested, block)[1].select("knowledge_id", "fetched_pages")
     chosen = first_copies(chunk_rows(envelopes)).join(ends, "knowledge_id").filter(F.col("page") <= F.col("fetched_pages"))
     if requested is not None:
         chosen = chosen.join(requested.select("knowledge_id", "chunk_id").distinct(), ["knowledge_id", "chunk_id"], "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factline.storage import fresh_path
+from factline.storage import fresh_path, keep
 
 # A group up to this many rows is numbered by a plain window inside one task.
 HOT_ROWS = 2_000_000
@@ -79,11 +79,13 @@ def number_within(
 
     placed = _placed(df, [*group, *order], "numbered")
     earlier = Window.partitionBy(*[f"_g{i}" for i in range(len(group))]).orderBy("_p")
-    starts = (
+    # Stored, so that Spark plans the join with its real size and moves the rows only if it must.
+    starts = keep(
         placed.groupBy(F.col("_part").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)])
         .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows"))
         .withColumn("_before", F.coalesce(
-            F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))),
+        "starts",
     )
     same = F.col("_part") == F.col("_p")
     for i, g in enumerate(group):
@@ -99,7 +101,7 @@ def number_all(df: DataFrame, order: list[str], name: str = "_row") -> DataFrame
     # One count per stored partition: a table of at most spark.sql.shuffle.partitions rows.
     sizes = placed.groupBy(F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_p", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    starts = keep(sizes.select("_p", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")), "starts")
     return placed.join(starts, F.col("_part") == F.col("_p")).select(
         *df.columns, (F.col("_pos") + F.col("_before")).cast("bigint").alias(name)
     )

@@ -86,7 +86,7 @@ def document_spec(model: Model | None = None, prompt: str = "", multiplier: floa
         return found
 
     return ingest.PipelineSpec(
-        id="document_observations", version="1.0.0", params=("multiplier", "model_alias", "prompt"),
+        id="document_ingest", version="1.0.0", params=("multiplier", "model_alias", "prompt"),
         steps=[
             ("read", read),
             ("elements", elements),
