@@ -118,6 +118,11 @@ def utf8_text(content: Column) -> Column:
     return strip_bom(F.decode(content, "UTF-8"))
 
 
+def file_text(content: Column) -> Column:
+    """Text of a file as it is read in text mode: UTF-8, no byte order mark, line ends as newlines."""
+    return F.regexp_replace(utf8_text(content), r"\r\n?", "\n")
+
+
 def known_secrets(variables: dict[str, str] | None = None) -> list[str]:
     """Values of secret-looking variables that are long enough to be searched for."""
     variables = os.environ if variables is None else variables

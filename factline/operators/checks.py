@@ -95,18 +95,20 @@ def verify_files(manifest: DataFrame, rescan: DataFrame) -> DataFrame:
 
 def check_images(images: DataFrame, files: DataFrame) -> DataFrame:
     """Image rows without bytes, with an unsupported type, or whose bytes are not that type."""
-    head = F.hex(F.substring(F.col("content"), 1, 12))
+    head = F.col("_head")
     looks_like = (
         F.when(head.startswith("89504E470D0A1A0A"), "image/png")
         .when(head.startswith("FFD8FF"), "image/jpeg")
         .when(head.startswith("52494646") & head.endswith("57454250"), "image/webp")
     )
     reason = (
-        F.when(F.col("content").isNull(), "image file is missing")
+        F.when(head.isNull(), "image file is missing")
         .when(~F.col("mime_type").isin(IMAGE_TYPES), "media type is not supported")
         .when(~F.coalesce(looks_like == F.col("mime_type"), F.lit(False)), "bytes are not that image type")
     )
-    return images.join(files.select("path", "content"), "path", "left").select(
+    # Only the first bytes take part in the join.
+    heads = files.select("path", F.hex(F.substring("content", 1, 12)).alias("_head"))
+    return images.join(heads, "path", "left").select(
         "original_ref", "path", "mime_type", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from factline.functions import text
 from factline.operators import observations, publish
 from factline.operators.checks import require_none
+from factline.operators.compare import duplicate_keys
 from factline.plans import ingest
 from factline.storage import keep
 
@@ -27,23 +28,30 @@ class Model:
 
 
 def read_documents(assets: DataFrame, pages: DataFrame | None) -> DataFrame:
-    """One row per asset with its text and page count. Fails when an asset has no reader."""
+    """One row per asset with its text and page count. Fails when an asset has no reader.
+
+    File bytes never enter a join: paged documents need only their id, the others need no
+    join. Bytes are kept for images alone.
+    """
     routed = observations.route_assets(assets)
     require_none(routed.filter(F.col("route") == "rejected").select("asset_id", "reason"), "documents")
-    if pages is None:
-        pages = assets.sparkSession.createDataFrame([], "asset_id string, page bigint, text string")
-    counts = pages.groupBy("asset_id").agg(F.count(F.lit(1)).alias("pages"))
-    joined = observations.join_pages(pages).select("asset_id", "part", F.col("markdown").alias("_pages"))
-    markdown = (
-        F.when(F.col("route") == "records", text.utf8_text(F.col("content")))
-        .when(F.col("route") == "pages", F.coalesce("_pages", F.lit("")))
-        .otherwise(observations.IMAGE_MARKDOWN)
-    )
-    return (
-        routed.join(counts, "asset_id", "left").join(joined, "asset_id", "left")
-        .withColumn("markdown", markdown).drop("_pages")
-        .withColumn("pages", F.coalesce("pages", F.lit(0)))
+    named = ["asset_id", "original_name", "media_type", "route"]
+    image = F.col("route") == "image"
+    whole = routed.filter(F.col("route") != "pages").select(
+        *named,
+        F.when(image, observations.IMAGE_MARKDOWN).otherwise(text.file_text(F.col("content"))).alias("markdown"),
+        F.lit(0).cast("bigint").alias("pages"),
+        F.when(image, F.col("content")).alias("content"),
     )
+    paged = routed.filter(F.col("route") == "pages").select(*named)
+    if pages is None:
+        paged = paged.withColumn("markdown", F.lit("")).withColumn("pages", F.lit(0).cast("bigint"))
+    else:
+        counts = pages.groupBy("asset_id").agg(F.count(F.lit(1)).alias("pages"))
+        joined = observations.join_pages(pages).select("asset_id", "markdown")
+        paged = paged.join(counts, "asset_id", "left").join(joined, "asset_id", "left").select(
+            *named, F.coalesce("markdown", F.lit("")).alias("markdown"), F.coalesce("pages", F.lit(0)).alias("pages"))
+    return whole.unionByName(paged.withColumn("content", F.lit(None).cast("binary")))
 
 
 def read_without_model(documents: DataFrame, pages: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -63,7 +71,9 @@ def read_with_model(documents: DataFrame, model: Model, prompt: str) -> tuple[Da
     """Evidence elements and observations from the model's replies, for every document."""
     marked = observations.need_model(documents)
     require_none(marked.filter(F.col("model_problem").isNotNull()).select("asset_id", "model_problem"), "model limit")
-    whole = documents.select("asset_id", "part", "media_type", "markdown", "content")
+    # A document delivered in parts would be read in parts, with element numbers that repeat.
+    require_none(duplicate_keys(documents, ["asset_id"]), "document too long for the model")
+    whole = documents.select("asset_id", "media_type", "markdown", "content")
     requests = observations.model_requests(whole, model.base_prompt, model.alias, prompt, model.temperature, model.max_tokens)
     replies = keep(observations.call_model(requests.select("asset_id", "media_type", "request"), model.reply_to), "replies")
     records, rejected = observations.sanitize_replies(replies)

@@ -13,7 +13,6 @@ from factline.functions.canonical import canonical
 from factline.operators import checks
 from factline.operators.versions import code_digest, recipe_hash, table_digest
 from factline.sources import artifacts
-from factline.storage import keep
 
 Step = str | Callable[[SparkSession, dict], DataFrame]
 
@@ -80,11 +79,13 @@ def run(
         problems = checks.fixed_schema(df.schema, logical)
         if problems:
             raise checks.ContractError(f"{logical}: {problems}")
-    if "evidence" in outputs and asset_table in tables:
-        outputs["evidence"] = keep(outputs["evidence"], "evidence")
-        checks.require_none(checks.check_evidence(outputs["evidence"], tables[asset_table]), "evidence")
+
+    def check(written: dict[str, DataFrame]) -> None:
+        if "evidence" in written and asset_table in tables:
+            checks.require_none(checks.check_evidence(written["evidence"], tables[asset_table]), "evidence")
+
     manifest = artifacts.publish(spark, outputs, root, scope, recipe, key,
-                                 {"id": spec.id, "version": spec.version, "digest": spec.digest()})
+                                 {"id": spec.id, "version": spec.version, "digest": spec.digest()}, check=check)
     return {"tables": artifacts.tables_of(spark, root, manifest),
             "artifact_id": manifest["artifact_id"], "recipe_hash": key, "reused": False}
 

@@ -202,7 +202,7 @@ def csv_documents(spark, sf_dir):
     path = fresh_path(spark, "csv-documents")
     rows.write.option("header", "true").option("maxRecordsPerFile", 1_000_000).csv(path)
     assets = files.scan_assets(spark, path, "*.csv", content=True)
-    return publish.facts_of(observations.csv_records(assets)).select("item", "value", "category")
+    return publish.facts_of(observations.csv_records(observations.csv_documents(assets))).select("item", "value", "category")
 
 
 @query("q_ingest_documents", """

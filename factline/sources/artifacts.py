@@ -13,6 +13,7 @@ nothing. This needs no rename and therefore also holds on object stores.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from datetime import datetime, timezone
 from uuid import uuid4
 
@@ -117,8 +118,12 @@ def publish(
     package: dict,
     sources: list[dict] | None = None,
     max_records_per_file: int = 5_000_000,
+    check: Callable[[dict[str, DataFrame]], None] | None = None,
 ) -> dict:
-    """Write the tables, check the fixed contracts, and commit by writing the manifest."""
+    """Write the tables, check the fixed contracts, and commit by writing the manifest.
+
+    `check` gets the written tables before the commit; when it raises, nothing is published.
+    """
     for name, df in tables.items():
         problems = fixed_schema(df.schema, name)
         if problems:
@@ -128,6 +133,8 @@ def publish(
     outputs = write_tables(spark, tables, folder, max_records_per_file)
     manifest = {"schema_version": SCHEMA_VERSION, "artifact_id": artifact_id, "scope_id": scope, "created_at": now(),
                 "recipe_hash": recipe_hash, "recipe": recipe, "package": package, "sources": sources or [], "outputs": outputs}
+    if check is not None:
+        check(tables_of(spark, root, manifest))
     row = check_manifests(
         spark.createDataFrame([(artifact_id, canonical(manifest))], "folder string, text string"), scope, SCHEMA_VERSION).first()
     if row["status"] != "ok":

@@ -17,7 +17,7 @@ INPUT_SHA = "0b20d847c0033e537f5f7ab94319beeef1ce6248929253316acf24142b3b2516"
 def folder(tmp_path):
     (tmp_path / "input.csv").write_bytes(INPUT.encode() + b"\n")
     (tmp_path / "history.csv").write_text("item,value,category\nA,10,\nB,20,\n")
-    (tmp_path / "odd.csv").write_text('﻿item,value,category\n"x\ny",,\n\nz,1_0\n', encoding="utf-8")
+    (tmp_path / "odd.csv").write_bytes('\ufeffitem,value,category\r\n"x\r\ny",,\n\nz,1_0\n'.encode())
     (tmp_path / "picture.png").write_bytes(bytes.fromhex("89504e470d0a1a0a") + b"\0" * 20)
     (tmp_path / "notes.bin").write_bytes(b"?" * 500)
     return str(tmp_path)
@@ -36,7 +36,7 @@ def test_assets(spark, folder):
 
 def test_csv_records_to_published_tables(spark, folder):
     assets = files.scan_assets(spark, folder, "input.csv", content=True)
-    records = obs.csv_records(assets, batch=1)
+    records = obs.csv_records(obs.csv_documents(assets), batch=1)
     facts = publish.facts_of(records)
     assert facts.agg(F.count("*"), F.sum("value")).first()[:] == (2, 30.0)
     assert sorted(r["locator_json"] for r in publish.evidence_of(records).collect()) == ['{"row":2}', '{"row":3}']
@@ -46,7 +46,7 @@ def test_csv_records_to_published_tables(spark, folder):
 
 def test_csv_corner_cases(spark, folder):
     assets = files.scan_assets(spark, folder, "odd.csv", content=True)
-    got = rows(obs.csv_records(assets), "key", "item", "value", "category", "quote")
+    got = rows(obs.csv_records(obs.csv_documents(assets)), "key", "item", "value", "category", "quote")
     assert got == [("2", "x\ny", None, None, '{"item": "x\\ny", "value": "", "category": ""}'),
                    ("3", "z", 10.0, None, '{"item": "z", "value": "1_0", "category": null}')]
 
@@ -65,7 +65,7 @@ def test_tables_from_files(spark, folder, tmp_path):
 def test_bad_number_fails(spark):
     assets = spark.createDataFrame([("a", b"item,value\nA,ten\n")], "asset_id string, content binary")
     with pytest.raises(Exception, match="could not convert"):
-        obs.csv_records(assets).collect()
+        obs.csv_records(obs.csv_documents(assets)).collect()
 
 
 def test_table_records_match_both_ways(spark):
