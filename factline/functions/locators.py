@@ -11,6 +11,15 @@ WHOLE = r"^(BIGINT|DECIMAL\((19|2\d|3\d),0\))$"
 NUMBER = r"^(BIGINT|DOUBLE|FLOAT|BOOLEAN|DECIMAL\(.*)$"
 
 
+# Locators that need no parsing: empty, or one row or page number from 1.
+PLAIN = r'^\{(?:"(?:row|page)":[1-9][0-9]{0,17})?\}$'
+
+
+def plain_page(locator: Column) -> Column:
+    """The page number of a plain locator; null when it has none."""
+    return F.nullif(F.regexp_extract(locator, r'^\{"page":([0-9]+)\}$', 1), F.lit("")).cast("decimal(38,0)")
+
+
 def part(document: Column, path: str) -> Column:
     return F.try_variant_get(document, path, "variant")
 

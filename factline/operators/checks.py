@@ -56,12 +56,16 @@ def check_evidence(evidence: DataFrame, assets: DataFrame) -> DataFrame:
     pages = F.col("pages") if "pages" in assets.columns else F.lit(None)
     known = assets.select("asset_id", F.lit(True).alias("_known"), pages.cast("bigint").alias("pages"))
     document = F.col("_document")
-    parsed = once(evidence, _document=F.try_parse_json("locator_json"))
+    locator = F.col("locator_json")
+    plain = F.coalesce(locator.rlike(locators.PLAIN), F.lit(False))
+    parsed = once(evidence, _plain=plain)
+    parsed = once(parsed, _document=F.when(~F.col("_plain"), F.try_parse_json(locator)))
     # What the row alone can tell is settled before the join, so that quotes are not shuffled.
     judged = once(
         parsed,
-        _page=locators.whole_number(document, "$.page"),
-        _problem=F.when(F.col("quote").isNull(), "quote is not text").otherwise(locators.locator_problem(document)),
+        _page=F.when(F.col("_plain"), locators.plain_page(locator)).otherwise(locators.whole_number(document, "$.page")),
+        _problem=F.when(F.col("quote").isNull(), "quote is not text")
+        .when(~F.col("_plain"), locators.locator_problem(document)),
     ).select("evidence_id", "asset_id", "locator_json", "_page", "_problem")
     reason = (
         F.when(F.coalesce("evidence_id", F.lit("")) == "", "evidence id is empty")

@@ -13,6 +13,7 @@ from factline.functions.canonical import canonical
 from factline.operators import checks
 from factline.operators.versions import code_digest, recipe_hash, table_digest
 from factline.sources import artifacts
+from factline.storage import spread
 
 Step = str | Callable[[SparkSession, dict], DataFrame]
 
@@ -82,7 +83,7 @@ def run(
 
     def check(written: dict[str, DataFrame]) -> None:
         if "evidence" in written and asset_table in tables:
-            checks.require_none(checks.check_evidence(written["evidence"], tables[asset_table]), "evidence")
+            checks.require_none(checks.check_evidence(spread(written["evidence"], "evidence_id"), tables[asset_table]), "evidence")
 
     manifest = artifacts.publish(spark, outputs, root, scope, recipe, key,
                                  {"id": spec.id, "version": spec.version, "digest": spec.digest()}, check=check)

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from factline.functions.canonical import canonical
 from factline.operators.checks import ContractError, check_manifests, fixed_schema, verify_files
 from factline.operators.versions import content_digest, table_digest
+from factline.storage import spread
 
 SCHEMA_VERSION = "evidence-artifact/v1"
 # Largest part file that is hashed as a whole.
@@ -83,7 +84,7 @@ def write_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
         path = f"{folder}/outputs/{name}"
         df.write.option("maxRecordsPerFile", max_records_per_file).parquet(path)
         stored = spark.read.schema(df.schema).parquet(path)
-        rows, digest = table_digest(stored)
+        rows, digest = table_digest(spread(stored, df.columns[0]))
         kind = {"documents": "document", "evidence": "evidence", "image_bytes": "image"}.get(name, "table")
         entries.append({"name": name, "kind": kind, "format": "parquet", "path": f"outputs/{name}",
                         "rows": rows, "content_digest": digest, "schema": json.loads(df.schema.json())})
