@@ -84,7 +84,7 @@ def write_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
         path = f"{folder}/outputs/{name}"
         df.write.option("maxRecordsPerFile", max_records_per_file).parquet(path)
         stored = spark.read.schema(df.schema).parquet(path)
-        rows, digest = table_digest(spread(stored, df.columns[0]))
+        rows, digest = table_digest(spread(stored))
         kind = {"documents": "document", "evidence": "evidence", "image_bytes": "image"}.get(name, "table")
         entries.append({"name": name, "kind": kind, "format": "parquet", "path": f"outputs/{name}",
                         "rows": rows, "content_digest": digest, "schema": json.loads(df.schema.json())})

@@ -41,8 +41,9 @@ def keep(df: DataFrame, label: str = "table", max_records_per_file: int = 5_000_
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Distribute a scan that has fewer partitions than there are cores, before heavy per-row work.
 
-    A large table has many more input partitions than cores and is returned as it is. Give a
-    key with many values; only select the columns that are needed first.
+    A large table has many more input partitions than cores and is returned as it is. Select
+    only the needed columns first. With a key (one with many values) rows are placed by it;
+    without one they are dealt out evenly.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if scan.rdd.getNumPartitions() >= cores:
