@@ -31,7 +31,7 @@ from factline.llm.arrow import blocks
 # Fixed value: how byte-level tokenizers cut a text into pieces.
 PIECES = r" ?\p{L}+|'(?:s|t|re|ve|m|ll|d)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces and pairs remembered by a worker, and the longest remembered piece.
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 250_000, 48
 _NEVER = 1 << 60
 
 
@@ -99,7 +99,7 @@ class Codec:
                         break
                 if not known:
                     break
-            if len(self._fits) >= 4 * REMEMBERED:
+            if len(self._fits) >= 2 * REMEMBERED:
                 self._fits.clear()
             self._fits[left, right] = known
         return known
@@ -204,16 +204,21 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "de
     return encoded.select(*others).mapInArrow(run, schema)
 
 
-def digests(decoded: DataFrame, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Per document the number of ids, and hashes of the ids (unsigned 32-bit, little-endian) and of the decoded text."""
+def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """Encode and decode each whole text in one pass: doc_id, n_tokens, and hashes of the ids
+    (unsigned 32-bit, little-endian) and of the decoded text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in batches:
-            arrays = list(_arrays(block, ids))
-            yield pa.record_batch([
-                block.column("doc_id"), pa.array(map(len, arrays), pa.int64()),
-                pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in arrays]), block.column("decoded_sha256"),
-            ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    hashed = decoded.select("doc_id", ids, F.sha2(F.col(text).cast("binary"), 256).alias("decoded_sha256"))
-    return hashed.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        own = codec(tokenizer)
+        for block in blocks(batches, "text"):
+            counts, hashes, decoded = [], [], []
+            for text in block.column("text").to_pylist():
+                ids = own.encode(text)
+                counts.append(len(ids))
+                hashes.append(hashlib.sha256(ids.tobytes()).hexdigest())
+                decoded.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
+            yield pa.record_batch([block.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()),
+                                   pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

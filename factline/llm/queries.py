@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.llm import bpe, fuzzy, html
+from factline.llm import bpe, fuzzy, html, line_dedup, mixing, quality, words
+from factline.storage import keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,7 +42,40 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy.against_edits(table(spark, sf_dir, "documents"))
 
 
+OP4 = r"""
+WITH lines AS (
+    SELECT doc_id, i, line, translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS i
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))),
+repeated AS (
+    SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+    SELECT l.*, r.key IS NOT NULL AND l.doc_id <> r.keeper AS dropped FROM lines l LEFT JOIN repeated r ON l.key = r.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+
+@query("op4_line_dedup", OP4)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op7_bpe_round_trip")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), path)
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("tie")
+
+
+@query("op9_source_mix")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = table(spark, sf_dir, "documents").select("doc_id", "source", words.n_words(F.col("text")).alias("size"))
+    mixed = mixing.mix(keep(sized, "sizes"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
