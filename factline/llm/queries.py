@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.llm import bpe, fuzzy, html, line_dedup, mixing, quality, words
+from factline.llm import bpe, fuzzy, html, line_dedup, mixing, quality, simhash, words
 from factline.storage import keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = table(spark, sf_dir, "documents").select("doc_id", "source", words.n_words(F.col("text")).alias("size"))
     mixed = mixing.mix(keep(sized, "sizes"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op10_simhash_groups")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
