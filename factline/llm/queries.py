@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.llm import bpe, fuzzy, html, line_dedup, mixing, quality, simhash, words
+from factline.llm import bpe, fuzzy, html, line_dedup, mixing, phrases, quality, simhash, substrings, words
 from factline.storage import keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy.against_edits(table(spark, sf_dir, "documents"))
 
 
+@query("op3_suffix_array_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 OP4 = r"""
 WITH lines AS (
     SELECT doc_id, i, line, translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -63,6 +68,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op5_phrase_automata_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = phrases.kept_words(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op7_bpe_round_trip")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
