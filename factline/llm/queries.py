@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.llm import bpe, fuzzy, html, line_dedup, mixing, phrases, quality, simhash, substrings, words
+from factline.llm import bpe, ctw, fuzzy, html, line_dedup, mixing, phrases, quality, simhash, substrings, words
 from factline.storage import keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op6_context_tree_scores")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return ctw.scores(table(spark, sf_dir, "documents"), held_out)
+
+
 @query("op7_bpe_round_trip")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
