@@ -1,12 +1,55 @@
-"""A training corpus from raw documents, stage by stage."""
+"""A training corpus from raw documents: quality, repeated lines, near copies, source mix, token ids."""
 
-STAGES = []
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from factline.llm import bpe, line_dedup, mixing, quality, simhash, words
+from factline.storage import keep
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the rules reject."""
+    judged = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.filter("kept").select(*docs.columns)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop long lines that many documents share; n_chars follows."""
+    kept = line_dedup.dedup_lines(docs)
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies."""
+    return simhash.first_of_groups(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take each document as often as its source's target asks."""
+    mixed = mixing.mix(docs.withColumn("_size", words.n_words(F.col("text"))), "_size")
+    return mixed.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of each document."""
+    encoded = bpe.encode(docs.select("doc_id", "source", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return encoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [("quality rules", quality_rules), ("line dedup", repeated_lines), ("SimHash near-dedup", near_copies),
+          ("source mix", source_mix), ("BPE encoding", token_ids)]
+#: The likelihood ratios, fingerprints and merges of the stages are beyond SQL; tests compare them with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Apply the stages to the documents."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to the documents, storing what each one keeps."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for at, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if at + 1 < len(STAGES):
+            docs = keep(docs, "stage")
     return docs

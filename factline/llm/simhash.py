@@ -1,13 +1,14 @@
 """Near-duplicate groups by SimHash fingerprints and the generalised pigeonhole principle.
 
-A document's fingerprint has a bit set where more than half of its shingle hashes have it.
-Equal fingerprints are folded first. The 64 bits are dealt into partitions so that correlated
+A document's fingerprint has a bit set where more than half of its shingle hashes have it;
+it has one or more lanes of 64 bits, from differently mixed hashes. Equal fingerprints are folded first. The 64 bits of the first lane are dealt into partitions so that correlated
 bits lie together. If two fingerprints differ in at most `radius` bits, then for thresholds
 that add up to radius - partitions + 1 they differ in at most its threshold in some
 partition. Dynamic programming picks the thresholds (-1: not probed) with the least rows to
 probe and candidates to check, estimated from a bounded sample of fingerprints. Fingerprints
 meet in buckets, one for each partition and probed value, where all of them are compared on
-all 64 bits. A bucket emits a spanning forest of its links, never all pairs, which keeps
+all bits: they link if the first lane differs in at most `radius` bits and all lanes in at
+most `total`. A bucket emits a spanning forest of its links, never all pairs, which keeps
 every component whole; a bucket over `LIMIT` rows is compared as pairs of blocks in tasks of
 their own. Components then join the forests.
 
@@ -29,7 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from factline.llm.arrow import blocks
 from factline.llm.graph import components
+from factline.llm.recurring import mixed
 from factline.storage import keep
 
 BITS = 64
@@ -40,33 +43,42 @@ SAMPLE, LIMIT = 4_096, 4_096
 ROW_COST = 500
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """The fingerprint of a UTF-8 text, as a signed 64-bit integer."""
+def fingerprint(text: bytes, shingle: int, lanes: int = 1) -> list[int]:
+    """The fingerprint of a UTF-8 text, as signed 64-bit integers."""
     words = text.lower().split()  # bytes: A-Z only, and exactly the word rule's white space
     if not words:
-        return 0
+        return [0] * lanes
     if len(words) < shingle:
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*[words[i:] for i in range(shingle)]))
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(x, SEED) for x in shingles), np.uint64)
-    totals = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 8_192):
-        part = hashes[at:at + 8_192].astype(">u8").view(np.uint8).reshape(-1, 8)
-        totals += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * totals > len(hashes)).tobytes(), "big", signed=True)
+    found = []
+    for lane in range(lanes):
+        totals = np.zeros(BITS, np.int64)
+        for at in range(0, len(hashes), 8_192):
+            part = hashes[at:at + 8_192]
+            part = (mixed(part + np.uint64(lane)) if lane else part).astype(">u8").view(np.uint8).reshape(-1, 8)
+            totals += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+        found.append(int.from_bytes(np.packbits(2 * totals > len(hashes)).tobytes(), "big", signed=True))
+    return found
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """The columns of `docs` without `text`, and `fp` (long)."""
-    others = [c for c in docs.columns if c not in ("text", "fp")]
-    schema = T.StructType([*[docs.schema[c] for c in others], T.StructField("fp", T.LongType(), False)])
+def lane_names(lanes: int) -> list[str]:
+    return ["fp", *[f"fp{lane}" for lane in range(2, lanes + 1)]]
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3, lanes: int = 1) -> DataFrame:
+    """The columns of `docs` without `text`, and the lanes `fp`, `fp2`, ... (long)."""
+    made = lane_names(lanes)
+    others = [c for c in docs.columns if c not in ("text", *made)]
+    schema = T.StructType([*[docs.schema[c] for c in others], *[T.StructField(c, T.LongType(), False) for c in made]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [fingerprint(x.as_py(), shingle) for x in batch.column("_raw")]
-            yield pa.record_batch([*[batch.column(c) for c in others], pa.array(found, pa.int64())], [*others, "fp"])
+        for block in blocks(batches, "_raw"):
+            found = np.array([fingerprint(x, shingle, lanes) for x in block.column("_raw").to_pylist()], np.int64).T
+            yield pa.record_batch([*[block.column(c) for c in others], *map(pa.array, found)], [*others, *made])
 
     raw = F.coalesce("text", F.lit("")).cast("binary").alias("_raw")
     return docs.select(*others, raw).mapInArrow(run, schema)
@@ -166,38 +178,46 @@ def plan(distinct: DataFrame, radius: int) -> list[tuple[list[int], int]]:
     return min(made, key=lambda x: x[0])[1]
 
 
-def _forest(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among distinct values."""
-    n = len(values)
-    if n <= 256:
-        near = np.bitwise_count(values[:, None] ^ values[None]) <= radius
-        if near.sum() == n:
-            return values[:0], values[:0]
-    ends, starts = [], []
-    waiting = np.arange(n)
+def _near(one: np.ndarray, other: np.ndarray, radius: int, total: int) -> np.ndarray:
+    """Whether fingerprints link; lanes in the last axis."""
+    apart = np.bitwise_count(one[..., 0] ^ other[..., 0])
+    near = apart <= radius
+    if one.shape[-1] > 1:
+        whole = apart.astype(np.int16)
+        for lane in range(1, one.shape[-1]):
+            whole += np.bitwise_count(one[..., lane] ^ other[..., lane])
+        near &= whole <= total
+    return near
+
+
+def _forest(values: np.ndarray, radius: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links among distinct fingerprints, as row numbers."""
+    waiting = np.arange(len(values))
+    if len(values) <= 1024:
+        linked = _near(values[:, None], values[None], radius, total).sum(axis=1) > 1
+        waiting = waiting[linked]
+    ends, starts = [waiting[:0]], [waiting[:0]]
     while len(waiting):
         queue, waiting = [waiting[0]], waiting[1:]
         while queue and len(waiting):
             at = queue.pop()
-            hit = np.bitwise_count(values[waiting] ^ values[at]) <= radius
+            hit = _near(values[waiting], values[at], radius, total)
             if hit.any():
                 found = waiting[hit]
                 waiting = waiting[~hit]
                 queue.extend(found.tolist())
-                starts.append(np.full(len(found), values[at]))
-                ends.append(values[found])
-    if not ends:
-        return values[:0], values[:0]
+                starts.append(np.full(len(found), at))
+                ends.append(found)
     return np.concatenate(starts), np.concatenate(ends)
 
 
-def _in_buckets(radius: int):
+def _in_buckets(radius: int, total: int, lanes: list[str]):
     keys = ["part", "value", "pair"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
-            columns = [np.asarray(batch.column(c)) for c in [*keys, "fp"]]
+            columns = [np.asarray(batch.column(c)) for c in [*keys, "node", *lanes]]
             if held is not None:
                 columns = [np.concatenate(both) for both in zip(held, columns)]
             if not len(columns[0]):
@@ -207,52 +227,75 @@ def _in_buckets(radius: int):
                 changed[1:] |= column[1:] != column[:-1]
             starts = np.append(0, np.flatnonzero(changed))
             held = [column[starts[-1]:] for column in columns]
-            yield from groups(columns[3], starts)
+            yield from groups(columns[3], columns[4:], starts)
         if held is not None:
-            yield from groups(held[3], np.array([0, len(held[3])]))
+            yield from groups(held[3], held[4:], np.array([0, len(held[3])]))
 
-    def groups(fps: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        fps, a, b = fps.view(np.uint64), [], []
+    def groups(nodes: np.ndarray, fps: list[np.ndarray], starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
         for at in np.flatnonzero(np.diff(starts) > 1):
-            one, other = _forest(np.unique(fps[starts[at]:starts[at + 1]]), radius)
+            own, first = np.unique(nodes[starts[at]:starts[at + 1]], return_index=True)
+            values = np.stack([lane[starts[at]:starts[at + 1]][first].view(np.uint64) for lane in fps], axis=-1)
+            one, other = _forest(values, radius, total)
             if len(one):
-                a.append(one)
-                b.append(other)
+                a.append(own[one])
+                b.append(own[other])
         if a:
-            yield pa.record_batch([pa.array(np.concatenate(x).view(np.int64)) for x in (a, b)], ["a", "b"])
+            yield pa.record_batch([pa.array(np.concatenate(x)) for x in (a, b)], ["a", "b"])
 
     return run
 
 
-def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
-    """Edges (a, b) that connect whatever pairs of `fp` within the radius connect."""
-    probes = plan(distinct, radius)
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+
+
+def links(distinct: DataFrame, radius: int = 2, total: int = 2, lanes: int = 1) -> DataFrame:
+    """Edges (a, b) between `node`s that connect whatever linked pairs of fingerprints connect."""
+    named = lane_names(lanes)
     rows = None
-    for number, (part, threshold) in enumerate(probes):
+    for number, (part, threshold) in enumerate(plan(distinct, radius)):
         masks = sorted({mask for side in halves(threshold) for mask in flips(part, side)})
-        mask = np.array([mask_of(part)], np.uint64).view(np.int64)[0].item()
-        flipped = F.explode(F.array(*[F.lit(np.array([m], np.uint64).view(np.int64)[0].item()) for m in masks]))
-        own = distinct.select("fp", flipped.alias("flip")).select(
-            F.lit(number).alias("part"), (F.col("fp").bitwiseAND(F.lit(mask))).bitwiseXOR(F.col("flip")).alias("value"), "fp")
+        flipped = F.explode(F.array(*[F.lit(_signed(mask)) for mask in masks])).alias("flip")
+        own = distinct.select("node", *named, flipped).select(
+            F.lit(number).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(mask_of(part)))).bitwiseXOR(F.col("flip")).alias("value"),
+            "node", *named)
         rows = own if rows is None else rows.unionByName(own)
     sizes = keep(rows.groupBy("part", "value").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     met = rows.join(sizes, ["part", "value"])
     count = F.ceil(F.col("n") / LIMIT)
-    block = F.pmod(F.xxhash64("fp"), count)
+    block = F.pmod(F.xxhash64("node"), count)
     # A large bucket becomes pairs of blocks, each a group of its own.
     pair = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda other: (
-        F.least(block, other) * count + F.greatest(block, other))))
-    dealt = met.select("part", "value", pair.alias("pair"), "fp").repartition("part", "value", "pair").sortWithinPartitions("part", "value", "pair")
-    return dealt.mapInArrow(_in_buckets(radius), "a long, b long")
-
-
-def groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """`docs` without `text`, with `fp` and `component_id`, the smallest doc_id that links reach."""
-    printed = keep(fingerprints(docs, shingle), "fingerprints")
-    distinct = keep(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    joined = components(links(distinct, radius)).withColumnRenamed("node", "fp")
-    named = distinct.join(joined, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    named = keep(named, "components")
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of = named.join(least, "component").select("fp", "component_id")
-    return printed.join(of, "fp").select(*printed.columns, "component_id")
+        F.least(block, other) * count + F.greatest(block, other)))).alias("pair")
+    dealt = met.select("part", "value", pair, "node", *named).repartition("part", "value", "pair").sortWithinPartitions("part", "value", "pair")
+    return dealt.mapInArrow(_in_buckets(radius, total, named), "a long, b long")
+
+
+def groups(docs: DataFrame, shingle: int = 3, radius: int = 2, total: int | None = None, lanes: int = 1) -> DataFrame:
+    """`docs` without `text`, with the lanes and `component_id`, the smallest doc_id that links reach."""
+    named = lane_names(lanes)
+    printed = keep(fingerprints(docs, shingle, lanes), "fingerprints")
+    node = F.col("fp") if lanes == 1 else F.xxhash64(*named)
+    distinct = keep(printed.groupBy(*named).agg(F.min("doc_id").alias("first")).withColumn("node", node), "distinct-fingerprints")
+    joined = components(links(distinct, radius, radius if total is None else total, lanes))
+    parts = keep(distinct.join(joined, "node", "left").select(*named, "first", F.coalesce("component", "node").alias("component")), "components")
+    least = parts.groupBy("component").agg(F.min("first").alias("component_id"))
+    return printed.join(parts.join(least, "component").select(*named, "component_id"), named).select(*printed.columns, "component_id")
+
+
+def first_of_groups(docs: DataFrame, shingle: int = 5, radius: int = 12, total: int = 24, lanes: int = 2) -> DataFrame:
+    """One document of each group, the one with the smallest doc_id; of repeated rows one stays.
+
+    As given, groups hold near copies at a similarity of 0.8 or more of five-word shingles:
+    fingerprints of such pairs differ in 19 of 128 bits on average, and the limits leave room
+    for the spread of that count.
+    """
+    tied = docs.withColumn("_tie", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = groups(tied.select("doc_id", "_tie", "text"), shingle, radius, total, lanes)
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Rows that share the smallest id, whatever their texts: the least hash stays.
+    kept = kept.groupBy("doc_id").agg(F.min("_tie").alias("_least"))
+    kept = kept.select(F.col("doc_id").alias("_id"), "_least")
+    whole = tied.join(kept, tied["doc_id"].eqNullSafe(kept["_id"]) & (tied["_tie"] == kept["_least"]), "left_semi")
+    return whole.dropDuplicates(["doc_id", "_tie"]).select(*docs.columns)
