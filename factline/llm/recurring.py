@@ -74,14 +74,19 @@ def ordered(docs: DataFrame) -> DataFrame:
                        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
 
-def _first_rows(anchor, context, doc, alone: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Of rows sorted by (anchor, context, doc, start): where contexts begin, and which rows stay."""
+def _first_rows(anchor, context, doc, start, alone: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows sorted by (anchor, context, doc, start): where contexts begin, which rows stay, and which are repeats.
+
+    A row at the very place of the first one, of a repeated document, is neither.
+    """
     n = len(anchor)
     begins = np.ones(n, bool)
     begins[1:] = (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1])
+    first = np.flatnonzero(begins)[np.cumsum(begins) - 1]
+    same_doc = doc == doc[first]
     if alone:
-        return begins, begins
-    return begins, doc == doc[np.flatnonzero(begins)][np.cumsum(begins) - 1]
+        return begins, begins, ~(same_doc & (start == start[first]))
+    return begins, same_doc, ~same_doc
 
 
 def _merged(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,8 +133,8 @@ def _in_partition(contexts: Callable, alone: bool):
         order = np.lexsort((start, doc))
         order = order[np.argsort(context[order], kind="stable")]
         doc, anchor, context, start, size = doc[order], anchor[order], context[order], start[order], size[order]
-        _, stays = _first_rows(anchor, context, doc, alone)
-        yield from _spans(doc[~stays], start[~stays], size[~stays])
+        _, stays, later = _first_rows(anchor, context, doc, start, alone)
+        yield from _spans(doc[later], start[later], size[later])
         kept = np.flatnonzero(stays)
         for at in range(0, len(kept), 50_000):
             rows = kept[at:at + 50_000]
@@ -157,9 +162,8 @@ def _across(alone: bool):
             anchor, context, doc, start, size = rows
             if not len(anchor):
                 continue
-            begins, stays = _first_rows(anchor, context, doc, alone)
-            stays[:n_held] = True
-            yield from _spans(doc[~stays], start[~stays], size[~stays])
+            begins, stays, later = _first_rows(anchor, context, doc, start, alone)
+            yield from _spans(doc[later], start[later], size[later])
             turn = np.ones(len(anchor), bool)
             turn[1:] = anchor[1:] != anchor[:-1]
             group = np.cumsum(turn) - 1
