@@ -39,7 +39,7 @@ from factline.storage import keep
 DEPTH = 5
 END = 10
 #: Text in a block and in a chunk of it, and strings whose trees are built at once.
-BLOCK_CHARS, CHUNK_BYTES, AT_ONCE = 64 << 20, 4 << 20, 200_000
+BLOCK_CHARS, CHUNK_BYTES, AT_ONCE = 64 << 20, 1 << 20, 100_000
 STRING, WORD, TEXTS = 0, 1, 2
 _WHOLE = np.uint64((1 << 8 * (DEPTH + 1)) - 1)
 
@@ -86,7 +86,7 @@ class _Counts:
             self._keys.append(found)
             self._counts.append(counts * weight)
             self._waiting += len(found)
-        if self._waiting > 4_000_000:
+        if self._waiting > 1_500_000:
             self._keys, self._counts = map(lambda x: [x], self.total())
             self._waiting = 0
 
