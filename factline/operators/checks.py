@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from factline.functions import locators
 from factline.functions.once import once
+from factline.functions.text import UUID
 
 # The columns of the published tables, all text.
 FIXED_COLUMNS = {
@@ -20,7 +21,6 @@ FORMATS = ["parquet", "jsonl", "markdown", "png", "jpeg", "webp"]
 KINDS = ["document", "table", "evidence", "image"]
 IMAGE_TYPES = ["image/png", "image/jpeg", "image/webp"]
 SHA256 = "^[0-9a-f]{64}$"
-UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 CREATED_AT = r"^\d{4}-\d{2}-\d{2}T.*Z$"
 MANIFEST_SCHEMA = (
     "schema_version string, artifact_id string, scope_id string, created_at string, recipe_hash string, "
@@ -134,7 +134,7 @@ def check_manifests(manifests: DataFrame, scope: str, schema_version: str) -> Da
     rules: list[tuple[Column, str]] = [
         (F.col("_m._corrupt_record").isNotNull() | ~F.ltrim("text").startswith("{"), "contract invalid"),
         (_bad(F.col("_m.schema_version") == schema_version), "contract invalid"),
-        (_bad(F.col("_m.artifact_id").rlike(UUID)), "contract invalid"),
+        (_bad(F.col("_m.artifact_id").rlike(f"^{UUID}$")), "contract invalid"),
         (_bad(F.length("_m.scope_id") > 0), "contract invalid"),
         (_bad(F.col("_m.created_at").rlike(CREATED_AT)), "contract invalid"),
         (_bad(F.col("_m.recipe_hash").rlike(SHA256)), "contract invalid"),

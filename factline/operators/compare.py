@@ -7,7 +7,7 @@ that is duplicated on both sides never produces pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -76,7 +76,12 @@ def fill_missing(df: DataFrame, supplement: DataFrame, keys: list[str], columns:
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & (F.col(k) == F.col(f"_k{i}"))
-    joined = df.join(told, same, "left")
+    # A row with a null key matches nothing; it stays out of the join, where all of them would meet in one task.
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    alone = df.filter(~whole).select("*", *[F.lit(None).cast(told.schema[f"_s_{c}"].dataType).alias(f"_s_{c}") for c in columns])
+    joined = df.filter(whole).join(told, same, "left").drop(*[f"_k{i}" for i in range(len(keys))]).unionByName(alone)
     filled = {c: F.coalesce(F.col(c), F.col(f"_s_{c}")) for c in columns}
     flags = [(F.col(c).isNull() & F.col(f"_s_{c}").isNotNull()).alias(f"{c}_filled") for c in columns]
     return joined.select(*[filled.get(c, F.col(c)).alias(c) for c in df.columns], *flags)
@@ -112,11 +117,15 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def coverage(df: DataFrame, group: list[str], period: str, key: str, old, new) -> DataFrame:
-    """How many keys of each group were seen in the old period, the new one, or both."""
+    """How many keys of each group were seen in the old period, the new one, or both.
+
+    Periods are `(start, end)` ranges of the column, the end not included, so that they reach the scan.
+    """
+    within = lambda span: (F.col(period) >= F.lit(span[0])) & (F.col(period) < F.lit(span[1]))
     seen = (
-        df.filter(F.col(period).isin(old, new))
+        df.filter(within(old) | within(new))
         .groupBy(*group, key)
-        .agg(F.max(F.col(period) == old).alias("_old"), F.max(F.col(period) == new).alias("_new"))
+        .agg(F.max(within(old)).alias("_old"), F.max(within(new)).alias("_new"))
     )
     return seen.groupBy(*group).agg(
         F.count_if("_old").alias("old_keys"), F.count_if("_new").alias("new_keys"),
@@ -129,26 +138,28 @@ def coverage(df: DataFrame, group: list[str], period: str, key: str, old, new) -
 def conflicts(facts: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """Every distinct value of the keys that have more than one, with its observation count.
 
-    The values stay side by side as rows; equal observations are combined before the shuffle,
-    and that one shuffle feeds both the values and the count of values per key.
+    The values stay side by side as rows. A first pass, combined before its shuffle, finds the
+    keys whose least and greatest values differ or that have both nulls and values; only rows
+    of these keys are joined and counted by value.
     """
-    values = facts.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("observations"))
+    both = (F.min(value) != F.max(value)) | ((F.count(value) > 0) & (F.count(value) < F.count(F.lit(1))))
     several = (
-        values.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        .agg(F.count(F.lit(1)).alias("distinct_values"), F.sum("observations").alias("key_observations"))
-        .filter(F.col("distinct_values") > 1)
+        facts.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        .agg(both.alias("_both"), F.count(F.lit(1)).alias("key_observations")).filter("_both")
     )
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return values.join(several, same).select(*keys, value, "observations", "distinct_values", "key_observations")
+    values = facts.join(several, same).groupBy(*keys, value, "key_observations").agg(F.count(F.lit(1)).alias("observations"))
+    counted = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return values.select(*keys, value, "observations", counted.alias("distinct_values"), "key_observations")
 
 
 def with_evidence(facts: DataFrame, evidence: DataFrame) -> DataFrame:
     """Facts with the locator and quote that support them; a gap leaves both null."""
-    cited = evidence.select("evidence_id", "asset_id", "locator_json", "quote")
+    cited = evidence.select("evidence_id", "asset_id", "locator_json", "quote", F.lit(True).alias("_cited"))
     return facts.join(cited, ["evidence_id", "asset_id"], "left").select(
-        *facts.columns, "locator_json", "quote", F.col("locator_json").isNull().alias("evidence_gap")
+        *facts.columns, "locator_json", "quote", F.col("_cited").isNull().alias("evidence_gap")
     )
 
 

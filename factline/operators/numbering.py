@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 
 from factline.storage import fresh_path, keep
 
-# A group up to this many rows is numbered by a plain window inside one task.
-HOT_ROWS = 2_000_000
 # Positions in this many consecutive sequence numbers are totalled first (see running_totals).
 BLOCK = 4_096
 
@@ -57,26 +55,13 @@ def _placed(df: DataFrame, order: list[str], label: str) -> DataFrame:
     return stored.select(*df.columns, part_of(at).alias("_part"), position_of(at).alias("_pos"))
 
 
-def number_within(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    start: int = 1,
-    name: str = "n",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def number_within(df: DataFrame, group: list[str], order: list[str], start: int = 1, name: str = "n") -> DataFrame:
     """Number the rows of each group in `order`, counting from `start`.
 
-    The size of the largest group is measured first. Small groups use one window. When any
-    group is larger than `hot_rows`, the table is range-sorted and stored; each partition
-    then contributes one count per group it holds, and a row's number is its position plus
-    the rows its group has in earlier partitions. Give a total order for repeatable numbers.
+    The table is range-sorted and stored; each partition then contributes one count per group
+    it holds, and a row's number is its position plus the rows its group has in earlier
+    partitions. Give a total order for repeatable numbers.
     """
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if largest <= hot_rows:
-        window = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(window) + (start - 1)).cast("bigint"))
-
     placed = _placed(df, [*group, *order], "numbered")
     earlier = Window.partitionBy(*[f"_g{i}" for i in range(len(group))]).orderBy("_p")
     # Stored, so that Spark plans the join with its real size and moves the rows only if it must.

@@ -74,15 +74,10 @@ def payload_facts(df: DataFrame) -> DataFrame:
         evidence_id(F.col("asset_id"), element["key"]).alias("evidence_id"), "asset_id", "pos")
 
 
-def fold_params(rows: DataFrame, most: int = 10_000) -> DataFrame:
+def fold_params(rows: DataFrame) -> DataFrame:
     """Fold `(name, value_json)` rows into one JSON object; `{}` when there are none.
 
-    Parameters belong to one run, so the object is one cell. More than `most` names is
-    refused, not cut; a name given twice fails.
+    Parameters belong to one run, so the object is one cell; a name given twice fails.
     """
-    checked = rows.limit(most + 1)
     folded = F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value_json"))))
-    return checked.agg(
-        F.when(F.count(F.lit(1)) > most, F.raise_error(F.lit(f"more than {most} parameters")))
-        .otherwise(F.coalesce(F.to_json(folded), F.lit("{}"))).alias("params_json")
-    )
+    return rows.agg(F.coalesce(F.to_json(folded), F.lit("{}")).alias("params_json"))

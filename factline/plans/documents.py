@@ -34,13 +34,14 @@ def read_documents(assets: DataFrame, pages: DataFrame | None) -> DataFrame:
     join. Bytes are kept for images alone.
     """
     routed = observations.route_assets(assets)
+    require_none(duplicate_keys(assets.select("asset_id"), ["asset_id"]), "asset ids")
     require_none(routed.filter(F.col("route") == "rejected").select("asset_id", "reason"), "documents")
     named = ["asset_id", "original_name", "media_type", "route"]
     image = F.col("route") == "image"
     whole = routed.filter(F.col("route") != "pages").select(
         *named,
         F.when(image, observations.IMAGE_MARKDOWN).otherwise(text.file_text(F.col("content"))).alias("markdown"),
-        F.lit(0).cast("bigint").alias("pages"),
+        F.lit(None).cast("bigint").alias("pages"),
         F.when(image, F.col("content")).alias("content"),
     )
     paged = routed.filter(F.col("route") == "pages").select(*named)
@@ -71,8 +72,6 @@ def read_with_model(documents: DataFrame, model: Model, prompt: str) -> tuple[Da
     """Evidence elements and observations from the model's replies, for every document."""
     marked = observations.need_model(documents)
     require_none(marked.filter(F.col("model_problem").isNotNull()).select("asset_id", "model_problem"), "model limit")
-    # A document delivered in parts would be read in parts, with element numbers that repeat.
-    require_none(duplicate_keys(documents, ["asset_id"]), "document too long for the model")
     whole = documents.select("asset_id", "media_type", "markdown", "content")
     requests = observations.model_requests(whole, model.base_prompt, model.alias, prompt, model.temperature, model.max_tokens)
     replies = keep(observations.call_model(requests.select("asset_id", "media_type", "request"), model.reply_to), "replies")
@@ -127,6 +126,6 @@ def ingest_documents(
     inputs = {"assets": assets} if pages is None else {"assets": assets, "pages": pages}
     params = {"multiplier": multiplier, **({"model_alias": model.alias, "prompt": prompt} if model else {})}
     spec = document_spec(model, prompt, multiplier)
-    result = ingest.run(spark, spec, inputs, params, root, scope, asset_table="assets")
+    result = ingest.run(spark, spec, inputs, params, root, scope, asset_table="read")
     warning = ["model output is not guaranteed to repeat; model, prompt and inputs are part of the recipe"] if model else []
     return {**result, "warnings": warning}

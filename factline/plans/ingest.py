@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from factline.functions.canonical import canonical
 from factline.operators import checks
-from factline.operators.versions import code_digest, recipe_hash, table_digest
+from factline.operators.compare import duplicate_keys
+from factline.operators.versions import code_digest, identity, recipe_hash, table_digest
 from factline.sources import artifacts
-from factline.storage import spread
 
 Step = str | Callable[[SparkSession, dict], DataFrame]
 
@@ -35,9 +35,10 @@ class PipelineSpec:
     functions: dict[str, tuple] = field(default_factory=dict)
 
     def digest(self) -> str:
-        described = [[name, step if isinstance(step, str) else f"{step.__module__}.{step.__qualname__}"]
-                     for name, step in self.steps]
-        return code_digest(canonical([self.id, self.version, described, self.outputs, list(self.params)]))
+        """Identity of the pipeline: every query, the code and bound values of every step and function."""
+        described = [[name, step if isinstance(step, str) else identity(step)] for name, step in self.steps]
+        named = [[name, identity(function), str(returns)] for name, (function, returns) in sorted(self.functions.items())]
+        return code_digest(canonical([self.id, self.version, described, named, self.outputs, list(self.params)]))
 
 
 def params_table(spark: SparkSession, params: dict) -> DataFrame:
@@ -83,7 +84,8 @@ def run(
 
     def check(written: dict[str, DataFrame]) -> None:
         if "evidence" in written and asset_table in tables:
-            checks.require_none(checks.check_evidence(spread(written["evidence"], "evidence_id"), tables[asset_table]), "evidence")
+            checks.require_none(duplicate_keys(tables[asset_table], ["asset_id"]), "asset ids")
+            checks.require_none(checks.check_evidence(written["evidence"], tables[asset_table]), "evidence")
 
     manifest = artifacts.publish(spark, outputs, root, scope, recipe, key,
                                  {"id": spec.id, "version": spec.version, "digest": spec.digest()}, check=check)

@@ -34,6 +34,7 @@ class Workspace:
         self.provenance: dict[str, dict] = {}
         self.assets: DataFrame | None = None
         self.sources: list[tuple[str, str | None]] = []
+        self.copies: DataFrame | None = None
         self.results: dict[str, StoredResult] = {}
         self._versions: dict[str, str] = {}
         self._digests: dict[str, str] = {}
@@ -49,6 +50,11 @@ class Workspace:
             yield entry
         except BaseException:
             entry["status"] = "failed"
+            for name in self.tables.keys() - before.keys():
+                self.spark.catalog.dropTempView(name)
+            for name, df in before.items():
+                if self.tables.get(name) is not df:
+                    df.createOrReplaceTempView(name)
             self.tables = before
             raise
         finally:
@@ -74,7 +80,9 @@ class Workspace:
 
     def changed_sources(self) -> DataFrame:
         """Loaded files that are gone or no longer have the bytes they were loaded with."""
-        found = [files.scan_assets(self.spark, path, glob) for path, glob in self.sources]
+        found = [files.scan_assets(self.spark, path, glob).select("path", "sha256") for path, glob in self.sources]
+        if self.copies is not None:  # of a restored checkpoint: their bytes, not the files they came from
+            found.append(self.copies.select("path", F.sha2("content", 256).alias("sha256")))
         again = found[0]
         for df in found[1:]:
             again = again.unionByName(df)
@@ -108,9 +116,9 @@ class Workspace:
             if bad:
                 raise ValueError(f"response invalid: {bad[0].asDict()}")
             if requested is not None:
-                gone = [r["chunk_id"] for r in chunks.missing(pages, requested).limit(20).collect()]
-                if gone:
-                    raise ValueError(f"chunks not found: {gone}")
+                gone = keep(chunks.missing(pages, requested), "missing-chunks")
+                if n := gone.count():
+                    raise ValueError(f"chunks not found: {n}, listed in {gone.inputFiles()[0].rsplit('/', 1)[0]}")
             kept = keep(chunks.assemble(pages, requested), "chunks")
             manifests = check_manifests(artifacts.manifests(self.spark, self.root), self.scope, artifacts.SCHEMA_VERSION)
             index = manifests.select(F.col("folder").alias("artifact_id"), F.lit("workspace").alias("store_alias"),
@@ -208,7 +216,7 @@ class Workspace:
         if len(set(names)) != len(names):
             raise ValueError("name each table once")
         with self._logged("checkpoint", {"tables": names}):
-            copies = None
+            copies = self.copies
             if self.assets is not None:
                 require_none(self.changed_sources(), "source changed")
                 for path, glob in self.sources:
@@ -223,7 +231,7 @@ class Workspace:
             made = checkpoints.restore(self.spark, self.root, checkpoint_id, self.scope)
             copies = made.pop(checkpoints.ASSETS, None)
             if copies is not None:
-                self.assets = copies.drop("content")
+                self.assets, self.copies, self.sources = copies.drop("content"), copies, []
             for name, df in made.items():
                 self.add(name, df, {"kind": "checkpoint", "checkpoint_id": checkpoint_id})
             return list(made)

@@ -88,8 +88,9 @@ def null_profile(spark, sf_dir):
          count(*) FILTER (WHERE n AND NOT o) AS gained_keys
   FROM seen GROUP BY 1""")
 def coverage_change(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").withColumn("period", F.year("o_orderdate"))
-    return compare.coverage(orders, ["o_orderpriority"], "period", "o_custkey", 1996, 1997)
+    starts = [F.lit(f"{year}-01-01").cast("timestamp_ntz") for year in (1996, 1997, 1998)]
+    old, new = starts[:2], starts[1:]
+    return compare.coverage(table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderdate", "o_custkey", old, new)
 
 
 @query("q_conflicts", """

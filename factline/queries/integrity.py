@@ -7,16 +7,23 @@ from pyspark.sql import functions as F
 from factline.operators import checks, versions
 from factline.queries.registry import on_tables, query, table
 from factline.sources import files
+from factline.storage import fresh_path
 
 
-@query("q_asset_files")
+@query("q_asset_files", """
+  SELECT 'nation-' || n_nationkey AS folder, 'text/plain' AS media_type, sha256(n_name || chr(10)) AS sha256, strlen(n_name) + 1 AS length FROM nation
+  UNION ALL
+  SELECT 'page-' || CAST(page_id % 40 AS VARCHAR), 'text/plain', sha256(string_agg(sha256(html), chr(10) ORDER BY page_id) || chr(10)), 65 * count(*)
+  FROM pages GROUP BY 1""")
 def asset_files(spark, sf_dir):
-    """The given tables' own files: hash and type of each, and the files over the size limit."""
-    taken = files.scan_assets(spark, sf_dir, "*.parquet").select("original_name", "media_type", "sha256", "length")
-    refused = files.oversized_files(spark, sf_dir, "*.parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("original_name"), F.lit(None).cast("string").alias("media_type"),
-        F.lit(None).cast("string").alias("sha256"), "length")
-    return taken.unionByName(refused)
+    """Rows of two tables written as text files, one a folder, and scanned as assets."""
+    path = fresh_path(spark, "asset-files")
+    nations = on_tables(spark, sf_dir, "SELECT n_name AS value, concat('nation-', n_nationkey) AS folder FROM {nation}")
+    pages = on_tables(spark, sf_dir, "SELECT page_id, sha2(html, 256) AS value, concat('page-', page_id % 40) AS folder FROM {pages}")
+    lines = nations.select(F.lit(0).alias("at"), "value", "folder").unionByName(pages.select(F.col("page_id").alias("at"), "value", "folder"))
+    lines.repartition("folder").sortWithinPartitions("folder", "at").drop("at").write.partitionBy("folder").text(path)
+    found = files.scan_assets(spark, path, "*.txt")
+    return found.select(F.regexp_extract("path", "folder=([^/]*)/", 1).alias("folder"), "media_type", "sha256", "length")
 
 
 @query("q_asset_registry", """
@@ -66,7 +73,7 @@ EVIDENCE = f"""
 
 def event_evidence(spark, sf_dir):
     escaped = EVIDENCE.replace("{", "{{").replace("}", "}}").replace("FROM events", "FROM {events}")
-    return on_tables(spark, sf_dir, escaped, heavy=True)
+    return on_tables(spark, sf_dir, escaped)
 
 
 def known_assets(spark, sf_dir):
@@ -164,7 +171,7 @@ def manifest_check(spark, sf_dir):
     """One manifest per order, with a fault for some priorities and states."""
     folder = FOLDER.replace("VARCHAR", "STRING")
     body = MANIFEST.replace(FOLDER, folder).replace("HASH", "sha2(CAST(o_orderkey AS STRING), 256)").replace("{", "{{").replace("}", "}}")
-    manifests = on_tables(spark, sf_dir, f"SELECT {folder} AS folder, {body} AS text FROM {{orders}}", heavy=True)
+    manifests = on_tables(spark, sf_dir, f"SELECT {folder} AS folder, {body} AS text FROM {{orders}}")
     return checks.check_manifests(manifests, "local", MANIFEST_VERSION)
 
 

@@ -22,33 +22,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factline.functions.canonical import canonical
-from factline.operators.checks import ContractError, check_manifests, fixed_schema, verify_files
+from factline.operators.checks import ContractError, check_manifests, fixed_schema, require_none, verify_files
 from factline.operators.versions import content_digest, table_digest
-from factline.storage import spread
 
 SCHEMA_VERSION = "evidence-artifact/v1"
-# Largest part file that is hashed as a whole.
-HASHED_BYTES = 256 * 1024 * 1024
 FILE_SCHEMA = "path string, length bigint, sha256 string"
 
 
 def now() -> str:
-    return datetime.now(timezone.utc).isoformat().replace("+00:00", "Z")
+    return f"{datetime.now(timezone.utc):%Y-%m-%dT%H:%M:%S.%fZ}"
 
 
 def hash_files(spark: SparkSession, folder: str, below: str = "outputs") -> DataFrame:
-    """Path relative to `folder`, length and SHA-256 of every Parquet part file.
-
-    A file is hashed as one value, so files over HASHED_BYTES have no hash of their own; the
-    row digest of their table stands in for it.
-    """
+    """Path relative to `folder`, length and SHA-256 of every Parquet part file."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.parquet").load(f"{folder}/{below}"))
     name = folder.rstrip("/").rsplit("/", 1)[-1]
-    path = F.substring_index("path", f"/{name}/", -1).alias("path")
-    small = files.filter(F.col("length") <= HASHED_BYTES).select(path, "length", F.sha2("content", 256).alias("sha256"))
-    large = files.filter(F.col("length") > HASHED_BYTES).select(path, "length", F.lit(None).cast("string").alias("sha256"))
-    return small.unionByName(large)
+    return files.select(F.substring_index("path", f"/{name}/", -1).alias("path"), "length", F.sha2("content", 256).alias("sha256"))
 
 
 def folder_digest(spark: SparkSession, folder: str) -> str:
@@ -59,22 +49,15 @@ def folder_digest(spark: SparkSession, folder: str) -> str:
 
 
 def verify_tables(spark: SparkSession, folder: str, entries: list[dict]) -> None:
-    """Compare the file list, every part file, and the rows of tables with unhashed files."""
+    """Compare the file list and every part file."""
     listed = spark.read.schema(FILE_SCHEMA).parquet(f"{folder}/files")
     digests = _list_digests(listed)
     for entry in entries:
-        if digests.get(entry["path"]) != (entry["sha256"], entry["files_hashed"]):
+        if digests.get(entry["path"]) != entry["sha256"]:
             raise ContractError(f"hash mismatch: file list of {entry['name']}")
-    marked = [df.select("path", F.coalesce("sha256", F.concat(F.lit("length "), F.col("length"))).alias("sha256"))
-              for df in (listed, hash_files(spark, folder))]
-    bad = verify_files(*marked).filter(F.col("status") != "ok").take(1)
+    bad = verify_files(*[df.select("path", "sha256") for df in (listed, hash_files(spark, folder))]).filter(F.col("status") != "ok").take(1)
     if bad:
         raise ContractError(f"hash mismatch: {bad[0]['path']} is {bad[0]['status']}")
-    for entry in entries:
-        if not entry["files_hashed"]:
-            stored = spark.read.schema(T.StructType.fromJson(entry["schema"])).parquet(f"{folder}/{entry['path']}")
-            if table_digest(stored) != (entry["rows"], entry["content_digest"]):
-                raise ContractError(f"hash mismatch: rows of {entry['name']}")
 
 
 def write_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str, max_records_per_file: int) -> list[dict]:
@@ -84,7 +67,7 @@ def write_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
         path = f"{folder}/outputs/{name}"
         df.write.option("maxRecordsPerFile", max_records_per_file).parquet(path)
         stored = spark.read.schema(df.schema).parquet(path)
-        rows, digest = table_digest(spread(stored))
+        rows, digest = table_digest(stored)
         kind = {"documents": "document", "evidence": "evidence", "image_bytes": "image"}.get(name, "table")
         entries.append({"name": name, "kind": kind, "format": "parquet", "path": f"outputs/{name}",
                         "rows": rows, "content_digest": digest, "schema": json.loads(df.schema.json())})
@@ -93,16 +76,13 @@ def write_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
     # A table is one folder of part files; its hash is the digest of their listed hashes.
     digests = _list_digests(listed)
     for entry in entries:
-        entry["sha256"], entry["files_hashed"] = digests[entry["path"]]
+        entry["sha256"] = digests[entry["path"]]
     return entries
 
 
-def _list_digests(listed: DataFrame) -> dict[str, tuple[str, bool]]:
-    """For each table folder the digest of its file list, and whether every file has a hash."""
-    folder = F.substring_index("path", "/", 2)
-    hashed = listed.groupBy(folder.alias("group")).agg((F.count("sha256") == F.count(F.lit(1))).alias("hashed"))
-    rows = content_digest(listed, folder).join(hashed, "group").collect()
-    return {r["group"]: (r["digest"], r["hashed"]) for r in rows}
+def _list_digests(listed: DataFrame) -> dict[str, str]:
+    """For each table folder the digest of its file list."""
+    return {r["group"]: r["digest"] for r in content_digest(listed, F.substring_index("path", "/", 2)).collect()}
 
 
 def _write_text(spark: SparkSession, text: str, path: str) -> None:
@@ -210,6 +190,7 @@ def tables_of(spark: SparkSession, root: str, manifest: dict) -> dict[str, DataF
 
 def image_outputs(images: DataFrame, files: DataFrame) -> dict[str, DataFrame]:
     """The images table and its bytes `(path, content)` keyed by `original_ref`, ready to publish."""
-    held = images.join(files.select("path", "content"), "path").select(
-        "original_ref", "mime_type", "content", F.sha2("content", 256).alias("sha256"))
+    found = images.join(files.select("path", "content"), "path", "left")
+    require_none(found.filter(F.col("content").isNull()).select("original_ref", "path"), "images without bytes")
+    held = found.select("original_ref", "mime_type", "content", F.sha2("content", 256).alias("sha256"))
     return {"images": images.select("original_ref", "path", "mime_type"), "image_bytes": held}

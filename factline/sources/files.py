@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from factline.functions import text
 from factline.functions.canonical import canonical_row
-from factline.operators.observations import MAX_FILE_BYTES
 
 
 def asset_id(path: Column, sha256: Column) -> Column:
@@ -21,12 +20,9 @@ def _files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
 
 
-def scan_assets(
-    spark: SparkSession, path: str, glob: str | None = None, max_bytes: int = MAX_FILE_BYTES, content: bool = False
-) -> DataFrame:
-    """One registry row per file within the size limit. The limit is pushed into the scan."""
-    files = _files(spark, path, glob).filter(F.col("length") <= max_bytes)
-    hashed = files.withColumn("sha256", F.sha2("content", 256))
+def scan_assets(spark: SparkSession, path: str, glob: str | None = None, content: bool = False) -> DataFrame:
+    """One registry row for every file. A file beyond Spark's own limit for one value fails the scan."""
+    hashed = _files(spark, path, glob).withColumn("sha256", F.sha2("content", 256))
     return hashed.select(
         asset_id(F.col("path"), F.col("sha256")).alias("asset_id"), "path",
         text.media_type(F.col("path")).alias("media_type"), "sha256",
@@ -34,8 +30,8 @@ def scan_assets(
     )
 
 
-def oversized_files(spark: SparkSession, path: str, glob: str | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """Files that are over the limit and therefore not assets; their bytes are never read."""
+def oversized_files(spark: SparkSession, path: str, max_bytes: int, glob: str | None = None) -> DataFrame:
+    """Files over a size that the caller sets, as violations; their bytes are never read."""
     return _files(spark, path, glob).filter(F.col("length") > max_bytes).select("path", "length")
 
 

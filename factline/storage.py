@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
-
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only in local mode."""
-    global _local_folder
+    """The shared folder named by spark.checkpoint.dir; the warehouse folder where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="factline-")
-    return _local_folder
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -36,16 +26,3 @@ def keep(df: DataFrame, label: str = "table", max_records_per_file: int = 5_000_
     path = fresh_path(df.sparkSession, label)
     df.write.option("maxRecordsPerFile", max_records_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Distribute a scan that has fewer partitions than there are cores, before heavy per-row work.
-
-    A large table has many more input partitions than cores and is returned as it is. Select
-    only the needed columns first. With a key (one with many values) rows are placed by it;
-    without one they are dealt out evenly.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, *keys)

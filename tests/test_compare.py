@@ -84,7 +84,7 @@ def test_duplicates_conflicts_and_profile(spark):
 def test_coverage(spark):
     df = spark.createDataFrame([("g", 1, "a"), ("g", 1, "a"), ("g", 2, "a"), ("g", 1, "b"), ("g", 2, "c"), ("g", 3, "d"), ("h", 2, "a")],
                                "g string, p int, k string")
-    assert rows(compare.coverage(df, ["g"], "p", "k", 1, 2)) == [("g", 2, 2, 1, 1, 1), ("h", 0, 1, 0, 0, 1)]
+    assert rows(compare.coverage(df, ["g"], "p", "k", (1, 2), (2, 3))) == [("g", 2, 2, 1, 1, 1), ("h", 0, 1, 0, 0, 1)]
 
 
 def test_evidence_gaps(spark):

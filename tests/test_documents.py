@@ -65,5 +65,28 @@ def test_model_reads_every_document(spark, pages, tmp_path):
     with pytest.raises(ContractError, match="model reply"):
         ingest_documents(spark, assets(spark, IMAGE), str(tmp_path), "s", None, Model("bad", "p", lambda request: "not JSON"))
     scan = spark.createDataFrame([("pdf", n, " ") for n in range(1, 10)], "asset_id string, page bigint, text string")
-    with pytest.raises(ContractError, match="more than 8 pages"):
-        ingest_documents(spark, assets(spark, PDF), str(tmp_path), "s", scan, model)
+    assert ingest_documents(spark, assets(spark, PDF), str(tmp_path), "s", scan, model)["tables"]["facts"].count() == 1
+
+
+def test_page_beyond_the_source_publishes_nothing(spark, pages, tmp_path):
+    far = json.dumps({"observations": [{"item": "A", "value": 1, "quote": "q", "page": 99}]})
+    with pytest.raises(ContractError, match="page exceeds the source"):
+        ingest_documents(spark, assets(spark, PDF), str(tmp_path), "s", pages, Model("m", "p", lambda request: far))
+    with pytest.raises(ContractError, match="asset ids"):
+        ingest_documents(spark, assets(spark, CSV, CSV), str(tmp_path), "s")
+    assert artifacts.index(spark, str(tmp_path)).count() == 0
+
+
+def test_other_model_settings_are_another_run(spark, pages, tmp_path):
+    def reader(value):
+        return lambda request: json.dumps({"observations": [{"item": "A", "value": value, "quote": "q"}]})
+
+    def run(model):
+        return ingest_documents(spark, assets(spark, PDF), str(tmp_path), "s", pages, model)
+
+    first = run(Model("m", "p", reader(1)))
+    assert run(Model("m", "p", reader(1)))["reused"]
+    for changed in (Model("m", "other", reader(1)), Model("m", "p", reader(2)), Model("m", "p", reader(1), temperature=1),
+                    Model("m", "p", reader(1), max_tokens=9)):
+        again = run(changed)
+        assert not again["reused"] and again["artifact_id"] != first["artifact_id"]

@@ -24,9 +24,9 @@ def folder(tmp_path):
 
 
 def test_assets(spark, folder):
-    assets = files.scan_assets(spark, folder, max_bytes=400)
+    assets = files.scan_assets(spark, folder)
     found = {r["original_name"]: r for r in assets.collect()}
-    assert set(found) == {"input.csv", "history.csv", "odd.csv", "picture.png"}
+    assert set(found) == {"input.csv", "history.csv", "odd.csv", "picture.png", "notes.bin"}
     assert found["picture.png"]["media_type"] == "image/png"
     assert found["input.csv"]["sha256"] == hashlib.sha256(INPUT.encode() + b"\n").hexdigest()
     assert rows(files.oversized_files(spark, folder, max_bytes=400), "length") == [(500,)]
@@ -68,10 +68,9 @@ def test_bad_number_fails(spark):
         obs.csv_records(obs.csv_documents(assets)).collect()
 
 
-def test_table_records_match_both_ways(spark):
+def test_table_records(spark):
     df = spark.createDataFrame([("s", "A", 10, "x"), ("s", "B", None, ""), ("t", "C", 5, None)], "src string, i string, v int, c string")
-    plain, split = (obs.table_records(df, "src", "i", "v", "c", ["i"], hot_rows=h) for h in (10, 0))
-    assert rows(plain) == rows(split)
+    plain = obs.table_records(df, "src", "i", "v", "c", ["i"])
     assert rows(plain, "asset_id", "key", "quote", "category")[:2] == [
         ("s", "2", '{"item":"A","value":10.0,"category":"x"}', "x"), ("s", "3", '{"item":"B","value":null,"category":null}', None)]
 
@@ -85,15 +84,11 @@ def test_paged_report(spark):
     assert rows(found, "item", "key") == [("A", "1"), ("B", "1")]
 
 
-def test_joined_pages_whole_or_in_parts(spark):
+def test_joined_pages(spark):
     pages = [("big", n, f"page {n}") for n in range(1, 41)] + [("small", 1, "one"), ("small", 2, "two")]
     df = spark.createDataFrame(pages, "asset_id string, page int, text string")
     whole = {r["asset_id"]: r["markdown"] for r in obs.join_pages(df).collect()}
     assert whole == {"big": "\n\n".join(f"page {n}" for n in range(1, 41)), "small": "one\n\ntwo"}
-    parts = sorted(map(tuple, obs.join_pages(df, limit=60).collect()))
-    assert len([p for p in parts if p[0] == "big"]) > 3
-    assert "\n\n".join(p[2] for p in parts if p[0] == "big") == whole["big"]
-    assert all(len(p[2]) <= 60 + 20 for p in parts)
 
 
 def test_routes(spark):
@@ -107,7 +102,9 @@ def test_routes(spark):
 
 def test_documents_that_need_a_model(spark):
     data = [("a", "image/png", "x", 1), ("b", "application/pdf", " \n", 3), ("c", "application/pdf", "", 9), ("d", "application/pdf", "t", 9)]
-    got = obs.need_model(spark.createDataFrame(data, "asset_id string, media_type string, markdown string, pages int"))
+    documents = spark.createDataFrame(data, "asset_id string, media_type string, markdown string, pages int")
+    assert obs.need_model(documents).filter("model_problem IS NOT NULL").count() == 0
+    got = obs.need_model(documents, scanned_pages=8)
     assert [(r["model_required"], r["model_problem"] is not None) for r in got.orderBy("asset_id").collect()] == [
         (True, False), (True, False), (True, True), (False, False)]
 
@@ -151,8 +148,6 @@ def test_params(spark):
     assert publish.fold_params(spark.createDataFrame([], schema)).first()[0] == "{}"
     with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
         publish.fold_params(spark.createDataFrame([("a", "1"), ("a", "2")], schema)).collect()
-    with pytest.raises(Exception, match="more than 1 parameters"):
-        publish.fold_params(spark.createDataFrame([("a", "1"), ("b", "2")], schema), most=1).collect()
 
 
 def test_null_key_gives_null_evidence_id(spark):
