@@ -42,7 +42,27 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy.against_edits(table(spark, sf_dir, "documents"))
 
 
-@query("op3_suffix_array_dedup")
+OP3 = r"""
+WITH raw AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) > 1 AS again
+    FROM (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS content
+          FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 99)) AS i FROM raw WHERE length(h) >= 200))),
+places AS (
+    SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte FROM (SELECT doc_id, h, unnest(range(length(h) // 2)) AS i FROM raw)),
+covered AS (
+    SELECT p.doc_id, p.i, p.byte, coalesce(bool_or(s.again) OVER (
+        PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), FALSE) AS gone
+    FROM places p LEFT JOIN strings s ON s.doc_id = p.doc_id AND s.i = p.i),
+runs AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), FALSE) AS opens FROM covered)
+SELECT d.doc_id, count(r.i) AS n_bytes, count(*) FILTER (WHERE r.gone) AS n_removed, count(*) FILTER (WHERE r.opens) AS n_spans,
+       sha256(unhex(coalesce(string_agg(r.byte, '' ORDER BY r.i) FILTER (WHERE NOT r.gone), ''))) AS kept_sha256
+FROM documents d LEFT JOIN runs r ON r.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+@query("op3_suffix_array_dedup", OP3)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
@@ -68,7 +88,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-@query("op5_phrase_automata_dedup")
+OP5 = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+    SELECT doc_id, i, min(doc_id) OVER (PARTITION BY content) < doc_id AS again
+    FROM (SELECT doc_id, i, array_to_string(words[i + 1:i + 50], ' ') AS content
+          FROM (SELECT doc_id, words, unnest(range(len(words) - 49)) AS i FROM split WHERE len(words) >= 50))),
+places AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM split),
+covered AS (
+    SELECT p.doc_id, p.i, p.word, coalesce(bool_or(w.again) OVER (
+        PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), FALSE) AS gone
+    FROM places p LEFT JOIN windows w ON w.doc_id = p.doc_id AND w.i = p.i)
+SELECT d.doc_id, count(c.i) AS n_words, count(*) FILTER (WHERE c.gone) AS n_removed,
+       sha256(coalesce(string_agg(c.word, ' ' ORDER BY c.i) FILTER (WHERE NOT c.gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN covered c ON c.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+@query("op5_phrase_automata_dedup", OP5)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = phrases.kept_words(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
