@@ -182,7 +182,8 @@ def media_type(path: Column) -> Column:
 
 
 def data_url(content: Column, mime: Column) -> Column:
-    return F.concat(F.lit("data:"), mime, F.lit(";base64,"), F.base64(content))
+    """A data URL on one line, also where the session's base64 breaks lines."""
+    return F.concat(F.lit("data:"), mime, F.lit(";base64,"), F.translate(F.base64(content), "\r\n", ""))
 
 
 def marker_pattern(label: str) -> str:

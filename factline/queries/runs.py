@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factline.operators import versions
-from factline.plans import checkpoints, ingest, oplog
+from factline.plans import checkpoints, ingest, oplog, results
 from factline.plans.results import store_result
 from factline.queries.registry import ORACLES, on_tables, query, table
 from factline.sources import artifacts
@@ -125,7 +125,17 @@ def result_rows(spark, sf_dir):
 
 @query("q_preview", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
 def preview(spark, sf_dir):
-    return table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(5)
+    orders = table(spark, sf_dir, "orders")
+    return spark.createDataFrame(results.preview(orders.orderBy("o_orderkey"))["preview"], orders.schema)
+
+
+@query("q_unique_names", """
+  SELECT o_orderkey AS k, o_custkey AS k_1, c_name AS v, o_totalprice AS v_3 FROM orders JOIN customer ON c_custkey = o_custkey""")
+def unique_names(spark, sf_dir):
+    """A result whose columns share names, stored and read back as a table."""
+    joined = on_tables(spark, sf_dir, """
+      SELECT o_orderkey AS k, o_custkey AS k, c_name AS v, o_totalprice AS v FROM {orders} JOIN {customer} ON c_custkey = o_custkey""")
+    return store_result(joined).table()
 
 
 @query("q_last_ops", "SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 20")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from factline.queries.registry import on_tables, query
+from factline.plans.workspace import Workspace
+from factline.queries.registry import query, table
+from factline.storage import fresh_path
 
 REVENUE = "CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2)) * CAST(1 - l_discount AS DECIMAL(4, 2))) AS DOUBLE)"
 
@@ -41,11 +43,20 @@ STATEMENTS = {
 }
 
 
+def in_workspace(spark, sf_dir, statement: str, bound: list | None = None):
+    """The stored result of a statement that a workspace runs over the tables it names."""
+    work = Workspace(spark, fresh_path(spark, "workspace"))
+    for t in ("lineitem", "orders", "customer", "nation", "part", "supplier", "events"):
+        if t in statement:
+            work.add(t, table(spark, sf_dir, t))
+    return work.results[work.sql(statement, bound)].table()
+
+
 def _register(name: str, statement: str) -> None:
     plain = statement
     for t in ("lineitem", "orders", "customer", "nation", "part", "supplier", "events"):
         plain = plain.replace("{" + t + "}", t)
-    query(name, plain)(lambda spark, sf_dir: on_tables(spark, sf_dir, statement))
+    query(name, plain)(lambda spark, sf_dir: in_workspace(spark, sf_dir, plain))
 
 
 for _name, _statement in STATEMENTS.items():
@@ -56,7 +67,7 @@ for _name, _statement in STATEMENTS.items():
   SELECT o_orderkey, o_totalprice, o_orderdate FROM orders
   WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '1997-01-01' AND o_totalprice > 1000.5""")
 def bound_params(spark, sf_dir):
-    return on_tables(spark, sf_dir, """
-      SELECT o_orderkey, o_totalprice, o_orderdate FROM {orders}
+    return in_workspace(spark, sf_dir, """
+      SELECT o_orderkey, o_totalprice, o_orderdate FROM orders
       WHERE o_orderpriority = ? AND o_orderdate >= CAST(? AS TIMESTAMP_NTZ) AND o_totalprice > ?""",
-                     args=["1-URGENT", "1997-01-01", 1000.5])
+                        ["1-URGENT", "1997-01-01", 1000.5])

@@ -52,3 +52,17 @@ def strip_fence(spark, sf_dir):
     fenced = on_tables(spark, sf_dir, r"""
       SELECT doc_id, concat('  ```json\n', trim(BOTH ' \t\n\r' FROM text), '\n```\n') AS fenced FROM {documents}""")
     return fenced.select("doc_id", text.strip_fence(F.col("fenced")).alias("body"))
+
+
+@query("q_number_parse", """
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN NULL ELSE CAST(l_extendedprice AS DOUBLE) END AS value FROM lineitem""")
+def number_parse(spark, sf_dir):
+    told = on_tables(spark, sf_dir, """
+      SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN '' ELSE CAST(l_extendedprice AS STRING) END AS told FROM {lineitem}""")
+    return told.select("l_orderkey", "l_linenumber", text.number_or_null(F.col("told")).alias("value"))
+
+
+@query("q_data_url", "SELECT page_id, 'data:text/html;base64,' || base64(encode(html)) AS url FROM pages")
+def data_url(spark, sf_dir):
+    pages = on_tables(spark, sf_dir, "SELECT page_id, encode(html, 'UTF-8') AS content FROM {pages}")
+    return pages.select("page_id", text.data_url(F.col("content"), F.lit("text/html")).alias("url"))
