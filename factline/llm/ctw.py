@@ -39,7 +39,7 @@ from factline.storage import keep
 DEPTH = 5
 END = 10
 #: Text in a block and in a chunk of it, and strings whose trees are built at once.
-BLOCK_CHARS, CHUNK_BYTES, AT_ONCE = 64 << 20, 1 << 20, 100_000
+BLOCK_CHARS, CHUNK_BYTES, AT_ONCE = 64 << 20, 1 << 18, 30_000
 STRING, WORD, TEXTS = 0, 1, 2
 _WHOLE = np.uint64((1 << 8 * (DEPTH + 1)) - 1)
 
@@ -93,6 +93,9 @@ class _Counts:
     def total(self) -> tuple[np.ndarray, np.ndarray]:
         return _summed(self._keys, self._counts)
 
+    def clear(self) -> None:
+        self.__init__()
+
 
 _PACKED = "block int, kind int, key long, n long, payload binary, ids binary, marks binary"
 
@@ -126,6 +129,7 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if chunk:
         for kind, counted in ((STRING, strings), (WORD, words)):
             key, n = counted.total()
+            counted.clear()
             for at in range(0, len(key), 50_000):
                 yield rows(kind, key[at:at + 50_000], n[at:at + 50_000])
 
@@ -261,15 +265,18 @@ def _score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 block, tables, held = number[start], {}, {STRING: [], WORD: []}
             part = batch.slice(start, stop - start)
             if kind[start] != TEXTS:
-                held[kind[start]].append([np.asarray(part.column(c)) for c in ("key", "value")])
+                held[kind[start]].append([np.array(part.column(c)) for c in ("key", "value")])
                 continue
             if not tables:
                 for k, parts in held.items():
                     key, value = (np.concatenate(x) for x in zip(*parts))
                     order = np.argsort(key.view(np.uint64))
                     tables[k] = key.view(np.uint64)[order], value[order]
+                    parts.clear()
                 held = {}
-            for payload, ids, marks in zip(*(part.column(c).to_pylist() for c in ("payload", "ids", "marks"))):
+                pa.default_memory_pool().release_unused()
+            for at in range(part.num_rows):
+                payload, ids, marks = (part.column(c)[at].as_py() for c in ("payload", "ids", "marks"))
                 yield _scored(expand(payload), np.frombuffer(ids, np.int64), np.frombuffer(marks, np.int64).reshape(-1, 3), tables)
 
 
