@@ -181,6 +181,36 @@ def test_near_copies_leave_one(spark, documents):
     assert simhash.first_of_groups(documents()).count() == 0
 
 
+def at_similarity(rng, common, own):
+    """Two texts of `common` shingles that both have, and `own` ones of each."""
+    words = [f"w{rng.getrandbits(40)}" for _ in range(common + 4)]
+    return [" ".join(words + [f"{side}{rng.getrandbits(40)}" for _ in range(own)]) for side in "ab"]
+
+
+def jaccard(a, b, n=5):
+    one, other = ({tuple(t.split()[i:i + n]) for i in range(len(t.split()) - n + 1)} for t in (a, b))
+    return len(one & other) / len(one | other)
+
+
+@pytest.mark.parametrize("most", [simhash.MOST_SHINGLES, 500])
+def test_near_copies_by_exact_similarity(spark, documents, most, monkeypatch):
+    """Pairs at 0.75 both stay; of pairs at 0.8 and 0.85 the first stays; blocks of groups meet in pairs."""
+    monkeypatch.setattr(simhash, "MOST_SHINGLES", most)
+    rng = random.Random(11)
+    rows, want = [], set()
+    for at, (common, own, similarity) in enumerate([(300, 50, 0.75), (320, 40, 0.8), (340, 30, 0.85)] * 40):
+        first, second = at_similarity(rng, common, own)
+        assert jaccard(first, second) == similarity
+        rows += [(2 * at, first), (2 * at + 1, second)]
+        want |= {2 * at} if similarity >= 0.8 else {2 * at, 2 * at + 1}
+    assert {r["doc_id"] for r in simhash.first_of_groups(documents(*rows)).collect()} == want
+
+
+def test_similar_forest():
+    sets = [np.array(x, np.uint64) for x in ([1, 2, 3, 4, 5], [2, 3, 4, 5], [2, 3, 4, 9], [7], [2, 3, 4, 5, 6])]
+    assert sorted(map(tuple, map(sorted, zip(*simhash.similar_forest(sets, 0.8))))) == [(0, 1), (1, 4)]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     random.Random(1).shuffle(chain)
