@@ -454,7 +454,5 @@ def first_of_groups(docs: DataFrame, shingle: int = 5, radius: int = 12, total:
     least = (distinct.join(joined, "node", "left").groupBy(F.coalesce("component", "node").alias("component"))
              .agg(F.min("one").alias("one")))
     kept = least.select(F.col("one.doc_id").alias("_id"), F.col("one._tie").alias("_least"))
-    # Rows that share the smallest id, whatever their texts: the least hash stays.
-    kept = kept.groupBy("_id").agg(F.min("_least").alias("_least"))
     whole = tied.join(kept, tied["doc_id"].eqNullSafe(kept["_id"]) & (tied["_tie"] == kept["_least"]), "left_semi")
     return whole.dropDuplicates(["doc_id", "_tie"]).select(*docs.columns)

@@ -206,6 +206,15 @@ def test_near_copies_by_exact_similarity(spark, documents, most, monkeypatch):
     assert {r["doc_id"] for r in simhash.first_of_groups(documents(*rows)).collect()} == want
 
 
+def test_near_copies_keep_one_a_group_not_an_id(spark, documents):
+    """Rows without an id, and rows that share one, are documents of their own."""
+    rng = random.Random(13)
+    none, other, one, two = (brute.prose(rng, 200) for _ in range(4))
+    rows = [(None, none), (None, none), (None, other), (7, one), (7, two), (8, two), (None, one)]
+    kept = simhash.first_of_groups(documents(*rows)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(None, none), (None, other), (7, one), (7, two)], key=repr)
+
+
 def test_similar_forest():
     sets = [np.array(x, np.uint64) for x in ([1, 2, 3, 4, 5], [2, 3, 4, 5], [2, 3, 4, 9], [7], [2, 3, 4, 5, 6])]
     assert sorted(map(tuple, map(sorted, zip(*simhash.similar_forest(sets, 0.8))))) == [(0, 1), (1, 4)]
