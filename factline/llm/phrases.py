@@ -10,8 +10,9 @@ Anchors with more contexts than fit a shard are compared by hashes of their wind
 Spark groups with map-side combination.
 
 Defined cases: a null text has no words and a text of fewer than `length` words loses nothing;
-a null doc_id comes before all others. A doc_id names a document: repeated rows are one
-document and each gets what the document loses. An empty table gives an empty result.
+a null doc_id comes before all others. A doc_id and a text make a document: texts that share
+an id, or have none, are documents of their own, ordered by a hash of the text; repeated rows
+are one document and each gets what the document loses. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factline.llm.arrow import blocks, flat, padded
-from factline.llm.recurring import OPEN, REPEAT, applied, cover, minimizers, mixed, ordered, recurring
+from factline.llm.recurring import OPEN, REPEAT, applied, cover, minimizers, mixed, numbered, ordered, recurring
 
 GRAM = 16
 SHARD_WORDS = 100_000
@@ -82,18 +83,19 @@ def word_contexts(length: int):
 
 
 def _cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of each document's open contexts, joined by spaces: (anchor, doc, start, words)."""
+    """The words of each document's open contexts, joined by spaces: (anchor, doc, tie, start, words)."""
     for block in blocks(batches, "text"):
-        anchors, docs, starts, parts = [], [], [], []
-        for doc, raw, wanted in zip(*(block.column(c).to_pylist() for c in ("doc", "text", "wanted"))):
+        anchors, docs, ties, starts, parts = [], [], [], [], []
+        for doc, tie, raw, wanted in zip(*(block.column(c).to_pylist() for c in ("doc", "tie", "text", "wanted"))):
             words = raw.split()  # bytes: exactly the word rule's white space
             for x in wanted:
                 anchors.append(x["anchor"])
                 docs.append(doc)
+                ties.append(tie)
                 starts.append(x["start"])
                 parts.append(b" ".join(words[x["start"]:x["start"] + x["size"]]))
-        yield pa.record_batch([pa.array(anchors, pa.int64()), pa.array(docs, pa.int64()), pa.array(starts, pa.int32()),
-                               pa.array(parts, pa.binary())], ["anchor", "doc", "start", "words"])
+        yield pa.record_batch([pa.array(anchors, pa.int64()), pa.array(docs, pa.int64()), pa.array(ties, pa.int64()), pa.array(starts, pa.int32()),
+                               pa.array(parts, pa.binary())], ["anchor", "doc", "tie", "start", "words"])
 
 
 def repeats_in(docs: list[int], starts: list[int], contexts: list[bytes], length: int) -> tuple[list[int], list[int]]:
@@ -132,22 +134,24 @@ def repeats_in(docs: list[int], starts: list[int], contexts: list[bytes], length
 
 def _in_shards(length: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, docs, starts, contexts = None, [], [], []
+        shard, docs, ties, starts, contexts = None, [], [], [], []
 
         def done() -> Iterator[pa.RecordBatch]:
             if len(contexts) > 1:
-                found, places = repeats_in(docs, starts, contexts, length)
+                number, own_docs, own_ties = numbered(np.array(docs, np.int64), np.array(ties, np.int64))
+                found, places = repeats_in(number.tolist(), starts, contexts, length)
                 if found:
                     spans = sorted(set(zip(found, places)))
-                    yield pa.record_batch([pa.array([d for d, _ in spans], pa.int64()), pa.array([p for _, p in spans], pa.int32()),
-                                           pa.array([p + length for _, p in spans], pa.int32())], ["doc", "start", "end"])
+                    yield pa.record_batch([pa.array([own_docs[d] for d, _ in spans], pa.int64()), pa.array([own_ties[d] for d, _ in spans], pa.int64()), pa.array([p for _, p in spans], pa.int32()),
+                                           pa.array([p + length for _, p in spans], pa.int32())], ["doc", "tie", "start", "end"])
 
         for batch in batches:
-            for number, doc, start, context in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc", "start", "words"))):
+            for number, doc, tie, start, context in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc", "tie", "start", "words"))):
                 if number != shard:
                     yield from done()
-                    shard, docs, starts, contexts = number, [], [], []
+                    shard, docs, ties, starts, contexts = number, [], [], [], []
                 docs.append(doc)
+                ties.append(tie)
                 starts.append(start)
                 contexts.append(context)
         yield from done()
@@ -156,48 +160,49 @@ def _in_shards(length: int):
 
 
 def _windows(length: int):
-    """Each window of a context, as two hashes: (one, other, doc, start)."""
+    """Each window of a context, as two hashes: (one, other, doc, tie, start)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, start, one, other = [], [], [], []
-            for d, s, context in zip(*(batch.column(c).to_pylist() for c in ("doc", "start", "words"))):
+            doc, tie, start, one, other = [], [], [], [], []
+            for d, t, s, context in zip(*(batch.column(c).to_pylist() for c in ("doc", "tie", "start", "words"))):
                 words = context.split(b" ")
                 for i in range(len(words) - length + 1):
                     digest = hashlib.blake2b(b" ".join(words[i:i + length]), digest_size=16).digest()
                     one.append(int.from_bytes(digest[:8], "little", signed=True))
                     other.append(int.from_bytes(digest[8:], "little", signed=True))
                     doc.append(d)
+                    tie.append(t)
                     start.append(s + i)
             yield pa.record_batch([pa.array(one, pa.int64()), pa.array(other, pa.int64()), pa.array(doc, pa.int64()),
-                                   pa.array(start, pa.int32())], ["one", "other", "doc", "start"])
+                                   pa.array(tie, pa.int64()), pa.array(start, pa.int32())], ["one", "other", "doc", "tie", "start"])
 
     return run
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """Spans of words (doc, start, end) whose union is what each ordered document loses."""
+    """Spans of words (doc, tie, start, end) whose union is what each ordered document loses."""
     found = recurring(docs, word_contexts(length), alone=False)
-    known = found.filter(F.col("kind") == REPEAT).select("doc", "start", (F.col("start") + F.col("size")).alias("end"))
+    known = found.filter(F.col("kind") == REPEAT).select("doc", "tie", "start", (F.col("start") + F.col("size")).alias("end"))
     opened = found.filter(F.col("kind") == OPEN)
     total = opened.agg(F.sum("size")).first()[0] or 0
     shards = total // shard_words + 1
     crowd = opened.groupBy("anchor").agg(F.sum("size").alias("words")).filter(F.col("words") > 4 * shard_words).select("anchor", F.lit(True).alias("crowded"))
-    wanted = (opened.join(crowd, "anchor", "left").groupBy("doc")
+    wanted = (opened.join(crowd, "anchor", "left").groupBy("doc", "tie")
               .agg(F.collect_list(F.struct("anchor", "start", "size", "crowded")).alias("wanted")))
     # One shuffle of the texts serves this join and the last one.
-    texts = docs.join(wanted, "doc").select("doc", "text", "wanted")
+    texts = docs.join(wanted, ["doc", "tie"]).select("doc", "tie", "text", "wanted")
 
     def cut_out(chosen: Callable[[Column], Column]) -> DataFrame:
         some = texts.withColumn("wanted", F.filter("wanted", lambda x: chosen(x["crowded"])))
-        return some.filter(F.size("wanted") > 0).mapInArrow(_cut_out, "anchor long, doc long, start int, words binary")
+        return some.filter(F.size("wanted") > 0).mapInArrow(_cut_out, "anchor long, doc long, tie long, start int, words binary")
 
     dealt = cut_out(F.isnull).withColumn("shard", F.pmod("anchor", F.lit(shards))).repartition("shard").sortWithinPartitions("shard")
-    spans = dealt.mapInArrow(_in_shards(length), "doc long, start int, end int")
-    windows = cut_out(F.isnotnull).mapInArrow(_windows(length), "one long, other long, doc long, start int")
-    least = windows.groupBy("one", "other").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most")
-    later = (windows.join(least, ["one", "other"]).filter(F.col("doc") > F.col("least"))
-             .select("doc", "start", (F.col("start") + length).alias("end")))
+    spans = dealt.mapInArrow(_in_shards(length), "doc long, tie long, start int, end int")
+    windows = cut_out(F.isnotnull).mapInArrow(_windows(length), "one long, other long, doc long, tie long, start int")
+    least = windows.groupBy("one", "other").agg(F.min(F.struct("doc", "tie")).alias("least"), F.max(F.struct("doc", "tie")).alias("most")).filter("least < most")
+    later = (windows.join(least, ["one", "other"]).filter(F.struct("doc", "tie") > F.col("least"))
+             .select("doc", "tie", "start", (F.col("start") + length).alias("end")))
     return known.unionByName(spans).unionByName(later)
 
 

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from factline.llm.arrow import blocks
 from factline.storage import keep
 
-ROWS = "kind int, anchor long, context long, doc long, start int, size int"
-COLUMNS = ["kind", "anchor", "context", "doc", "start", "size"]
+ROWS = "kind int, anchor long, context long, doc long, tie long, start int, size int"
+COLUMNS = ["kind", "anchor", "context", "doc", "tie", "start", "size"]
 #: A repeat as a whole; a context that may still hold repeats.
 REPEAT, OPEN = 1, 2
 
@@ -69,13 +69,27 @@ def minimizers(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray, windo
 
 
 def ordered(docs: DataFrame) -> DataFrame:
-    """(doc, text) with the text as bytes; a null doc_id comes before all others, a null text is empty."""
-    return docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("doc"),
-                       F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    """(doc, tie, text) with the text as bytes; a null doc_id comes before all others, a null text is empty.
+
+    A document is a doc_id and a text: `tie`, the text's hash, parts and orders texts of one id or of none.
+    """
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("doc"), F.xxhash64(text).alias("tie"), text.alias("text"))
+
+
+def numbered(doc: np.ndarray, tie: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of documents in the order of (doc, tie), and both by number."""
+    order = np.lexsort((tie, doc))
+    doc, tie = doc[order], tie[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1])
+    number = np.empty(len(doc), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, doc[new], tie[new]
 
 
-def _first_rows(anchor, context, doc, start, alone: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows sorted by (anchor, context, doc, start): where contexts begin, which rows stay, and which are repeats.
+def _first_rows(anchor, context, doc, tie, start, alone: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows sorted by (anchor, context, doc, tie, start): where contexts begin, which rows stay, and which are repeats.
 
     A row at the very place of the first one, of a repeated document, is neither.
     """
@@ -83,7 +97,7 @@ def _first_rows(anchor, context, doc, start, alone: bool) -> tuple[np.ndarray, n
     begins = np.ones(n, bool)
     begins[1:] = (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1])
     first = np.flatnonzero(begins)[np.cumsum(begins) - 1]
-    same_doc = doc == doc[first]
+    same_doc = (doc == doc[first]) & (tie == tie[first])
     if alone:
         return begins, begins, ~(same_doc & (start == start[first]))
     return begins, same_doc, ~same_doc
@@ -106,16 +120,19 @@ def _merged(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.nd
     return doc[at], start[at], np.maximum.reduceat(end, at)
 
 
-def _batch(kind: int, anchor, context, doc, start, size) -> pa.RecordBatch:
+def _batch(kind: int, anchor, context, doc, tie, start, size) -> pa.RecordBatch:
     return pa.record_batch([
         pa.array(np.full(len(doc), kind, np.int32)), pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)),
-        pa.array(doc), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))], COLUMNS)
+        pa.array(doc), pa.array(tie), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))], COLUMNS)
 
 
-def _spans(doc, start, size) -> Iterator[pa.RecordBatch]:
-    doc, start, end = _merged(doc, start, size)
-    if len(doc):
-        yield _batch(REPEAT, mixed(doc.view(np.uint64) + start.astype(np.uint64)), np.zeros(len(doc), np.uint64), doc, start, end - start)
+def _spans(doc, tie, start, size) -> Iterator[pa.RecordBatch]:
+    number, docs, ties = numbered(doc, tie)
+    number, start, end = _merged(number, start, size)
+    if len(number):
+        doc, tie = docs[number], ties[number]
+        spread = mixed(doc.view(np.uint64) + tie.view(np.uint64) + start.astype(np.uint64))
+        yield _batch(REPEAT, spread, np.zeros(len(doc), np.uint64), doc, tie, start, end - start)
 
 
 def _in_partition(contexts: Callable, alone: bool):
@@ -125,26 +142,26 @@ def _in_partition(contexts: Callable, alone: bool):
         found = []
         for block in blocks(batches, "text"):
             number, anchor, context, start, size = contexts(block.column("text"))
-            found.append((np.asarray(block.column("doc"))[number], anchor, context, start.astype(np.int32), size.astype(np.int32)))
+            found.append((np.asarray(block.column("doc"))[number], np.asarray(block.column("tie"))[number], anchor, context, start.astype(np.int32), size.astype(np.int32)))
         if not found:
             return
-        doc, anchor, context, start, size = (np.concatenate(x) for x in zip(*found))
+        doc, tie, anchor, context, start, size = (np.concatenate(x) for x in zip(*found))
         found.clear()
-        order = np.lexsort((start, doc))
+        order = np.lexsort((start, tie, doc))
         order = order[np.argsort(context[order], kind="stable")]
-        doc, anchor, context, start, size = doc[order], anchor[order], context[order], start[order], size[order]
-        _, stays, later = _first_rows(anchor, context, doc, start, alone)
-        yield from _spans(doc[later], start[later], size[later])
+        doc, tie, anchor, context, start, size = doc[order], tie[order], anchor[order], context[order], start[order], size[order]
+        _, stays, later = _first_rows(anchor, context, doc, tie, start, alone)
+        yield from _spans(doc[later], tie[later], start[later], size[later])
         kept = np.flatnonzero(stays)
         for at in range(0, len(kept), 50_000):
             rows = kept[at:at + 50_000]
-            yield _batch(OPEN, anchor[rows], context[rows], doc[rows], start[rows], size[rows])
+            yield _batch(OPEN, anchor[rows], context[rows], doc[rows], tie[rows], start[rows], size[rows])
 
     return run
 
 
 def _across(alone: bool):
-    """Fold rows sorted by (anchor, context, doc, start); contexts that are alone at their anchor go."""
+    """Fold rows sorted by (anchor, context, doc, tie, start); contexts that are alone at their anchor go."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None  # the kept rows of the last context, and whether its anchor has several
@@ -159,11 +176,11 @@ def _across(alone: bool):
             if held is not None:
                 n_held = len(held[0])
                 rows = [np.concatenate(x) for x in zip(held, rows)]
-            anchor, context, doc, start, size = rows
+            anchor, context, doc, tie, start, size = rows
             if not len(anchor):
                 continue
-            begins, stays, later = _first_rows(anchor, context, doc, start, alone)
-            yield from _spans(doc[later], start[later], size[later])
+            begins, stays, later = _first_rows(anchor, context, doc, tie, start, alone)
+            yield from _spans(doc[later], tie[later], start[later], size[later])
             turn = np.ones(len(anchor), bool)
             turn[1:] = anchor[1:] != anchor[:-1]
             group = np.cumsum(turn) - 1
@@ -183,8 +200,7 @@ def _across(alone: bool):
 
 def _open(rows: list[np.ndarray], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
     if chosen.any():
-        anchor, context, doc, start, size = (x[chosen] for x in rows)
-        yield _batch(OPEN, anchor, context, doc, start, size)
+        yield _batch(OPEN, *(x[chosen] for x in rows))
 
 
 def recurring(docs: DataFrame, contexts: Callable, alone: bool) -> DataFrame:
@@ -197,7 +213,7 @@ def recurring(docs: DataFrame, contexts: Callable, alone: bool) -> DataFrame:
     of documents hold is met as often as there are tasks.
     """
     rows = docs.mapInArrow(_in_partition(contexts, alone), ROWS)
-    dealt = rows.repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "start")
+    dealt = rows.repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "tie", "start")
     return keep(dealt.mapInArrow(_across(alone), ROWS), "recurring")
 
 
@@ -214,7 +230,7 @@ def cover(spans: list, n: int) -> list[tuple[int, int]]:
 
 def applied(docs: DataFrame, spans: DataFrame, result: Callable, schema: str, types: tuple) -> DataFrame:
     """`result(text, spans)` of each ordered document, as doc_id and further columns; spans are None if it has none."""
-    listed = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    listed = spans.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     names = [x.split()[0] for x in schema.split(", ")]
     lowest = -(1 << 63)
 
@@ -224,4 +240,4 @@ def applied(docs: DataFrame, spans: DataFrame, result: Callable, schema: str, ty
             ids = pa.array([None if x == lowest else x for x in block.column("doc").to_pylist()], pa.int64())
             yield pa.record_batch([ids, *(pa.array(x, kind) for x, kind in zip(zip(*made), types))], names)
 
-    return docs.join(listed, "doc", "left").select("doc", "text", "spans").mapInArrow(run, schema)
+    return docs.join(listed, ["doc", "tie"], "left").select("doc", "text", "spans").mapInArrow(run, schema)

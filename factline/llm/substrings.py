@@ -9,9 +9,10 @@ needs. Anchors with more contexts than fit a shard are compared by hashes of the
 which Spark groups with map-side combination.
 
 Defined cases: a null text is empty and a text shorter than `length` loses nothing; a null
-doc_id comes before all others. A doc_id names a document: repeated rows are one document,
-neither is earlier than the other, and each gets what the document loses. An empty table
-gives an empty result.
+doc_id comes before all others. A doc_id and a text make a document: texts that share an id,
+or have none, are documents of their own, ordered by a hash of the text; repeated rows are one
+document, neither is earlier than the other, and each gets what the document loses. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factline.llm.arrow import blocks, flat, padded
-from factline.llm.recurring import OPEN, REPEAT, applied, cover, minimizers, mixed, ordered, recurring, words_of_eight
+from factline.llm.recurring import OPEN, REPEAT, applied, cover, minimizers, mixed, numbered, ordered, recurring, words_of_eight
 from factline.llm.suffixes import common_prefixes, suffix_array
 
 GRAM = 32
@@ -60,17 +61,18 @@ def byte_contexts(length: int):
 
 
 def _cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each document's open contexts: (anchor, doc, start, bytes)."""
+    """The bytes of each document's open contexts: (anchor, doc, tie, start, bytes)."""
     for block in blocks(batches, "text"):
-        anchors, docs, starts, parts = [], [], [], []
-        for doc, raw, wanted in zip(*(block.column(c).to_pylist() for c in ("doc", "text", "wanted"))):
+        anchors, docs, ties, starts, parts = [], [], [], [], []
+        for doc, tie, raw, wanted in zip(*(block.column(c).to_pylist() for c in ("doc", "tie", "text", "wanted"))):
             for x in wanted:
                 anchors.append(x["anchor"])
                 docs.append(doc)
+                ties.append(tie)
                 starts.append(x["start"])
                 parts.append(raw[x["start"]:x["start"] + x["size"]])
-        yield pa.record_batch([pa.array(anchors, pa.int64()), pa.array(docs, pa.int64()), pa.array(starts, pa.int32()),
-                               pa.array(parts, pa.binary())], ["anchor", "doc", "start", "bytes"])
+        yield pa.record_batch([pa.array(anchors, pa.int64()), pa.array(docs, pa.int64()), pa.array(ties, pa.int64()), pa.array(starts, pa.int32()),
+                               pa.array(parts, pa.binary())], ["anchor", "doc", "tie", "start", "bytes"])
 
 
 def repeats_in(docs: np.ndarray, starts: np.ndarray, contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,34 +107,36 @@ def repeats_in(docs: np.ndarray, starts: np.ndarray, contexts: list[bytes], leng
     return doc[later], place[later]
 
 
-def _runs(doc: np.ndarray, place: np.ndarray, length: int) -> pa.RecordBatch:
-    """Repeated strings as spans; neighbours make one."""
+def _runs(doc: np.ndarray, place: np.ndarray, length: int, docs: np.ndarray, ties: np.ndarray) -> pa.RecordBatch:
+    """Repeated strings as spans of numbered documents; neighbours make one."""
     order = np.lexsort((place, doc))
     doc, place = doc[order], place[order]
     opens = np.ones(len(doc), bool)
     opens[1:] = (doc[1:] != doc[:-1]) | (place[1:] > place[:-1] + length)
     first = np.flatnonzero(opens)
     last = np.append(first[1:], len(doc)) - 1
-    return pa.record_batch([pa.array(doc[first]), pa.array(place[first].astype(np.int32)),
-                            pa.array((place[last] + length).astype(np.int32))], ["doc", "start", "end"])
+    return pa.record_batch([pa.array(docs[doc[first]]), pa.array(ties[doc[first]]), pa.array(place[first].astype(np.int32)),
+                            pa.array((place[last] + length).astype(np.int32))], ["doc", "tie", "start", "end"])
 
 
 def _in_shards(length: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, docs, starts, contexts = None, [], [], []
+        shard, docs, ties, starts, contexts = None, [], [], [], []
 
         def done() -> Iterator[pa.RecordBatch]:
             if len(contexts) > 1:
-                doc, place = repeats_in(np.array(docs, np.int64), np.array(starts, np.int64), contexts, length)
+                number, own_docs, own_ties = numbered(np.array(docs, np.int64), np.array(ties, np.int64))
+                doc, place = repeats_in(number, np.array(starts, np.int64), contexts, length)
                 if len(doc):
-                    yield _runs(doc, place, length)
+                    yield _runs(doc, place, length, own_docs, own_ties)
 
         for batch in batches:
-            for number, doc, start, context in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc", "start", "bytes"))):
+            for number, doc, tie, start, context in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc", "tie", "start", "bytes"))):
                 if number != shard:
                     yield from done()
-                    shard, docs, starts, contexts = number, [], [], []
+                    shard, docs, ties, starts, contexts = number, [], [], [], []
                 docs.append(doc)
+                ties.append(tie)
                 starts.append(start)
                 contexts.append(context)
         yield from done()
@@ -141,48 +145,49 @@ def _in_shards(length: int):
 
 
 def _strings(length: int):
-    """Each string of a context, as two hashes: (one, other, doc, start)."""
+    """Each string of a context, as two hashes: (one, other, doc, tie, start)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, start, one, other = [], [], [], []
-            for d, s, context in zip(*(batch.column(c).to_pylist() for c in ("doc", "start", "bytes"))):
+            doc, tie, start, one, other = [], [], [], [], []
+            for d, t, s, context in zip(*(batch.column(c).to_pylist() for c in ("doc", "tie", "start", "bytes"))):
                 for i in range(len(context) - length + 1):
                     digest = hashlib.blake2b(context[i:i + length], digest_size=16).digest()
                     one.append(int.from_bytes(digest[:8], "little", signed=True))
                     other.append(int.from_bytes(digest[8:], "little", signed=True))
                     doc.append(d)
+                    tie.append(t)
                     start.append(s + i)
             yield pa.record_batch([pa.array(one, pa.int64()), pa.array(other, pa.int64()), pa.array(doc, pa.int64()),
-                                   pa.array(start, pa.int32())], ["one", "other", "doc", "start"])
+                                   pa.array(tie, pa.int64()), pa.array(start, pa.int32())], ["one", "other", "doc", "tie", "start"])
 
     return run
 
 
 def repeated_spans(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Spans (doc, start, end) whose union is what each ordered document loses."""
+    """Spans (doc, tie, start, end) whose union is what each ordered document loses."""
     found = recurring(docs, byte_contexts(length), alone=True)
-    known = found.filter(F.col("kind") == REPEAT).select("doc", "start", (F.col("start") + F.col("size")).alias("end"))
+    known = found.filter(F.col("kind") == REPEAT).select("doc", "tie", "start", (F.col("start") + F.col("size")).alias("end"))
     opened = found.filter((F.col("kind") == OPEN) & (F.col("size") >= length))
     total = opened.agg(F.sum("size")).first()[0] or 0
     shards = total // shard_bytes + 1
     crowd = opened.groupBy("anchor").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > shard_bytes).select("anchor", F.lit(True).alias("crowded"))
-    wanted = (opened.join(crowd, "anchor", "left").groupBy("doc")
+    wanted = (opened.join(crowd, "anchor", "left").groupBy("doc", "tie")
               .agg(F.collect_list(F.struct("anchor", "start", "size", "crowded")).alias("wanted")))
     # One shuffle of the texts serves this join and the last one.
-    texts = docs.join(wanted, "doc").select("doc", "text", "wanted")
+    texts = docs.join(wanted, ["doc", "tie"]).select("doc", "tie", "text", "wanted")
 
     def cut_out(chosen: Callable[[Column], Column]) -> DataFrame:
         some = texts.withColumn("wanted", F.filter("wanted", lambda x: chosen(x["crowded"])))
-        return some.filter(F.size("wanted") > 0).mapInArrow(_cut_out, "anchor long, doc long, start int, bytes binary")
+        return some.filter(F.size("wanted") > 0).mapInArrow(_cut_out, "anchor long, doc long, tie long, start int, bytes binary")
 
     calm, crowded = cut_out(F.isnull), cut_out(F.isnotnull)
     dealt = calm.withColumn("shard", F.pmod("anchor", F.lit(shards))).repartition("shard").sortWithinPartitions("shard")
-    spans = dealt.mapInArrow(_in_shards(length), "doc long, start int, end int")
-    strings = crowded.mapInArrow(_strings(length), "one long, other long, doc long, start int")
-    first = strings.groupBy("one", "other").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = (strings.join(first, ["one", "other"]).filter(F.struct("doc", "start") != F.col("first"))
-             .select("doc", "start", (F.col("start") + length).alias("end")))
+    spans = dealt.mapInArrow(_in_shards(length), "doc long, tie long, start int, end int")
+    strings = crowded.mapInArrow(_strings(length), "one long, other long, doc long, tie long, start int")
+    first = strings.groupBy("one", "other").agg(F.min(F.struct("doc", "tie", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    later = (strings.join(first, ["one", "other"]).filter(F.struct("doc", "tie", "start") != F.col("first"))
+             .select("doc", "tie", "start", (F.col("start") + length).alias("end")))
     return known.unionByName(spans).unionByName(later)
 
 

@@ -79,6 +79,27 @@ def test_dedup_of_odd_tables(spark, documents):
     assert kept[1]["kept"] == b"x" and [tuple(s) for s in kept[1]["spans"]] == [(1, len(long.encode()) + 1)]
 
 
+@pytest.mark.parametrize("shards", [(substrings.SHARD_BYTES, phrases.SHARD_WORDS), (400, 60)])
+def test_texts_without_ids_or_with_one_id(spark, documents, shards):
+    """Each text is a document of its own, ordered by its hash where the id does not tell."""
+    rng = random.Random(21)
+    passage = brute.prose(rng, 80)
+    texts = [f"{brute.prose(rng, rng.randint(20, 120))} {passage if i % 2 else ''} {brute.prose(rng, 30)}" for i in range(24)]
+    texts[7] = texts[6] + " " + texts[2]
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else 100 + i, t) for i, t in enumerate(texts)]
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])))
+    ranked = list(enumerate(t for _, t in order))
+    want = sorted((str(order[i][0]), sum(gone), bytes(b for b, g in zip(raw, gone) if not g)) for i, (raw, gone) in brute.cut_bytes(ranked).items())
+    got = substrings.kept_bytes(documents(*rows), shard_bytes=shards[0]).collect()
+    assert sorted((str(r["doc_id"]), sum(e - s for s, e in r["spans"]), bytes(r["kept"])) for r in got) == want
+    want = sorted((str(order[i][0]), sum(gone), b" ".join(w for w, g in zip(words, gone) if not g).decode())
+                  for i, (words, gone) in brute.cut_words(ranked).items())
+    got = phrases.kept_words(documents(*rows), shard_words=shards[1]).collect()
+    assert sorted((str(r["doc_id"]), r["n_removed"], r["text"]) for r in got) == want
+    assert sum(x[1] for x in want) > 500
+
+
 def lines_by_hand(rows, least=40, docs=5):
     key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
     where = {}
