@@ -2,7 +2,8 @@
 
 The markup of a page is stripped to lines, one for each block element. A line weighs its
 text; lines of page furniture (by element, role or name), and link lists outside an article,
-weigh nothing. Weights are summed over sliding windows of three lines: text starts where the
+weigh nothing. An element that holds the page's article, or nearly all its paragraph text, is
+no furniture by its name. Weights are summed over sliding windows of three lines: text starts where the
 sums rise from nothing (surge) and ends where they fall back to nothing (dive). Stretches
 between a surge and its dive are kept if their highest window is not far below the page's
 highest one. If the page marks an article, lines outside it weigh nothing and every stretch
@@ -16,7 +17,7 @@ rows give repeated results. Text is never cut, whatever its length.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import numpy as np
@@ -51,8 +52,9 @@ _HEADER_NAME = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.IGNORECASE)
 ARTICLE = frozenset(("article", "main"))
 
 
-def _is_furniture(name: str, rest: str, inside: bool) -> bool:
-    """Whether an element holds page furniture; inside: within an article, whose own header is content."""
+def _is_furniture(name: str, rest: str, inside: bool, wraps: bool = False) -> bool:
+    """Whether an element holds page furniture; inside: within an article, whose own header is content;
+    wraps: it holds what the page is about, whatever its class or id."""
     if name in FURNITURE or name == "header" and not inside:
         return True
     if not rest or name in ("html", "body", "h1", "h2", "h3", "h4", "h5", "h6") or name in ARTICLE:
@@ -65,12 +67,42 @@ def _is_furniture(name: str, rest: str, inside: bool) -> bool:
             return True
         if key == "role" and value.lower() in ROLES:
             return True
-        if key in ("class", "id") and _FURNITURE_NAME.search(value):
+        if key in ("class", "id") and not wraps and _FURNITURE_NAME.search(value):
             if not (inside and _HEADER_NAME.search(value) and not _FURNITURE_NAME.search(_HEADER_NAME.sub(" ", value))):
                 return True
     return False
 
 
+def _wrappers(html: str, marks: list[tuple], closed_by: dict[int, int]) -> Callable[[int], bool]:
+    """Whether the element opened by a mark holds the page's first article or main, or, if there is none,
+    nearly all of its paragraph text (of its text outside links if it has no paragraphs); long comments
+    beside a short article hold most of it as well, but not so much."""
+    paragraphs, unlinked = [0], [0]  # characters before each mark
+    within = links = at = 0
+    for start, end, kind, name, _ in marks:
+        n = len("".join(html[at:start].split()))
+        paragraphs.append(paragraphs[-1] + (0 if links else n * within))
+        unlinked.append(unlinked[-1] + (0 if links else n))
+        at = end
+        if name == "a":
+            links = max(0, links + (1 if kind == "+" else -1))
+        elif name and name not in INLINE:
+            within, links = int(name == "p" and kind == "+"), 0
+
+    def held(said: list[int], i: int) -> int:
+        return said[closed_by.get(i, len(marks) - 1) + 1] - said[i + 1]
+
+    said = paragraphs if paragraphs[-1] else unlinked
+    # Articles can also be comments or teasers: the one that counts is not named so, and has a share of the text.
+    first = next((i for i, (_, _, kind, name, rest) in enumerate(marks) if kind == "+" and name in ARTICLE and (
+        name == "main" or not _is_furniture("div", rest, True) and held(unlinked, i) >= max(1, SHARE * unlinked[-1]))), None)
+
+    def wraps(i: int) -> bool:
+        return held(said, i) > (1 - SHARE) * said[-1] if first is None else i < first < closed_by[i]
+
+    return wraps
+
+
 def lines_of(html: str) -> tuple[list[str], list[int], list[bool]]:
     """The page's lines, the weight of each, and whether it lies in an article."""
     marks = []  # start, end, kind (+ open, - close, | line end, nothing), name, rest
@@ -87,6 +119,7 @@ def lines_of(html: str) -> tuple[list[str], list[int], list[bool]]:
         elif kind == "-" and open_at.get(name):
             closed_by[open_at[name].pop()] = i
 
+    wraps = _wrappers(html, marks, closed_by)
     lines, weights, inside_article = [], [], []
     text, linked, total = [], 0, 0
     ends: list[int] = []  # marks that end the furniture we are in
@@ -128,7 +161,7 @@ def lines_of(html: str) -> tuple[list[str], list[int], list[bool]]:
         if kind == "+" and name not in VOID:
             if name in ARTICLE and not ends:
                 articles.append(closed_by.get(i, len(marks)))
-            elif i in closed_by and _is_furniture(name, rest, bool(articles)):
+            elif i in closed_by and _is_furniture(name, rest, bool(articles), wraps(i)):
                 ends.append(closed_by[i] if not ends else min(ends[-1], closed_by[i]))
     if at < len(html):
         text.append(html[at:])

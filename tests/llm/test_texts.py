@@ -43,6 +43,20 @@ def test_main_text(name):
     assert text is None or html.main_text(page) == text
 
 
+@pytest.mark.parametrize("wrapper", ['class="content-sidebar-wrap"', 'class="site no-sidebar"', 'id="page-with-nav"'])
+@pytest.mark.parametrize("element", ["article", "main", "div"])
+def test_wrappers_named_like_furniture(wrapper, element):
+    body = "".join(f"<p>Paragraph {i} of the story, long enough to count as text of its own.</p>" for i in range(6))
+    said = "<p>A reader wrote a lot about this story.</p>" * 3
+    page = (f"<body><div class=menu><a href=1>Home</a></div><div {wrapper}><{element}><h1>Title</h1>{body}</{element}>"
+            f"<aside><p>Aside words</p></aside><div class=comments><article class=comment>{said}</article></div></div>"
+            "<div class=related><article><p>Teaser</p></article></div></body>")
+    found = html.main_text(page)
+    assert found.startswith("Title\nParagraph 0") and found.count("Paragraph") == 6
+    assert "reader" not in found and "Teaser" not in found and "Home" not in found and "Aside" not in found
+    assert html.main_text(f'<div {wrapper} hidden>{body}</div><p>Shown text.</p>') == "Shown text."
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div class=ad>", "</div>", "<nav>", "</nav>", "<article>", "</article>", "<b", "x y", "&amp;", "<!--", "-->", ">", "'", "<br>"]), max_size=30))
 def test_any_markup_gives_lines(parts):
