@@ -34,9 +34,11 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of each document."""
-    encoded = bpe.encode(docs.select("doc_id", "source", "text"), public_tokenizers.path("byte_bpe_50k.json"))
-    return encoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """The token ids of each document, and the hash of the text that they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    decoded = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), path).drop("text"), path)
+    return decoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality rules", quality_rules), ("line dedup", repeated_lines), ("SimHash near-dedup", near_copies),

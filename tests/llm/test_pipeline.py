@@ -1,3 +1,4 @@
+import hashlib
 import random
 import sys
 from collections import Counter
@@ -55,3 +56,9 @@ def test_stages_agree_with_brute_force(spark, documents, saved):
 def test_empty_documents(spark, documents, saved):
     folder = saved(documents=documents(), labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_last_stage_decodes(spark, documents):
+    rows = [(1, "Ein Wort, ñandú\n\tétoile"), (2, ""), (3, None)]
+    encoded = {r["doc_id"]: r for r in corpus_pipeline.token_ids(spark, documents(*rows), "").collect()}
+    assert {d: r["decoded_sha256"] for d, r in encoded.items()} == {d: hashlib.sha256((t or "").encode()).hexdigest() for d, t in rows}
