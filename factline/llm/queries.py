@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.llm import bpe, ctw, fuzzy, html, line_dedup, mixing, phrases, quality, simhash, substrings, words
+from factline.llm import (bloom, bpe, ctw, fuzzy, html, line_dedup, merkle, mixing, periodic, phrases, quality, simhash, substrings,
+                          words)
 from factline.storage import keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +141,84 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+OP11 = r"""
+WITH digests AS (
+    SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+    FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, text_sha256
+FROM digests WINDOW same AS (PARTITION BY text_sha256)"""
+
+
+@query("op11_bloom_exact_dedup", OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom.verdicts(table(spark, sf_dir, "documents"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.with_planted_tail(table(spark, sf_dir, "documents")))
+
+
+OP13 = r"""
+WITH RECURSIVE fields AS (
+    SELECT doc_id, source, coalesce(CAST(strlen(CAST(doc_id AS VARCHAR)) AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR), '-') AS i,
+           coalesce(CAST(strlen(source) AS VARCHAR) || ':' || source, '-') AS s,
+           coalesce(CAST(strlen(lang) AS VARCHAR) || ':' || lang, '-') AS l,
+           coalesce(CAST(strlen(CAST(n_chars AS VARCHAR)) AS VARCHAR) || ':' || CAST(n_chars AS VARCHAR), '-') AS n, text,
+           list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+                       lambda x, b: list_reduce(list_concat([xor(x, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                                                lambda y, z: xor(y >> 1, (y & 1) * 3988292384))) AS inverted
+    FROM documents),
+leaves AS (
+    SELECT doc_id, source, xor(inverted, 4294967295) % 5 = 0 AS hit,
+           sha256(i || s || l || n || coalesce(CAST(strlen(text) AS VARCHAR) || ':' || text, '-')) AS leaf,
+           sha256(i || s || l || n || coalesce(CAST(strlen(text) AS VARCHAR) || ':' || translate(
+               text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS other
+    FROM fields),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+nodes AS (
+    SELECT source, 0 AS level, pos, leaf AS hash FROM placed
+    UNION ALL
+    SELECT source, level + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos))
+    FROM (SELECT *, count(*) OVER (PARTITION BY source) AS others FROM nodes) WHERE others > 1
+    GROUP BY source, level, pos // 16),
+subroots AS (
+    SELECT source, hash AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS top_pos
+    FROM (SELECT *, max(level) OVER (PARTITION BY source) AS last FROM nodes) WHERE level = last),
+uppers AS (
+    SELECT 0 AS level, top_pos AS pos, subroot AS hash FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos))
+    FROM (SELECT *, count(*) OVER () AS others FROM uppers) WHERE others > 1
+    GROUP BY level, pos // 16),
+root AS (SELECT hash AS root FROM uppers ORDER BY level DESC LIMIT 1),
+steps AS (
+    SELECT p.doc_id, n.level, coalesce(string_agg(n.hash, '' ORDER BY n.pos) FILTER (WHERE n.pos < p.pos // CAST(16 ** n.level AS BIGINT)), '') AS before,
+           coalesce(string_agg(n.hash, '' ORDER BY n.pos) FILTER (WHERE n.pos > p.pos // CAST(16 ** n.level AS BIGINT)), '') AS after
+    FROM placed p JOIN (SELECT *, max(level) OVER (PARTITION BY source) AS last FROM nodes) n
+        ON p.source IS NOT DISTINCT FROM n.source AND n.level < n.last AND n.pos // 16 = p.pos // CAST(16 ** (n.level + 1) AS BIGINT)
+    GROUP BY ALL
+    UNION ALL
+    SELECT p.doc_id, 1000 + n.level, coalesce(string_agg(n.hash, '' ORDER BY n.pos) FILTER (WHERE n.pos < s.top_pos // CAST(16 ** n.level AS BIGINT)), ''),
+           coalesce(string_agg(n.hash, '' ORDER BY n.pos) FILTER (WHERE n.pos > s.top_pos // CAST(16 ** n.level AS BIGINT)), '')
+    FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source
+        JOIN (SELECT *, max(level) OVER () AS last FROM uppers) n
+        ON n.level < n.last AND n.pos // 16 = s.top_pos // CAST(16 ** (n.level + 1) AS BIGINT)
+    GROUP BY ALL),
+paths AS (
+    SELECT doc_id, string_agg(before || after, '' ORDER BY level) AS proof, list(before || ',' || after ORDER BY level) AS path
+    FROM steps GROUP BY doc_id),
+folded AS (
+    SELECT p.doc_id, p.leaf, s.subroot, r.root, sha256(coalesce(h.proof, '')) AS proof_sha256,
+           list_reduce(list_concat([CASE WHEN p.hit THEN p.other ELSE p.leaf END], coalesce(h.path, [])),
+                       lambda got, step: sha256(split_part(step, ',', 1) || got || split_part(step, ',', 2))) AS folded_root
+    FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source CROSS JOIN root r LEFT JOIN paths h ON p.doc_id = h.doc_id)
+SELECT *, folded_root = root AS verified FROM folded"""
+
+
+@query("op13_merkle_manifest", OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
