@@ -158,7 +158,7 @@ def leaves_of(docs: DataFrame) -> DataFrame:
 
 def verified(docs: DataFrame, arity: int = ARITY) -> DataFrame:
     """One row per document: its leaf, roots and proof, and whether what it is now folds up to the root."""
-    rows = manifest(leaves_of(docs), arity)
+    rows = manifest(keep(leaves_of(docs), "leaves"), arity)  # stored: ordering them reads them twice
     folded = rows.select(F.col("load.doc_id").alias("doc_id"), F.col("hash").alias("leaf"), "subroot", "root",
                          digest(proof(F.col("path"))).alias("proof_sha256"),
                          fold(F.coalesce("load.tampered", "hash"), F.col("path")).alias("folded_root"))
