@@ -113,6 +113,38 @@ def number_or_null(text: Column) -> Column:
     return blank_to_null(text).cast("double")
 
 
+# How a number may be written in Python source, blanks around it allowed.
+_DIGITS = r"\p{Nd}+(?:_\p{Nd}+)*"
+FLOAT = rf"(?i)\A[{SPACE}]*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?(?:e[+-]?{_DIGITS})?|\.{_DIGITS}(?:e[+-]?{_DIGITS})?|inf(?:inity)?|nan)[{SPACE}]*\z"
+
+
+def float_or_null(text: Column) -> Column:
+    """Blank is null; a number may have underscores between digits and any script's digits; else the job fails."""
+    foreign, ascii_digits = _digit_tables()
+    bare = F.regexp_replace(text, rf"[{SPACE}_]", "")
+    number = F.when(bare.rlike(r"[^\x00-\x7f]"), F.translate(bare, foreign, ascii_digits)).otherwise(bare).cast("double")
+    wrong = F.raise_error(F.concat(F.lit("could not convert string to float: "), text)).cast("double")
+    return F.when(text.isNull() | (text == ""), None).when(text.rlike(FLOAT), number).otherwise(wrong)
+
+
+# The short escapes of JSON strings.
+JSON_ESCAPES = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+
+def json_string(text: Column) -> Column:
+    """A JSON string with lower-case escapes of other control characters."""
+    short = text
+    for char, escape in JSON_ESCAPES.items():
+        short = F.replace(short, F.lit(char), F.lit(escape))
+    full = short
+    for code in range(32):
+        if chr(code) not in JSON_ESCAPES:
+            full = F.replace(full, F.lit(chr(code)), F.lit(f"\\u{code:04x}"))
+    special = text.rlike(r'[\x00-\x1f"\\]')
+    rare = text.rlike(r"[\x00-\x07\x0b\x0e-\x1f]")
+    return F.concat(F.lit('"'), F.when(~special, text).when(rare, full).otherwise(short), F.lit('"'))
+
+
 def strip_bom(text: Column) -> Column:
     return F.regexp_replace(text, r"^\x{FEFF}", "")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.operators import checks, compare, observations, publish
+from factline.operators import checks, compare, delimited, observations, publish
 from factline.plans import documents
 from factline.queries.registry import on_tables, query, table
 from factline.sources import files
@@ -193,35 +193,82 @@ def params_scalar(spark, sf_dir):
                      folded=folded, events=table(spark, sf_dir, "events"))
 
 
-@query("q_csv_documents", """
-  SELECT 'part-' || l_partkey AS item, l_quantity AS value, nullif(l_returnflag, 'N') AS category FROM lineitem""")
-def csv_documents(spark, sf_dir):
-    rows = on_tables(spark, sf_dir, """
-      SELECT concat('part-', l_partkey) AS item, l_quantity AS value, nullif(l_returnflag, 'N') AS category
-      FROM {lineitem}""")
+# Items hold quotes, a comma and a line end, so records go over lines and, where Spark cuts files, over blocks.
+CSV_ITEM = """concat('part "', l_partkey, '",', chr(10), l_returnflag)"""
+CSV_ROWS = f"""
+  SELECT 'lines-' || l_linenumber AS asset_id, {CSV_ITEM} AS item, l_quantity AS value, nullif(l_returnflag, 'N') AS category,
+         CAST(1 + row_number() OVER (PARTITION BY l_linenumber ORDER BY {", ".join(ORDER)}) AS VARCHAR) AS key
+  FROM lineitem"""
+CSV_QUOTE = r"""concat('{"item": "', replace(replace(item, '"', '\"'), chr(10), '\n'), '", "value": "', CAST(value AS VARCHAR),
+         '", "category": "', coalesce(category, ''), '"}')"""
+
+
+def written_csv(spark, sf_dir, folder: str, item: str) -> str:
+    """Lines as one CSV file for each value of a column, in order."""
+    rows = on_tables(spark, sf_dir, f"""
+      SELECT {item} AS item, l_quantity AS value, nullif(l_returnflag, 'N') AS category, {folder} AS folder, {", ".join(ORDER)}
+      FROM {{lineitem}}""")
     path = fresh_path(spark, "csv-documents")
-    rows.write.option("header", "true").option("maxRecordsPerFile", 1_000_000).csv(path)
-    assets = files.scan_assets(spark, path, "*.csv", content=True)
-    return publish.facts_of(observations.csv_records(observations.csv_documents(assets))).select("item", "value", "category")
+    (rows.repartition("folder").sortWithinPartitions("folder", *ORDER).select("item", "value", "category", "folder")
+     .write.partitionBy("folder").option("header", "true").option("escape", '"').csv(path))
+    return path
 
 
-@query("q_ingest_documents", """
-  SELECT 'part-' || l_partkey AS item, l_quantity * 2 AS value, nullif(l_returnflag, 'N') AS category FROM lineitem""")
-def ingest_documents(spark, sf_dir):
+@query("q_csv_documents", f"""
+  SELECT asset_id, key, '{{"row":' || key || '}}' AS locator_json, {CSV_QUOTE} AS quote, item, value, category FROM ({CSV_ROWS})""")
+def csv_documents(spark, sf_dir):
+    """CSV files cut over tasks wherever Spark cuts them."""
+    path = written_csv(spark, sf_dir, "l_linenumber", CSV_ITEM)
+    assets = files.scan_assets(spark, path, "*.csv").select(
+        "path", F.concat(F.lit("lines-"), F.regexp_extract("path", "folder=([^/]*)/", 1)).alias("asset_id"))
+    return delimited.csv_records(files.csv_lines(spark, path, "*.csv"), assets)
+
+
+INGESTED = f"""
+  SELECT 'supplier-' || l_suppkey AS asset_id, 'part-' || l_partkey AS item, l_quantity AS value, nullif(l_returnflag, 'N') AS category,
+         CAST(1 + row_number() OVER (PARTITION BY l_suppkey ORDER BY {", ".join(ORDER)}) AS VARCHAR) AS key
+  FROM lineitem"""
+
+
+def ingested(spark, sf_dir) -> dict:
     """CSV files and paged conversations through the whole ingest; conversations hold no observations."""
-    path = fresh_path(spark, "csv-documents")
-    rows = on_tables(spark, sf_dir, """
-      SELECT concat('part-', l_partkey) AS item, l_quantity AS value, nullif(l_returnflag, 'N') AS category FROM {lineitem}""")
-    rows.write.option("header", "true").option("maxRecordsPerFile", 1_000_000).csv(path)
-    columns = ["asset_id", "media_type", "original_name", "content"]
-    written = files.scan_assets(spark, path, "*.csv", content=True).select(*columns)
+    path = written_csv(spark, sf_dir, "l_suppkey", "concat('part-', l_partkey)")
+    written = files.scan_assets(spark, path, "*.csv", content=True).select(
+        F.concat(F.lit("supplier-"), F.regexp_extract("path", "folder=([^/]*)/", 1)).alias("asset_id"), "media_type",
+        F.concat(F.lit("supplier "), F.regexp_extract("path", "folder=([^/]*)/", 1), F.lit(".csv")).alias("original_name"), "content")
     paged = on_tables(spark, sf_dir, """
       SELECT DISTINCT concat('conversation-', conv_id) AS asset_id, 'application/pdf' AS media_type,
              concat('conversation ', conv_id) AS original_name, CAST('' AS BINARY) AS content FROM {conversations}""")
     pages = on_tables(spark, sf_dir, """
       SELECT concat('conversation-', conv_id) AS asset_id, turn + 1 AS page, text FROM {conversations}""")
-    result = documents.ingest_documents(spark, written.unionByName(paged), fresh_path(spark, "store"), "local", pages, multiplier=2)
-    return result["tables"]["facts"].select("item", "value", "category")
+    return documents.ingest_documents(spark, written.unionByName(paged), fresh_path(spark, "store"), "local", pages, multiplier=2)["tables"]
+
+
+@query("q_ingest_documents", f"""
+  SELECT item, value * 2 AS value, category, asset_id || ':' || key AS evidence_id, asset_id FROM ({INGESTED})""")
+def ingest_documents(spark, sf_dir):
+    return ingested(spark, sf_dir)["facts"]
+
+
+@query("q_ingest_evidence", f"""
+  SELECT asset_id || ':' || key AS evidence_id, asset_id, '{{"row":' || key || '}}' AS locator_json,
+         concat('{{"item": "', item, '", "value": "', CAST(value AS VARCHAR), '", "category": "', coalesce(category, ''), '"}}') AS quote
+  FROM ({INGESTED})
+  UNION ALL
+  SELECT 'conversation-' || conv_id || ':' || (turn + 1), 'conversation-' || conv_id, '{{"page":' || (turn + 1) || '}}', text FROM conversations""")
+def ingest_evidence(spark, sf_dir):
+    return ingested(spark, sf_dir)["evidence"]
+
+
+@query("q_ingest_texts", f"""
+  SELECT asset_id AS document_key, replace(asset_id, '-', ' ') || '.csv' AS title, 'item,value,category' || chr(10) || string_agg(
+           item || ',' || CAST(value AS VARCHAR) || ',' || coalesce(category, '') || chr(10), '' ORDER BY CAST(key AS BIGINT)) AS markdown
+  FROM ({INGESTED}) GROUP BY asset_id
+  UNION ALL
+  SELECT 'conversation-' || conv_id, 'conversation ' || conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn)
+  FROM conversations GROUP BY conv_id""")
+def ingest_texts(spark, sf_dir):
+    return ingested(spark, sf_dir)["documents"]
 
 
 @query("q_csv_table", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")

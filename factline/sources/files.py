@@ -30,6 +30,19 @@ def scan_assets(spark: SparkSession, path: str, glob: str | None = None, content
     )
 
 
+def csv_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Lines `(asset_id, block, at, line)` of text files, cut where Spark cuts them; the id is the file's path.
+
+    `block` is where a file's part starts and `at` the order of lines in it, whatever the task.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    found = (reader.option("pathGlobFilter", glob) if glob else reader).text(path)
+    # The path comes percent-encoded, where a plus stands for itself.
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return found.select(plain.alias("asset_id"), F.col("_metadata.file_block_start").alias("block"),
+                        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+
+
 def oversized_files(spark: SparkSession, path: str, max_bytes: int, glob: str | None = None) -> DataFrame:
     """Files over a size that the caller sets, as violations; their bytes are never read."""
     return _files(spark, path, glob).filter(F.col("length") > max_bytes).select("path", "length")
