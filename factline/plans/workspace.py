@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import inspect
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -34,6 +35,7 @@ class Workspace:
         self.provenance: dict[str, dict] = {}
         self.assets: DataFrame | None = None
         self.sources: list[tuple[str, str | None]] = []
+        self.seen: DataFrame | None = None
         self.copies: DataFrame | None = None
         self.results: dict[str, StoredResult] = {}
         self._versions: dict[str, str] = {}
@@ -79,22 +81,29 @@ class Workspace:
         return self._digests[version]
 
     def changed_sources(self) -> DataFrame:
-        """Loaded files that are gone or no longer have the bytes they were loaded with."""
-        found = [files.scan_assets(self.spark, path, glob).select("path", "sha256") for path, glob in self.sources]
+        """Loaded files that are gone or no longer have the bytes they were loaded with.
+
+        Files whose length and time are those of the load are not read again.
+        """
+        found = []
+        if self.seen is not None:
+            listed = [files.list_files(self.spark, path, glob) for path, glob in self.sources]
+            again = files.rescan(self.spark, self.seen, functools.reduce(DataFrame.unionByName, listed).distinct())
+            found.append(again.filter(F.col("status") != "gone").select("path", "sha256"))
         if self.copies is not None:  # of a restored checkpoint: their bytes, not the files they came from
             found.append(self.copies.select("path", F.sha2("content", 256).alias("sha256")))
-        again = found[0]
-        for df in found[1:]:
-            again = again.unionByName(df)
-        return verify_files(self.assets, again.select("path", "sha256").distinct()).filter(F.col("status").isin("missing", "mismatch"))
+        now = functools.reduce(DataFrame.unionByName, found).distinct()
+        return verify_files(self.assets, now).filter(F.col("status").isin("missing", "mismatch"))
 
     # Load
 
     def load_file(self, path: str, name: str | None = None, glob: str | None = None, schema=None) -> DataFrame:
         """Register files as assets; tabular files also become a table when a name is given."""
         with self._logged("load", {"kind": "file", "path": path, "name": name}):
-            found = keep(files.scan_assets(self.spark, path, glob), "assets")
+            seen = keep(files.file_digests(self.spark, path, glob), "assets")
             self.sources.append((path, glob))
+            self.seen = seen if self.seen is None else self.seen.unionByName(seen).dropDuplicates(["path", "sha256"])
+            found = files.as_assets(seen.drop("modified"))
             self.assets = found if self.assets is None else self.assets.unionByName(found).dropDuplicates(["asset_id"])
             if name is None:
                 return found
@@ -231,7 +240,7 @@ class Workspace:
             made = checkpoints.restore(self.spark, self.root, checkpoint_id, self.scope)
             copies = made.pop(checkpoints.ASSETS, None)
             if copies is not None:
-                self.assets, self.copies, self.sources = copies.drop("content"), copies, []
+                self.assets, self.copies, self.sources, self.seen = copies.drop("content"), copies, [], None
             for name, df in made.items():
                 self.add(name, df, {"kind": "checkpoint", "checkpoint_id": checkpoint_id})
             return list(made)

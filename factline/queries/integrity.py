@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from factline.operators import checks, versions
 from factline.queries.registry import on_tables, query
 from factline.sources import files
-from factline.storage import fresh_path
+from factline.storage import fresh_path, keep
 
 
 @query("q_asset_files", """
@@ -26,6 +26,31 @@ def asset_files(spark, sf_dir):
     return found.select(F.regexp_extract("path", "folder=([^/]*)/", 1).alias("folder"), "media_type", "sha256", "length")
 
 
+# Of the page files a fourth was other when it was first seen, a fourth was only written again, a fourth is new; nations are gone.
+@query("q_asset_changes", """
+  SELECT 'page-' || CAST(page_id % 40 AS VARCHAR) AS name, sha256(string_agg(sha256(html), chr(10) ORDER BY page_id) || chr(10)) AS sha256,
+         65 * count(*) AS length, CASE page_id % 4 WHEN 0 THEN 'changed' WHEN 1 THEN 'touched' WHEN 2 THEN 'added' ELSE 'unchanged' END AS status
+  FROM pages GROUP BY page_id % 40, page_id % 4
+  UNION ALL SELECT 'nation-' || n_nationkey, sha256(n_name), strlen(n_name), 'gone' FROM nation""")
+def asset_changes(spark, sf_dir):
+    """A folder of files scanned again, against what an earlier scan saw."""
+    path = fresh_path(spark, "asset-changes")
+    pages = on_tables(spark, sf_dir, "SELECT page_id, sha2(html, 256) AS value, concat('page-', page_id % 40) AS folder FROM {pages}")
+    pages.repartition("folder").sortWithinPartitions("folder", "page_id").select("value", "folder").write.partitionBy("folder").text(path)
+    seen = keep(files.file_digests(spark, path, "*.txt"), "seen")
+    kind = F.regexp_extract("path", "folder=page-([^/]*)/", 1).cast("int") % 4
+    other = F.timestamp_seconds(F.lit(0))
+    known = seen.filter(kind != 2).select(
+        "path", F.when(kind == 0, F.col("length") + 1).otherwise(F.col("length")).alias("length"),
+        F.when(kind == 1, other).otherwise(F.col("modified")).alias("modified"),
+        F.when(kind == 0, F.sha2(F.lit("before"), 256)).otherwise(F.col("sha256")).alias("sha256"))
+    lost = on_tables(spark, sf_dir, """
+      SELECT concat('folder=nation-', n_nationkey, '/') AS path, CAST(octet_length(n_name) AS BIGINT) AS length, timestamp_seconds(0) AS modified,
+             sha2(n_name, 256) AS sha256 FROM {nation}""")
+    found = files.rescan(spark, known.unionByName(lost), files.list_files(spark, path, "*.txt"))
+    return found.select(F.regexp_extract("path", "folder=([^/]*)/", 1).alias("name"), "sha256", "length", "status")
+
+
 @query("q_asset_registry", """
   SELECT sha256('documents/' || doc_id || '.csv' || chr(10) || sha256(text)) AS asset_id, 'documents/' || doc_id || '.csv' AS path,
          'text/csv' AS media_type, sha256(text) AS sha256, doc_id || '.csv' AS original_name, strlen(text) AS length

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from factline.functions.canonical import canonical
 from factline.operators.checks import ContractError, check_manifests, fixed_schema, require_none, verify_files
 from factline.operators.versions import content_digest, table_digest
+from factline.sources import files
 
 SCHEMA_VERSION = "evidence-artifact/v1"
 FILE_SCHEMA = "path string, length bigint, sha256 string"
@@ -35,17 +36,16 @@ def now() -> str:
 
 def hash_files(spark: SparkSession, folder: str, below: str = "outputs") -> DataFrame:
     """Path relative to `folder`, length and SHA-256 of every Parquet part file."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(f"{folder}/{below}"))
     name = folder.rstrip("/").rsplit("/", 1)[-1]
-    return files.select(F.substring_index("path", f"/{name}/", -1).alias("path"), "length", F.sha2("content", 256).alias("sha256"))
+    found = files.file_digests(spark, f"{folder}/{below}", "*.parquet")
+    return found.select(F.substring_index("path", f"/{name}/", -1).alias("path"), "length", "sha256")
 
 
 def folder_digest(spark: SparkSession, folder: str) -> str:
     """Digest of every file below a folder: relative path and hash, in any order."""
     name = folder.rstrip("/").rsplit("/", 1)[-1]
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return table_digest(files.select(F.substring_index("path", f"/{name}/", -1).alias("path"), F.sha2("content", 256).alias("sha256")))[1]
+    found = files.file_digests(spark, folder)
+    return table_digest(found.select(F.substring_index("path", f"/{name}/", -1).alias("path"), "sha256"))[1]
 
 
 def verify_tables(spark: SparkSession, folder: str, entries: list[dict]) -> None:
@@ -188,9 +188,9 @@ def tables_of(spark: SparkSession, root: str, manifest: dict) -> dict[str, DataF
     return tables
 
 
-def image_outputs(images: DataFrame, files: DataFrame) -> dict[str, DataFrame]:
+def image_outputs(images: DataFrame, held: DataFrame) -> dict[str, DataFrame]:
     """The images table and its bytes `(path, content)` keyed by `original_ref`, ready to publish."""
-    found = images.join(files.select("path", "content"), "path", "left")
+    found = images.join(held.select("path", "content"), "path", "left")
     require_none(found.filter(F.col("content").isNull()).select("original_ref", "path"), "images without bytes")
-    held = found.select("original_ref", "mime_type", "content", F.sha2("content", 256).alias("sha256"))
-    return {"images": images.select("original_ref", "path", "mime_type"), "image_bytes": held}
+    stored = found.select("original_ref", "mime_type", "content", F.sha2("content", 256).alias("sha256"))
+    return {"images": images.select("original_ref", "path", "mime_type"), "image_bytes": stored}

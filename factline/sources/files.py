@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factline.functions import text
 from factline.functions.canonical import canonical_row
+from factline.storage import keep
+
+#: Files of up to this length are hashed as one value.
+CELL_BYTES = 64 << 20
+MARK = b"\xef\xbb\xbf"
 
 
 def asset_id(path: Column, sha256: Column) -> Column:
@@ -15,19 +26,124 @@ def asset_id(path: Column, sha256: Column) -> Column:
     return F.sha2(F.concat(path, F.lit("\n"), sha256), 256)
 
 
-def _files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+def _files(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
 
 
-def scan_assets(spark: SparkSession, path: str, glob: str | None = None, content: bool = False) -> DataFrame:
-    """One registry row for every file. A file beyond Spark's own limit for one value fails the scan."""
-    hashed = _files(spark, path, glob).withColumn("sha256", F.sha2("content", 256))
-    return hashed.select(
+def list_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """Path, length and time of the files under a folder; no bytes are read."""
+    return _files(spark, path, glob).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def file_digests(spark: SparkSession, path: str | list[str], glob: str | None = None, cell_bytes: int = CELL_BYTES) -> DataFrame:
+    """Path, length, time and SHA-256 of every file, whatever its size.
+
+    A file of up to `cell_bytes` is hashed as one value where it is read. A longer one is read
+    in Spark's blocks, cut at line feeds, and its pieces stream in order through one hash: no
+    task holds more of it than a batch of pieces. Both give the hash of the same bytes. The
+    paths of long files pass through the driver, which lists them for Spark anyway.
+    """
+    found = _files(spark, path, glob)
+    short = found.filter(F.col("length") <= cell_bytes).select(
+        "path", "length", F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"))
+    long = found.filter(F.col("length") > cell_bytes).select("path", "length", F.col("modificationTime").alias("modified"))
+    paths = [r["path"] for r in long.select("path").collect()]
+    if not paths:
+        return short
+    streamed = long.join(_streamed_digests(spark, paths), "path", "left")
+    # Only a byte order mark alone has no pieces.
+    return short.unionByName(streamed.withColumn("sha256", F.coalesce("sha256", F.lit(hashlib.sha256(MARK).hexdigest()))))
+
+
+def _streamed_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """`(path, sha256)` of files, each piece of which is a row between two line feeds."""
+    pieces = spark.read.option("lineSep", "\n").text([_escaped(p) for p in paths]).select(
+        plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").cast("binary").alias("piece"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = pieces.repartition(parts, "path").sortWithinPartitions("path", "block", "at").select("path", "size", "piece")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, size, seen, plain, marked = None, 0, 0, None, None
+
+        def ended() -> pa.RecordBatch:
+            # The reader takes a byte order mark away, and does not tell whether a line feed ends the file.
+            missing = size - seen
+            digest = marked if missing >= len(MARK) else plain
+            if missing % len(MARK):
+                digest.update(b"\n")
+            return pa.record_batch([[current], [digest.hexdigest()]], ["path", "sha256"])
+
+        for batch in batches:
+            names = batch.column("path").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
+            for start, stop in zip(cuts[:-1], cuts[1:]):
+                if start == stop:
+                    continue
+                part = b"\n".join(batch.column("piece").slice(start, stop - start).to_pylist())
+                if names[start] != current:
+                    if current is not None:
+                        yield ended()
+                    current, size, seen = names[start], batch.column("size")[start].as_py(), len(part)
+                    plain, marked = hashlib.sha256(part), hashlib.sha256(MARK + part)
+                else:
+                    seen += len(part) + 1
+                    for digest in (plain, marked):
+                        digest.update(b"\n")
+                        digest.update(part)
+        if current is not None:
+            yield ended()
+
+    return ordered.mapInArrow(run, "path string, sha256 string")
+
+
+def plain_path(path: Column) -> Column:
+    """A path as files name it, from the percent-encoded form of `_metadata`, where a plus stands for itself."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _escaped(path: str) -> str:
+    """A path that holds no patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def rescan(spark: SparkSession, known: DataFrame, listed: DataFrame) -> DataFrame:
+    """Files as listed now against `(path, length, modified, sha256)` of an earlier scan.
+
+    Columns: those of `file_digests` now, and `status`: unchanged, changed, touched (time or
+    length differ, bytes do not), added, or gone (with what was known of it). Only files whose
+    length or time differ are read.
+    """
+    before = known.select("path", F.col("length").alias("_length"), F.col("modified").alias("_modified"), F.col("sha256").alias("_sha256"))
+    met = keep(listed.join(before, "path", "full_outer"), "rescan")
+    same = F.coalesce((F.col("length") == F.col("_length")) & (F.col("modified") == F.col("_modified")), F.lit(False))
+    old = met.filter(same).select("path", "length", "modified", F.col("_sha256").alias("sha256"), F.lit("unchanged").alias("status"))
+    gone = met.filter(F.col("length").isNull()).select(
+        "path", F.col("_length").alias("length"), F.col("_modified").alias("modified"), F.col("_sha256").alias("sha256"), F.lit("gone").alias("status"))
+    settled = old.unionByName(gone)
+    stale = met.filter(~same & F.col("length").isNotNull()).select("path", "_sha256")
+    paths = [_escaped(r["path"]) for r in stale.select("path").collect()]  # a part of the list that Spark's driver holds
+    if not paths:
+        return settled
+    status = F.when(F.col("_sha256").isNull(), "added").when(F.col("_sha256") == F.col("sha256"), "touched").otherwise("changed")
+    fresh = file_digests(spark, paths).join(stale, "path").select("path", "length", "modified", "sha256", status.alias("status"))
+    return settled.unionByName(fresh)
+
+
+def as_assets(digests: DataFrame) -> DataFrame:
+    """Registry rows of files with digests; a `content` column stays."""
+    return digests.select(
         asset_id(F.col("path"), F.col("sha256")).alias("asset_id"), "path",
         text.media_type(F.col("path")).alias("media_type"), "sha256",
-        text.file_name(F.col("path")).alias("original_name"), "length", *(["content"] if content else []),
-    )
+        text.file_name(F.col("path")).alias("original_name"), "length", *[c for c in ("modified", "content") if c in digests.columns])
+
+
+def scan_assets(spark: SparkSession, path: str, glob: str | None = None, content: bool = False) -> DataFrame:
+    """One registry row for every file. With `content` the bytes are a cell, so each file has to fit in one."""
+    if not content:
+        return as_assets(file_digests(spark, path, glob).drop("modified"))
+    return as_assets(_files(spark, path, glob).select("path", "length", "content", F.sha2("content", 256).alias("sha256")))
 
 
 def csv_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -37,9 +153,7 @@ def csv_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFr
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     found = (reader.option("pathGlobFilter", glob) if glob else reader).text(path)
-    # The path comes percent-encoded, where a plus stands for itself.
-    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return found.select(plain.alias("asset_id"), F.col("_metadata.file_block_start").alias("block"),
+    return found.select(plain_path(F.col("_metadata.file_path")).alias("asset_id"), F.col("_metadata.file_block_start").alias("block"),
                         F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
 
 
