@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import dataclasses
-import functools
-import hashlib
-import types
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factline.functions.canonical import canonical, digest, digest_text, hash_number
+from factline.operators.code import code_digest  # noqa: F401
 
 
 def content_digest(df: DataFrame, group: Column | None = None) -> DataFrame:
@@ -72,45 +68,3 @@ def rewrite_paths(images: DataFrame, mapping: DataFrame) -> DataFrame:
     last = mapping.groupBy("original_ref").agg(F.max_by("path", "ordinal").alias("_path"))
     return images.join(last, "original_ref", "left").select(
         *[F.coalesce("_path", "path").alias("path") if c == "path" else c for c in images.columns])
-
-
-def code_digest(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8")).hexdigest()
-
-
-def identity(value, seen: tuple = ()):
-    """What a value is, as JSON lists and texts: for functions their code, defaults, closures and the globals they read.
-
-    Raises ValueError for what cannot be told from its content, such as an open connection.
-    """
-    if value is None or isinstance(value, (bool, int, float, str, bytes, complex)) or value is Ellipsis:
-        return repr(value)
-    if isinstance(value, (list, tuple)):
-        return [type(value).__name__, *[identity(x, seen) for x in value]]
-    if isinstance(value, (set, frozenset)):
-        return ["set", *sorted(canonical(identity(x, seen)) for x in value)]
-    if isinstance(value, dict):
-        return ["dict", *sorted(canonical([identity(k, seen), identity(v, seen)]) for k, v in value.items())]
-    if isinstance(value, (type, types.ModuleType, types.BuiltinFunctionType)):
-        return [getattr(value, "__module__", ""), getattr(value, "__qualname__", value.__name__)]
-    if any(value is x for x in seen):
-        return "again"
-    seen = (*seen, value)
-    if isinstance(value, types.CodeType):
-        return [value.co_code.hex(), list(value.co_names), identity(value.co_consts, seen)]
-    if isinstance(value, types.FunctionType):
-        read = {n: value.__globals__[n] for n in _names(value.__code__) if n in value.__globals__}
-        own = {n: v for n, v in read.items() if getattr(v, "__module__", value.__module__) == value.__module__ or not callable(v)}
-        return [identity(value.__code__, seen), identity(value.__defaults__, seen), identity(value.__kwdefaults__, seen),
-                [identity(c.cell_contents, seen) for c in value.__closure__ or ()], identity(own, seen)]
-    if isinstance(value, types.MethodType):
-        return [identity(value.__func__, seen), identity(value.__self__, seen)]
-    if isinstance(value, functools.partial):
-        return [identity(x, seen) for x in (value.func, value.args, value.keywords)]
-    if dataclasses.is_dataclass(value):
-        return [identity(type(value)), *[[f.name, identity(getattr(value, f.name), seen)] for f in dataclasses.fields(value)]]
-    raise ValueError(f"cannot be identified: {type(value).__qualname__}")
-
-
-def _names(code: types.CodeType) -> set[str]:
-    return set(code.co_names).union(*[_names(c) for c in code.co_consts if isinstance(c, types.CodeType)])

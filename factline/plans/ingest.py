@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from factline.functions.canonical import canonical
 from factline.operators import checks
 from factline.operators.compare import duplicate_keys
-from factline.operators.versions import code_digest, identity, recipe_hash, table_digest
+from factline.operators.code import code_digest, identity, library_digest
+from factline.operators.versions import recipe_hash, table_digest
 from factline.sources import artifacts
 
 Step = str | Callable[[SparkSession, dict], DataFrame]
@@ -35,7 +36,7 @@ class PipelineSpec:
     functions: dict[str, tuple] = field(default_factory=dict)
 
     def digest(self) -> str:
-        """Identity of the pipeline: every query, the code and bound values of every step and function."""
+        """Identity of the pipeline: every query, and all code and bound values that steps and functions reach."""
         described = [[name, step if isinstance(step, str) else identity(step)] for name, step in self.steps]
         named = [[name, identity(function), str(returns)] for name, (function, returns) in sorted(self.functions.items())]
         return code_digest(canonical([self.id, self.version, described, named, self.outputs, list(self.params)]))
@@ -65,7 +66,7 @@ def run(
         raise ValueError(f"undeclared parameters: {sorted(unknown)}")
     digests = input_digests or {name: table_digest(df)[1] for name, df in inputs.items()}
     recipe = {"scope_id": scope, "input_tables": digests, "package_digest": spec.digest(), "pipeline": spec.id,
-              "params": params, "versions": {"spark": pyspark.__version__}}
+              "params": params, "versions": {"spark": pyspark.__version__, "library": library_digest()}}
     key = recipe_hash(recipe)
     earlier = artifacts.find(spark, root, key)
     if earlier:
