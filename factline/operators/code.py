@@ -169,6 +169,10 @@ class _Closure:
     def reduced(self, value):
         """An object of an installed package, by what would rebuild it."""
         kind = f"{type(value).__module__}.{type(value).__qualname__}"
+        home = vars(sys.modules.get(type(value).__module__, types))
+        named = sorted(n for n, v in home.items() if v is value)
+        if named:  # a marker that the package itself names, such as one for a missing default
+            return ["constant", kind, named[0], settled(type(value).__module__)]
         try:
             parts = value.__reduce_ex__(4)
         except Exception as error:
