@@ -23,15 +23,24 @@ REPEATED = "A page brought only known chunks, so reading stopped there."
 TOTAL_CHANGED = "Pages declare different totals."
 
 
-def bad_envelopes(envelopes: DataFrame) -> DataFrame:
-    """Answer pages that break the response rules, with the reason."""
+def _problem() -> Column:
     foreign = F.exists("data", lambda c: F.coalesce(c["knowledge_id"] != F.col("knowledge_id"), F.lit(False)))
     hollow = F.exists("data", lambda c: c["id"].isNull() | c["content"].isNull())
-    reason = (
+    return (
         F.when(F.col("success").eqNullSafe(False) | F.col("data").isNull(), "failure reported or data omitted")
         .when(F.coalesce(foreign, F.lit(False)) | F.coalesce(hollow, F.lit(False)), "invalid chunk identity or content")
     )
-    return envelopes.select("knowledge_id", "page", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def bad_envelopes(envelopes: DataFrame) -> DataFrame:
+    """Answer pages that break the response rules, with the reason."""
+    return envelopes.select("knowledge_id", "page", _problem().alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def checked(envelopes: DataFrame) -> DataFrame:
+    """The same pages; the job fails at one that breaks the response rules."""
+    said = F.concat(F.lit("response invalid: "), _problem(), F.lit(", document "), F.coalesce("knowledge_id", F.lit("")))
+    return envelopes.filter(F.when(_problem().isNull(), True).otherwise(F.raise_error(said).cast("boolean")))
 
 
 def page_rows(envelopes: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from factline.operators import chunks
 from factline.queries.registry import on_tables, query
+from factline.storage import fresh_path
+from factline.streaming.pages import follow_pages, land_in, latest
 
 # Three turns per page. Documents of 6 turns repeat page 1 as page 2; documents of 4 and 5 do
 # not declare a total, and those of 5 end with an empty page; documents of 7 declare one turn
@@ -58,7 +60,7 @@ REPLAY = f"""
     FROM more QUALIFY r = 1)"""
 
 
-@query("q_chunk_completeness", REPLAY + f"""
+COMPLETENESS = REPLAY + f"""
   , c AS (
     SELECT e.knowledge_id, e.page AS fetched_pages, e.seen, e.distinct_chunks, e.total, e.stop,
            (SELECT count(DISTINCT declared) > 1 FROM pages p WHERE p.knowledge_id = e.knowledge_id AND p.page <= e.page) AS total_changed,
@@ -70,11 +72,27 @@ REPLAY = f"""
          concat_ws(' ', CASE WHEN total_changed THEN '{chunks.TOTAL_CHANGED}' END,
                    CASE WHEN stop = 'repeated' THEN '{chunks.REPEATED}' END,
                    CASE WHEN NOT all_read THEN '{chunks.PARTIAL}' END) AS warnings
-  FROM c""")
+  FROM c"""
+
+
+@query("q_chunk_completeness", COMPLETENESS)
 def chunk_completeness(spark, sf_dir):
     return chunks.completeness(envelopes(spark, sf_dir))
 
 
+@query("q_pages_arriving", COMPLETENESS)
+def pages_arriving(spark, sf_dir):
+    """The same pages landed out of order in files, some of them twice, and read as a stream of several batches."""
+    landed, progress, out = (fresh_path(spark, name) for name in ("landed-pages", "page-progress", "page-status"))
+    pages = envelopes(spark, sf_dir)
+    again = pages.filter(F.crc32(F.concat("knowledge_id", F.col("page").cast("string")).cast("binary")) % 5 == 0)
+    dealt = F.pmod(F.xxhash64("knowledge_id", -F.col("page"), "turn"), F.lit(8)).cast("int")
+    both = pages.withColumn("turn", F.lit(0)).unionByName(again.withColumn("turn", F.lit(1)))
+    both.repartition(8, dealt).drop("turn").write.json(landed)
+    follow_pages(spark, landed, progress, land_in(out), files_per_batch=3)
+    return latest(spark, out).drop("stopped", "given_up")
+
+
 ASSEMBLED = REPLAY + """
   , firstrow AS (
     SELECT l.*, row_number() OVER (PARTITION BY knowledge_id, chunk_id ORDER BY page, pos) AS r FROM landed l QUALIFY r = 1)
