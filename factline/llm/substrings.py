@@ -80,17 +80,18 @@ def repeats_in(docs: np.ndarray, starts: np.ndarray, contexts: list[bytes], leng
     sizes = np.array([len(x) for x in contexts], np.int64)
     raw = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8)
     begins = np.cumsum(sizes + 1) - sizes - 1
-    symbols = raw.astype(np.int64) + 2
+    symbols = raw.astype(np.int32) + 2
     symbols[begins + sizes] = 1
     array = suffix_array(np.append(symbols, 0))
     whole = np.maximum(sizes - length + 1, 0)
-    of = np.repeat(np.arange(len(sizes)), whole)  # every place where a string starts, in text order
-    places = np.arange(len(of)) - np.repeat(np.cumsum(whole) - whole, whole) + begins[of]
+    of = np.repeat(np.arange(len(sizes), dtype=np.int32), whole)  # every place where a string starts, in text order
+    places = np.arange(len(of), dtype=np.int32) + np.repeat((begins - np.cumsum(whole) + whole).astype(np.int32), whole)
+    del of
     shared = common_prefixes(words_of_eight(raw), array[1:], places, length)
     joined = np.zeros(len(array), bool)
     joined[places] = shared >= length
     ranked = joined[array]  # equal to the string before it in the array
-    group = np.cumsum(~ranked)
+    group = np.cumsum(~ranked, dtype=np.int32)
     member = np.zeros(len(array), bool)
     member[np.flatnonzero(ranked)] = True
     member[np.flatnonzero(ranked) - 1] = True
@@ -170,7 +171,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, shard_bytes: int = SHARD_
     known = found.filter(F.col("kind") == REPEAT).select("doc", "tie", "start", (F.col("start") + F.col("size")).alias("end"))
     opened = found.filter((F.col("kind") == OPEN) & (F.col("size") >= length))
     total = opened.agg(F.sum("size")).first()[0] or 0
-    shards = total // shard_bytes + 1
+    # A shard is a fourth of what one anchor may bring, so that most suffix arrays are small.
+    shards = total // max(1, shard_bytes // 4) + 1
     crowd = opened.groupBy("anchor").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > shard_bytes).select("anchor", F.lit(True).alias("crowded"))
     wanted = (opened.join(crowd, "anchor", "left").groupBy("doc", "tie")
               .agg(F.collect_list(F.struct("anchor", "start", "size", "crowded")).alias("wanted")))

@@ -16,8 +16,8 @@ def _s_types(text: np.ndarray) -> np.ndarray:
     """Which suffixes are less than the next one; the last symbol is the only least one."""
     n = len(text)
     rises = np.ones(n, np.int8)
-    rises[:-1] = np.sign(text[1:].astype(np.int64) - text[:-1])
-    place = np.where(rises != 0, np.arange(n), n - 1)
+    rises[:-1] = (text[1:] > text[:-1]).view(np.int8) - (text[1:] < text[:-1]).view(np.int8)
+    place = np.where(rises != 0, np.arange(n, dtype=np.int32), np.int32(n - 1))
     return rises[np.minimum.accumulate(place[::-1])[::-1]] > 0
 
 
@@ -33,7 +33,7 @@ def _grouped(symbols: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray,
 def _induce(text, is_s, starts, ends, low_ends, lms, small) -> np.ndarray:
     """All suffixes from ordered LMS ones. low_ends: where the L part of each bucket ends."""
     n = len(text)
-    array = np.full(n, -1, np.int64)
+    array = np.full(n, -1, np.int32)
     order, symbols, begins, rank = _grouped(text[lms], small)
     counts = np.diff(np.append(begins, len(order)))
     array[ends[symbols] - np.repeat(counts, counts) + rank] = lms[order]
@@ -97,7 +97,7 @@ def _induce(text, is_s, starts, ends, low_ends, lms, small) -> np.ndarray:
 def _names(text: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Ranks of the LMS substrings, given in their order; equal ones share a rank."""
     n = len(text)
-    following = np.zeros(n + 1, np.int64)
+    following = np.zeros(n + 1, np.int32)
     following[lms[:-1]] = lms[1:]
     following[lms[-1]] = n - 1
     size = following[ordered] - ordered + 1
@@ -115,11 +115,11 @@ def _names(text: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """The suffix array of integers whose last one is 0 and occurs once."""
+    """The suffix array of fewer than 2**31 integers whose last one is 0 and occurs once."""
     n = len(text)
     if n <= 2:
-        return np.arange(n - 1, -1, -1, dtype=np.int64)
-    text = text.astype(np.int64)
+        return np.arange(n - 1, -1, -1, dtype=np.int32)
+    text = text.astype(np.int32)
     is_s = _s_types(text)
     sizes = np.bincount(text)
     small = len(sizes) <= 1 << 16
@@ -129,12 +129,12 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     first = is_s.copy()
     first[0] = False
     first[1:] &= ~is_s[:-1]
-    lms = np.flatnonzero(first)
+    lms = np.flatnonzero(first).astype(np.int32)
     array = _induce(text, is_s, starts, ends, low_ends, lms, small)
     ordered = array[first[array]]
     ranks = _names(text, lms, ordered)
     if ranks[-1] + 1 < len(lms):
-        name = np.zeros(n, np.int64)
+        name = np.zeros(n, np.int32)
         name[ordered] = ranks
         ordered = lms[suffix_array(name[lms])]
     return _induce(text, is_s, starts, ends, low_ends, ordered, small)
@@ -145,9 +145,9 @@ def common_prefixes(eights: np.ndarray, array: np.ndarray, places: np.ndarray, m
 
     `eights` holds eight bytes at each byte, zeros after the end.
     """
-    before = np.full(len(array), -1, np.int64)
+    before = np.full(len(array), -1, np.int32)
     before[array[1:]] = array[:-1]
-    shared = np.zeros(len(places), np.int64)
+    shared = np.zeros(len(places), np.int32)
     active = np.flatnonzero(before[places] >= 0)
     offset = 0
     while len(active) and offset < most:
