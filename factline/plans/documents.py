@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factline.functions import text
-from factline.operators import observations, publish
+from factline.operators import observations, publish, replies
 from factline.operators.checks import require_none
 from factline.operators.compare import duplicate_keys
 from factline.plans import ingest
-from factline.storage import keep
+from factline.storage import fresh_path, keep
 
 
 @dataclass(frozen=True)
@@ -68,19 +68,19 @@ def read_without_model(documents: DataFrame, pages: DataFrame | None) -> tuple[D
     return elements, observed
 
 
-def read_with_model(documents: DataFrame, model: Model, prompt: str) -> tuple[DataFrame, DataFrame]:
-    """Evidence elements and observations from the model's replies, for every document."""
+def read_with_model(documents: DataFrame, model: Model, prompt: str, memo: str) -> tuple[DataFrame, DataFrame]:
+    """Evidence elements and observations from the model's replies, for every document; `memo` holds those of earlier runs."""
     marked = observations.need_model(documents)
     require_none(marked.filter(F.col("model_problem").isNotNull()).select("asset_id", "model_problem"), "model limit")
     whole = documents.select("asset_id", "media_type", "markdown", "content")
     requests = observations.model_requests(whole, model.base_prompt, model.alias, prompt, model.temperature, model.max_tokens)
-    replies = keep(observations.call_model(requests.select("asset_id", "media_type", "request"), model.reply_to), "replies")
-    records, rejected = observations.sanitize_replies(replies)
+    replied = keep(replies.with_replies(requests.select("asset_id", "media_type", "request"), model.reply_to, memo), "replies")
+    records, rejected = observations.sanitize_replies(replied)
     require_none(rejected, "model reply")
     return records.select("asset_id", "key", "locator_json", "quote"), records.select("asset_id", "key", "item", "value", "category")
 
 
-def document_spec(model: Model | None = None, prompt: str = "", multiplier: float = 1) -> ingest.PipelineSpec:
+def document_spec(model: Model | None = None, prompt: str = "", multiplier: float = 1, memo: str = "") -> ingest.PipelineSpec:
     """The ingest as a declared pipeline over `assets` (with content) and, for paged text, `pages`."""
 
     def read(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
@@ -90,7 +90,7 @@ def document_spec(model: Model | None = None, prompt: str = "", multiplier: floa
         if model is None:
             found, observed = read_without_model(tables["read"], tables.get("pages"))
         else:
-            found, observed = read_with_model(tables["read"], model, prompt)
+            found, observed = read_with_model(tables["read"], model, prompt, memo or fresh_path(spark, "memo"))
         tables["observed"] = observed
         return found
 
@@ -121,11 +121,11 @@ def ingest_documents(
 
     `pages` is the text of paged documents, `(asset_id, page, text)`; decoding the files is the
     caller's. With a model every document is read by it, and its output is not guaranteed to
-    repeat. Any asset, reply or row that breaks a rule stops the run, and nothing is published.
+    repeat, but a reply once given is kept under `root` and not asked for again. Any asset, reply or row that breaks a rule stops the run, and nothing is published.
     """
     inputs = {"assets": assets} if pages is None else {"assets": assets, "pages": pages}
     params = {"multiplier": multiplier, **({"model_alias": model.alias, "prompt": prompt} if model else {})}
-    spec = document_spec(model, prompt, multiplier)
+    spec = document_spec(model, prompt, multiplier, f"{root}/replies")
     result = ingest.run(spark, spec, inputs, params, root, scope, asset_table="read")
     warning = ["model output is not guaranteed to repeat; model, prompt and inputs are part of the recipe"] if model else []
     return {**result, "warnings": warning}

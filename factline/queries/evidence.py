@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.operators import checks, compare, delimited, observations, publish
+from factline.operators import checks, compare, delimited, observations, publish, replies
 from factline.plans import documents
 from factline.queries.registry import on_tables, query, table
 from factline.sources import files
@@ -317,7 +317,7 @@ REPLY = """
 MEDIA = "CASE WHEN n_chars > 2000 THEN 'application/pdf' WHEN n_chars > 500 THEN 'image/png' ELSE 'text/csv' END"
 
 
-def replies(spark, sf_dir):
+def model_replies(spark, sf_dir):
     reply = REPLY.replace("{nl}", "\\n").replace("{", "{{").replace("}", "}}")
     return on_tables(spark, sf_dir, f"""
       SELECT concat('document-', doc_id) AS asset_id, {MEDIA} AS media_type, {reply} AS reply FROM {{documents}}""")
@@ -335,7 +335,7 @@ def replies(spark, sf_dir):
          quote, item, value, category
   FROM r""")
 def model_sanitize(spark, sf_dir):
-    return observations.sanitize_replies(replies(spark, sf_dir))[0]
+    return observations.sanitize_replies(model_replies(spark, sf_dir))[0]
 
 
 @query("q_model_rejected", """
@@ -344,7 +344,29 @@ def model_sanitize(spark, sf_dir):
               ELSE 'reply has no observations' END AS problem
   FROM documents WHERE lang = 'es' OR (lang = 'de' AND n_chars > 1000)""")
 def model_rejected(spark, sf_dir):
-    return observations.sanitize_replies(replies(spark, sf_dir))[1]
+    return observations.sanitize_replies(model_replies(spark, sf_dir))[1]
+
+
+def word_count(request: str) -> str:
+    """A stand-in for a model: counts what stands after the prompt."""
+    import json
+
+    return str(len(json.loads(request)["messages"][0]["content"][0]["text"].split("Document:\n", 1)[1]))
+
+
+@query("q_reply_memo", """
+  SELECT doc_id, CAST(length(text) AS VARCHAR) AS reply,
+         CASE WHEN text IN (SELECT text FROM documents WHERE lang = 'en') THEN 'first' ELSE 'second' END AS run
+  FROM documents""")
+def reply_memo(spark, sf_dir):
+    """Two runs over the same store: the second one asks only for what the first one did not."""
+    asked = observations.model_requests(
+        table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("text").alias("markdown")), REQUEST_PROMPT, "reader").drop("markdown")
+    folder = fresh_path(spark, "memo")
+    replies.with_replies(asked.filter("lang = 'en'"), word_count, folder, "first", calls_per_task=500)
+    replied = replies.with_replies(asked, word_count, folder, "second", calls_per_task=500)
+    runs = replies.stored(spark, replies.store_of(folder, word_count)).select("request_hash", "run")
+    return replied.join(runs, F.sha2("request", 256) == F.col("request_hash")).select("doc_id", "reply", "run")
 
 
 @query("q_model_extract", """
