@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from factline.operators import compare
+from factline.operators import compare, history
 from factline.queries.registry import on_tables, order_facts, query, table
+from factline.storage import fresh_path
 
 SIDES = """
   WITH old AS (SELECT o_custkey AS item, o_orderpriority AS category, count(*) AS n, max(o_totalprice) AS value,
@@ -129,3 +130,26 @@ def version_changes(spark, sf_dir):
              CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS value
       FROM {orders} WHERE o_orderstatus <> 'P'""")
     return compare.version_changes(compare.versions({"run-1": first, "run-2": second}), ["evidence_id"], "run-1", "run-2")
+
+
+# Run by run the orders so far are counted for each customer and priority; a count holds until the next order.
+@query("q_fact_history", """
+  WITH years AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders),
+  runs AS (SELECT y, row_number() OVER (ORDER BY y) - 1 AS run FROM years),
+  counted AS (
+    SELECT r.run, o_custkey AS item, o_orderpriority AS category, count(*) AS orders
+    FROM runs r JOIN orders ON year(o_orderdate) <= r.y GROUP BY ALL),
+  islands AS (SELECT *, run - row_number() OVER (PARTITION BY item, category, orders ORDER BY run) AS island FROM counted)
+  SELECT item, category, orders, CAST(1 AS BIGINT) AS copies, min(run) AS from_run,
+         CASE WHEN max(run) < (SELECT max(run) FROM runs) THEN max(run) + 1 END AS to_run
+  FROM islands GROUP BY item, category, orders, island""")
+def fact_history(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", F.year("o_orderdate").alias("y"))
+    first, last = orders.agg(F.min("y"), F.max("y")).first()
+    folder = fresh_path(spark, "history")
+    made = None
+    for run, year in enumerate(range(first, last + 1)):
+        made = orders.filter(F.col("y") <= year).groupBy(F.col("o_custkey").alias("item"), F.col("o_orderpriority").alias("category")).agg(
+            F.count(F.lit(1)).alias("orders"))
+        history.add_run(spark, folder, made, run)
+    return history.intervals(history.changes(spark, folder, made.schema))
