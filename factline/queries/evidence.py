@@ -105,6 +105,7 @@ def page_evidence(spark, sf_dir):
 
 
 # Documents: prose, of which nothing follows the grammar. Lines: a heading, an observation, a remark.
+# Fixed value: the observation grammar, in both patterns of the SQL.
 @query("q_text_observations", r"""
   WITH pages AS (
     SELECT 'document-' || doc_id AS asset_id, 1 AS page, text FROM documents

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factline.functions.canonical import canonical
-from factline.operators.checks import ContractError, check_manifests, fixed_schema, require_none, verify_files
+from factline.operators.checks import ContractError, check_images, check_manifests, fixed_schema, require_none, verify_files
 from factline.operators.versions import content_digest, table_digest
 from factline.sources import files
 
@@ -101,7 +101,7 @@ def publish(
     max_records_per_file: int = 5_000_000,
     check: Callable[[dict[str, DataFrame]], None] | None = None,
 ) -> dict:
-    """Write the tables, check the fixed contracts, and commit by writing the manifest.
+    """Write the tables, check the fixed contracts and the bytes of images, and commit by writing the manifest.
 
     `check` gets the written tables before the commit; when it raises, nothing is published.
     """
@@ -114,8 +114,12 @@ def publish(
     outputs = write_tables(spark, tables, folder, max_records_per_file)
     manifest = {"schema_version": SCHEMA_VERSION, "artifact_id": artifact_id, "scope_id": scope, "created_at": now(),
                 "recipe_hash": recipe_hash, "recipe": recipe, "package": package, "sources": sources or [], "outputs": outputs}
+    written = tables_of(spark, root, manifest) if check is not None or {"images", "image_bytes"} <= tables.keys() else {}
+    if {"images", "image_bytes"} <= tables.keys():
+        held = written["image_bytes"].select(F.col("original_ref").alias("path"), "content")
+        require_none(check_images(written["images"].withColumn("path", F.col("original_ref")), held), "images")
     if check is not None:
-        check(tables_of(spark, root, manifest))
+        check(written)
     row = check_manifests(
         spark.createDataFrame([(artifact_id, canonical(manifest))], "folder string, text string"), scope, SCHEMA_VERSION).first()
     if row["status"] != "ok":

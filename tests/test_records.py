@@ -9,13 +9,14 @@ from factline.operators import observations as obs
 from factline.operators import publish
 from factline.sources import files
 
-INPUT = "item,value\nA,10\nB,20"
+# An input file and its hash.
+INPUT = b"item,value\nA,10\nB,20\n"
 INPUT_SHA = "0b20d847c0033e537f5f7ab94319beeef1ce6248929253316acf24142b3b2516"
 
 
 @pytest.fixture
 def folder(tmp_path):
-    (tmp_path / "input.csv").write_bytes(INPUT.encode() + b"\n")
+    (tmp_path / "input.csv").write_bytes(INPUT)
     (tmp_path / "history.csv").write_text("item,value,category\nA,10,\nB,20,\n")
     (tmp_path / "odd.csv").write_bytes('\ufeffitem,value,category\r\n"x\r\ny",,\n\nz,1_0\n'.encode())
     (tmp_path / "picture.png").write_bytes(bytes.fromhex("89504e470d0a1a0a") + b"\0" * 20)
@@ -28,10 +29,10 @@ def test_assets(spark, folder):
     found = {r["original_name"]: r for r in assets.collect()}
     assert set(found) == {"input.csv", "history.csv", "odd.csv", "picture.png", "notes.bin"}
     assert found["picture.png"]["media_type"] == "image/png"
-    assert found["input.csv"]["sha256"] == hashlib.sha256(INPUT.encode() + b"\n").hexdigest()
+    assert found["input.csv"]["sha256"] == hashlib.sha256(INPUT).hexdigest()
     assert rows(files.oversized_files(spark, folder, max_bytes=400), "length") == [(500,)]
     assert files.total_bytes(spark, folder).first()["files"] == 5
-    assert hashlib.sha256(INPUT.encode() + b"\n").hexdigest() == INPUT_SHA
+    assert hashlib.sha256(INPUT).hexdigest() == INPUT_SHA
 
 
 def test_csv_records_to_published_tables(spark, folder):

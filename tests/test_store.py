@@ -83,6 +83,11 @@ def test_image_bytes_round_trip(spark, tmp_path):
     loaded = artifacts.load(spark, root, manifest["artifact_id"], "scope")
     assert loaded["images"].first()["path"].endswith("image_bytes#ref-1")
     assert bytes(loaded["image_bytes"].first()["content"]) == bytes_
+    for content, mime in ((b"no image", "image/png"), (bytes_, "image/jpeg"), (bytes_, "image/tiff")):
+        wrong = artifacts.image_outputs(images.withColumn("mime_type", F.lit(mime)), files.withColumn("content", F.lit(content)))
+        with pytest.raises(ContractError, match="images"):
+            publish(spark, wrong, root, {"n": 2})
+    assert artifacts.index(spark, root).count() == 1
     manifest = publish(spark, {"images": images}, root, {"n": 3})
     with pytest.raises(ContractError, match="byte mapping"):
         artifacts.load(spark, root, manifest["artifact_id"], "scope")

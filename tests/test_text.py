@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from factline.functions import text
 from factline.functions.canonical import canonical, canonical_row, digest
 
+# The patterns that the library's own must agree with.
 GRAMMAR = re.compile(r"\s*([\w -]+)\s*[,：:]\s*(-?\d+(?:\.\d+)?)\s*(?:,\s*(.*))?")
 FENCE = re.compile(r"^```(?:json)?\s*|\s*```$")
 SECRET = re.compile(r"(?i)(password|api_key|token)\s*=\s*[^\s;&]+")
