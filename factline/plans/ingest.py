@@ -59,7 +59,8 @@ def run(
     """Run a declared pipeline, or return the artifact of an equal earlier run.
 
     A run sees only the tables handed to it and those its own steps make. Input digests are
-    computed here unless the caller already has them for this version of the tables.
+    computed here unless the caller already has them for this version of the tables. Its SQL
+    functions are known for the time of the run only, and must not take a name that exists.
     """
     unknown = set(params) - set(spec.params)
     if unknown:
@@ -72,8 +73,23 @@ def run(
     if earlier:
         return {"tables": artifacts.load(spark, root, earlier, scope), "artifact_id": earlier,
                 "recipe_hash": key, "reused": True}
-    for name, (function, returns) in spec.functions.items():
-        spark.udf.register(name, F.udf(function, returns, useArrow=True))
+    taken = [name for name in spec.functions if spark.catalog.functionExists(name)]
+    if taken:
+        raise ValueError(f"functions of that name exist in the session: {sorted(taken)}")
+    try:
+        for name, (function, returns) in spec.functions.items():
+            spark.udf.register(name, F.udf(function, returns, useArrow=True))
+        manifest = _published(spark, spec, inputs, params, root, scope, asset_table, recipe, key)
+    finally:  # all outputs are written by now; the names are free for other runs
+        for name in spec.functions:
+            spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS `{name}`")
+    return {"tables": artifacts.tables_of(spark, root, manifest),
+            "artifact_id": manifest["artifact_id"], "recipe_hash": key, "reused": False}
+
+
+def _published(spark: SparkSession, spec: PipelineSpec, inputs: dict, params: dict, root: str, scope: str, asset_table: str, recipe: dict,
+               key: str) -> dict:
+    """Run the steps and publish what they made; gives the manifest."""
     tables = {**inputs, "run_params": params_table(spark, params)}
     for name, step in spec.steps:
         tables[name] = sql_step(spark, step, tables) if isinstance(step, str) else step(spark, tables)
@@ -88,10 +104,8 @@ def run(
             checks.require_none(duplicate_keys(tables[asset_table], ["asset_id"]), "asset ids")
             checks.require_none(checks.check_evidence(written["evidence"], tables[asset_table]), "evidence")
 
-    manifest = artifacts.publish(spark, outputs, root, scope, recipe, key,
-                                 {"id": spec.id, "version": spec.version, "digest": spec.digest()}, check=check)
-    return {"tables": artifacts.tables_of(spark, root, manifest),
-            "artifact_id": manifest["artifact_id"], "recipe_hash": key, "reused": False}
+    return artifacts.publish(spark, outputs, root, scope, recipe, key,
+                             {"id": spec.id, "version": spec.version, "digest": spec.digest()}, check=check)
 
 
 def sql_step(spark: SparkSession, query: str, tables: dict[str, DataFrame]) -> DataFrame:

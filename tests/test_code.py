@@ -157,3 +157,21 @@ def test_a_changed_helper_runs_again(spark, tmp_path, load):
     assert [run(), run()] == [(False, 2), (True, 2)]
     load(helper=HELPER.replace("RATE = 1", "RATE = 5"))
     assert run() == (False, 6)
+
+
+def test_functions_of_a_run_are_its_own(spark, tmp_path):
+    def run(function, root):
+        spec = ingest.PipelineSpec(id="p", version="1", steps=[("out", "SELECT shifted(id) AS n FROM {given}")], outputs={"out": "out"},
+                                   functions={"shifted": (function, "bigint")})
+        return ingest.run(spark, spec, {"given": spark.range(1)}, {}, str(tmp_path / root), "s")["tables"]["out"]
+
+    one, ten = run(lambda x: x + 1, "a"), run(lambda x: x + 10, "a")
+    assert (one.first()[0], ten.first()[0]) == (1, 10)
+    assert not spark.catalog.functionExists("shifted")
+    spark.udf.register("shifted", lambda x: x, "bigint")
+    try:
+        with pytest.raises(ValueError, match="exist in the session"):
+            run(lambda x: x + 100, "b")
+        assert spark.catalog.functionExists("shifted")
+    finally:
+        spark.sql("DROP TEMPORARY FUNCTION shifted")
