@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factline.llm.arrow import blocks
+from factline.llm.names import quoted, set_aside, unused, without
 
 # Fixed value: how byte-level tokenizers cut a text into pieces.
 PIECES = r" ?\p{L}+|'(?:s|t|re|ve|m|ll|d)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -166,20 +167,20 @@ def codec(path: str) -> Codec:
 
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of each whole text as an array<int>; the file must be at that place on every node."""
-    others = [c for c in docs.columns if c != ids]
-    source = docs.select(*others, F.coalesce(text, F.lit("")).alias("_text"))
-    schema = T.StructType([*[docs.schema[c] for c in others], T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
+    whole, columns = set_aside(without(docs, [ids]), text)
+    others, raw = whole.columns, unused([*whole.columns, ids], "raw")
+    source = whole.withColumn(raw, F.coalesce(quoted(text), F.lit("")))
+    schema = T.StructType([*whole.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(tokenizer)
-        for block in blocks(batches, "_text"):
-            found = [own.encode(x) for x in block.column("_text").to_pylist()]
+        for block in blocks(batches, raw):
+            found = [own.encode(x) for x in block.column(raw).to_pylist()]
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             values = pa.array(np.concatenate(found).astype(np.int32), pa.int32())
-            columns = [block.column(c) for c in others]
-            yield pa.record_batch([*columns, pa.ListArray.from_arrays(pa.array(ends), values)], [*others, ids])
+            yield pa.record_batch([*map(block.column, others), pa.ListArray.from_arrays(pa.array(ends), values)], [*others, ids])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).select(*columns, quoted(ids))
 
 
 def _arrays(block: pa.RecordBatch, ids: str) -> Iterator[np.ndarray]:
@@ -190,18 +191,18 @@ def _arrays(block: pa.RecordBatch, ids: str) -> Iterator[np.ndarray]:
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the text of each array of ids."""
-    others = [c for c in encoded.columns if c != text]
-    schema = T.StructType([*[encoded.schema[c] for c in others], T.StructField(text, T.StringType())])
+    whole, columns = set_aside(without(encoded, [text]), ids)
+    others = whole.columns
+    schema = T.StructType([*whole.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(tokenizer)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 block = batch.slice(start, 256)
-                columns = [block.column(c) for c in others]
-                yield pa.record_batch([*columns, pa.array([own.decode(x) for x in _arrays(block, ids)], pa.string())], [*others, text])
+                yield pa.record_batch([*map(block.column, others), pa.array([own.decode(x) for x in _arrays(block, ids)], pa.string())], [*others, text])
 
-    return encoded.select(*others).mapInArrow(run, schema)
+    return whole.mapInArrow(run, schema).select(*columns, quoted(text))
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:

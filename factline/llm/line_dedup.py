@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factline.functions.once import once
+from factline.llm.names import set_aside, without
 from factline.llm.words import SPACES, lowered
 from factline.storage import fresh_path, keep
 
@@ -127,15 +128,16 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batch
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 6, fan_in: int = 3) -> DataFrame:
-    """The documents with their remaining lines as `text`, and `n_lines` and `n_dropped` added.
+    """The documents with their remaining lines as `text`, and `n_lines` and `n_dropped` added (in place of such columns).
 
     A line goes if its key has at least `min_chars` code points and is found in at least
     `min_docs` documents, unless the document has the largest doc_id that holds it.
     """
-    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    docs, columns = set_aside(without(docs, ("n_lines", "n_dropped")), "doc_id", "text")
+    places = [c for c in docs.columns if c != "text"]
     gone = dropped_lines(docs, min_chars, min_docs, batches, fan_in)
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("places").alias("_places"))
-    whole = docs.select(*others, F.coalesce("text", F.lit("")).alias("_text")).withColumn("_hash", F.xxhash64("_text"))
+    whole = docs.select(*places, F.coalesce("text", F.lit("")).alias("_text")).withColumn("_hash", F.xxhash64("_text"))
     joined = whole.join(gone, whole["doc_id"].eqNullSafe(gone["_id"]) & (whole["_hash"] == gone["_tie"]), "left")
     split = once(joined, _lines=F.split("_text", "\n"))
     split = split.withColumn("_n", F.size("_lines"))
@@ -145,7 +147,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
         lambda i: F.slice(
             "_lines", F.when(i == 0, 1).otherwise(F.get("_places", i - 1) + 2),
             F.coalesce(F.get("_places", i), F.col("_n")) - F.when(i == 0, 0).otherwise(F.get("_places", i - 1) + 1))))
+    split = split.withColumn("text", F.when(F.col("_places").isNull(), F.col("_text")).otherwise(F.array_join(stretch, "\n")))
     return split.select(
-        *others, F.when(F.col("_places").isNull(), F.col("_text")).otherwise(F.array_join(stretch, "\n")).alias("text"),
-        F.col("_n").cast("long").alias("n_lines"),
+        *columns, F.col("_n").cast("long").alias("n_lines"),
         F.when(F.col("_places").isNull(), 0).otherwise(F.size("_places")).cast("long").alias("n_dropped"))

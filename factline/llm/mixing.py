@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from factline.llm.names import set_aside, without
 from factline.operators.numbering import part_of, place, position_of, with_place
 from factline.storage import fresh_path, keep
 
@@ -122,11 +123,11 @@ def mix(docs: DataFrame, size: str = "size", weights: tuple[float, ...] = (5, 2,
     """Add `source_size`, `target`, `rate` and `copies` to documents with a source and a size.
 
     `copies` is the rate rounded down or up, so at most `most`. Give it stored columns, as
-    they are read twice; columns of the input keep their names and order.
+    they are read twice; columns of the input keep their names and order, but for those named
+    like an added one, which are replaced.
     """
-    made = ("source_size", "target", "rate", "copies")
-    others = [c for c in docs.columns if c not in made]
-    placed = _classed(docs.select(*others), size)
+    docs, columns = set_aside(without(docs, ("source_size", "target", "rate", "copies")), *dict.fromkeys(("doc_id", "source", size)))
+    placed = _classed(docs, size)
     counted = keep(placed.groupBy(*_GROUP).agg(F.count("*").alias("_n"), F.sum("_words").alias("_sum")), "slots")
     sources = counted.groupBy("_null", "_name").agg(F.sum("_sum").alias("source_size"))
     sources = sources.select(F.when(~F.col("_null"), F.col("_name")).alias("source"), "source_size")
@@ -138,5 +139,5 @@ def mix(docs: DataFrame, size: str = "size", weights: tuple[float, ...] = (5, 2,
     plan = _further(counted, rates).join(rates, ["_null", "_name"])
     turn = F.row_number().over(Window.partitionBy(*_GROUP).orderBy("_lot", "doc_id", "_words"))
     return placed.join(plan, _GROUP).select(
-        *others, "source_size", "target", "rate",
+        *columns, "source_size", "target", "rate",
         (F.col("_whole") + F.when(turn <= F.col("_more"), 1).otherwise(0)).cast("int").alias("copies"))

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factline.functions.once import once
+from factline.llm.names import set_aside
+from factline.llm.names import without as without_columns
 from factline.llm.words import SPACES, words
 from factline.storage import keep
 
@@ -144,7 +146,7 @@ def verdicts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bins: int
 def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bins: int = BINS) -> DataFrame:
     """The documents with the counts, base_failed, score and kept added; other columns keep their names and order."""
     made = [*METRICS, "base_failed", "score", "kept"]
-    others = [c for c in docs.columns if c not in made]
+    docs, columns = set_aside(without_columns(docs, made), "doc_id", "text")
     found = verdicts(docs, labels, sample, bins).dropDuplicates(["doc_id", "tie"]).withColumnsRenamed({"doc_id": "_id", "tie": "_tie"})
-    whole = docs.select(*others).withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return whole.join(found, whole["doc_id"].eqNullSafe(found["_id"]) & (whole["_hash"] == found["_tie"])).select(*others, *made)
+    whole = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return whole.join(found, whole["doc_id"].eqNullSafe(found["_id"]) & (whole["_hash"] == found["_tie"])).select(*columns, *made)

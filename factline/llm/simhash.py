@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from factline.llm.arrow import blocks
 from factline.llm.graph import components
+from factline.llm.names import quoted, set_aside, unused, without
 from factline.llm.recurring import mixed
 from factline.storage import keep
 
@@ -84,16 +85,19 @@ def lane_names(lanes: int) -> list[str]:
 def fingerprints(docs: DataFrame, shingle: int = 3, lanes: int = 1) -> DataFrame:
     """The columns of `docs` without `text`, and the lanes `fp`, `fp2`, ... (long)."""
     made = lane_names(lanes)
-    others = [c for c in docs.columns if c not in ("text", *made)]
-    schema = T.StructType([*[docs.schema[c] for c in others], *[T.StructField(c, T.LongType(), False) for c in made]])
+    whole = without(docs, made)
+    texts, columns = set_aside(whole, "text")
+    others, name = [c for c in texts.columns if c != "text"], unused([*texts.columns, *made], "raw")
+    schema = T.StructType([*[texts.schema[c] for c in others], *[T.StructField(c, T.LongType(), False) for c in made]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "_raw"):
-            found = np.array([fingerprint(x, shingle, lanes) for x in block.column("_raw").to_pylist()], np.int64).T
+        for block in blocks(batches, name):
+            found = np.array([fingerprint(x, shingle, lanes) for x in block.column(name).to_pylist()], np.int64).T
             yield pa.record_batch([*[block.column(c) for c in others], *map(pa.array, found)], [*others, *made])
 
-    raw = F.coalesce("text", F.lit("")).cast("binary").alias("_raw")
-    return docs.select(*others, raw).mapInArrow(run, schema)
+    raw = F.coalesce("text", F.lit("")).cast("binary").alias(name)
+    kept = [column for c, column in zip(whole.columns, columns) if c != "text"]
+    return texts.select(*others, raw).mapInArrow(run, schema).select(*kept, *made)
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -285,15 +289,15 @@ def links(distinct: DataFrame, radius: int = 2, total: int = 2, lanes: int = 1)
 
 
 def groups(docs: DataFrame, shingle: int = 3, radius: int = 2, total: int | None = None, lanes: int = 1) -> DataFrame:
-    """`docs` without `text`, with the lanes and `component_id`, the smallest doc_id that links reach."""
+    """`docs` without `text`, with the lanes and `component_id`, the smallest doc_id that links reach (in place of such columns)."""
     named = lane_names(lanes)
-    rows = keep(fingerprints(docs, shingle, lanes), "fingerprints")
+    rows = keep(fingerprints(without(docs, ["component_id"]), shingle, lanes), "fingerprints")
     node = F.col("fp") if lanes == 1 else F.xxhash64(*named)
     distinct = keep(rows.groupBy(*named).agg(F.min("doc_id").alias("first")).withColumn("node", node), "distinct-fingerprints")
     joined = components(links(distinct, radius, radius if total is None else total, lanes))
     parts = keep(distinct.join(joined, "node", "left").select(*named, "first", F.coalesce("component", "node").alias("component")), "components")
     least = parts.groupBy("component").agg(F.min("first").alias("component_id"))
-    return rows.join(parts.join(least, "component").select(*named, "component_id"), named).select(*rows.columns, "component_id")
+    return rows.join(parts.join(least, "component").select(*named, "component_id"), named).select(*map(quoted, rows.columns), "component_id")
 
 
 def _described(docs: DataFrame, shingle: int, lanes: int) -> DataFrame:
@@ -443,6 +447,7 @@ def first_of_groups(docs: DataFrame, shingle: int = 5, radius: int = 12, total:
     so a pair is missed if all of four lanes differ in more than 12 or the whole in more than
     60. A null doc_id stays only in a group without other ids.
     """
+    docs, columns = set_aside(docs, "doc_id", "text")
     tied = docs.withColumn("_tie", F.xxhash64(F.coalesce("text", F.lit(""))))
     described = keep(_described(tied, shingle, lanes), "shingle-sets")
     rank = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_tie")
@@ -455,4 +460,4 @@ def first_of_groups(docs: DataFrame, shingle: int = 5, radius: int = 12, total:
              .agg(F.min("one").alias("one")))
     kept = least.select(F.col("one.doc_id").alias("_id"), F.col("one._tie").alias("_least"))
     whole = tied.join(kept, tied["doc_id"].eqNullSafe(kept["_id"]) & (tied["_tie"] == kept["_least"]), "left_semi")
-    return whole.dropDuplicates(["doc_id", "_tie"]).select(*docs.columns)
+    return whole.dropDuplicates(["doc_id", "_tie"]).select(*columns)
