@@ -6,20 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.llm import bpe, line_dedup, mixing, quality, simhash, words
+from factline.llm import bpe, line_dedup, mixing, names, quality, simhash, words
 from factline.storage import keep
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the rules reject."""
-    judged = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judged.filter("kept").select(*docs.columns)
+    aside, columns = names.set_aside(docs, "doc_id", "text")
+    judged = quality.judge(aside, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.filter("kept").select(*columns)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop long lines that many documents share; n_chars follows."""
-    kept = line_dedup.dedup_lines(docs)
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    aside, columns = names.set_aside(docs, "doc_id", "text", "n_chars")
+    return line_dedup.dedup_lines(aside).withColumn("n_chars", F.length("text").cast("long")).select(*columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +30,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take each document as often as its source's target asks."""
-    mixed = mixing.mix(docs.withColumn("_size", words.n_words(F.col("text"))), "_size")
-    return mixed.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    aside, columns = names.set_aside(docs, "doc_id", "source", "text")
+    mixed = mixing.mix(aside.withColumn("size", words.n_words(F.col("text"))), "size")
+    return mixed.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
