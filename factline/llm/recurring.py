@@ -44,14 +44,15 @@ def words_of_eight(data: np.ndarray) -> np.ndarray:
     return wide[:len(data)]
 
 
-def minimizers(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray, window: int) -> np.ndarray:
-    """Places of the least hash in any `window` consecutive ones, the first if tied.
+def owned(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the least hash in any `window` consecutive ones, the first if tied; first and last start of each one's windows.
 
     The hashes of sequence i are `counts[i]` ones from `starts[i]`; windows lie inside sequences.
+    A window has one such place, and the windows of a place are neighbours.
     """
     n = len(hashes)
     if not n:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     tagged = np.full(-(-(n + window) // window) * window, np.iinfo(np.uint64).max, np.uint64)
     tagged[:n] = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
     rows = tagged.reshape(-1, window)
@@ -62,10 +63,17 @@ def minimizers(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray, windo
     inside = np.zeros(n + 1, np.int32)
     np.add.at(inside, starts[windows > 0], 1)
     np.add.at(inside, (starts + windows)[windows > 0], -1)
-    picked = least[np.cumsum(inside[:n]) > 0] & np.uint64(0xFFFFFFFF)
-    chosen = np.zeros(n, bool)
-    chosen[picked.astype(np.int64)] = True
-    return np.flatnonzero(chosen)
+    begins = np.flatnonzero(np.cumsum(inside[:n]) > 0)
+    picked = (least[begins] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    if not len(picked):
+        return picked, begins, begins
+    turns = np.flatnonzero(picked[1:] != picked[:-1])
+    return picked[np.append(0, turns + 1)], begins[np.append(0, turns + 1)], begins[np.append(turns, len(begins) - 1)]
+
+
+def minimizers(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray, window: int) -> np.ndarray:
+    """The places that `owned` picks."""
+    return owned(hashes, starts, counts, window)[0]
 
 
 def ordered(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factline.llm.arrow import blocks, flat, padded
-from factline.llm.recurring import OPEN, REPEAT, applied, cover, minimizers, mixed, numbered, ordered, recurring, words_of_eight
+from factline.llm.recurring import OPEN, REPEAT, applied, cover, mixed, numbered, ordered, owned, recurring, words_of_eight
 from factline.llm.suffixes import common_prefixes, suffix_array
 
 GRAM = 32
@@ -35,7 +35,11 @@ _WEIGHTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 
 
 def byte_contexts(length: int):
-    """Contexts of the anchors of texts for strings of `length` bytes."""
+    """Contexts of the anchors of texts for strings of `length` bytes.
+
+    A string has one anchor, the least of its grams; an anchor's context is its own strings, so
+    each string is judged once.
+    """
     window = length - GRAM + 1
 
     def contexts(texts: pa.Array) -> tuple[np.ndarray, ...]:
@@ -48,10 +52,9 @@ def byte_contexts(length: int):
         hashes = np.zeros(n, np.uint64)
         for i, weight in enumerate(_WEIGHTS):
             hashes += mixed(eights[8 * i:8 * i + n] * weight)
-        at = minimizers(hashes, starts, np.maximum(sizes - GRAM + 1, 0), window)
+        at, start, last = owned(hashes, starts, np.maximum(sizes - GRAM + 1, 0), window)
         number = np.searchsorted(starts, at, side="right") - 1
-        start = np.maximum(starts[number], at - window + 1)
-        end = np.minimum(starts[number] + sizes[number], at + length)
+        end = last + length
         context = mixed(((at - start) << 32 | (end - start)).astype(np.uint64))
         for offset in range(0, length + window, 8):
             context = mixed(context * _WEIGHTS[1] + eights[np.minimum(start + offset, len(eights) - 1)])
