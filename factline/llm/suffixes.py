@@ -21,49 +21,54 @@ def _s_types(text: np.ndarray) -> np.ndarray:
     return rises[np.minimum.accumulate(place[::-1])[::-1]] > 0
 
 
-def _grouped(symbols: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A stable order by symbol, the symbols in it, where each one's group begins, and ranks inside groups."""
-    order = np.argsort(symbols.astype(np.uint16) if small else symbols, kind="stable")
-    sorted_symbols = symbols[order]
-    begins = np.flatnonzero(np.concatenate(([True], sorted_symbols[1:] != sorted_symbols[:-1])))
-    counts = np.diff(np.append(begins, len(order)))
-    return order, sorted_symbols, begins, np.arange(len(order)) - np.repeat(begins, counts)
-
-
-def _induce(text, is_s, starts, ends, low_ends, lms, small) -> np.ndarray:
+def _dealt(symbols: np.ndarray, pointer: np.ndarray, step: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order by symbol, and the places in it from each bucket's pointer on, which moves along by `step`."""
+    order = symbols.argsort(kind="stable")
+    ranked = symbols[order]
+    changes = (ranked[1:] != ranked[:-1]).nonzero()[0]
+    begins = np.zeros(len(changes) + 1, np.int64)
+    begins[1:] = changes + 1
+    counts = np.empty(len(begins), np.int64)
+    counts[:-1] = begins[1:] - begins[:-1]
+    counts[-1] = len(order) - begins[-1]
+    heads = ranked[begins]
+    own = pointer[heads]
+    pointer[heads] = own + step * counts
+    return order, (own - step * begins).repeat(counts) + step * numbers[:len(order)]
+
+
+def _induce(text, is_s, starts, ends, low_ends, lms) -> np.ndarray:
     """All suffixes from ordered LMS ones. low_ends: where the L part of each bucket ends."""
     n = len(text)
+    is_l = ~is_s
+    numbers = np.arange(n, dtype=np.int32)
     array = np.full(n, -1, np.int32)
-    order, symbols, begins, rank = _grouped(text[lms], small)
-    counts = np.diff(np.append(begins, len(order)))
-    array[ends[symbols] - np.repeat(counts, counts) + rank] = lms[order]
+    symbols = text[lms]
+    order, places = _dealt(symbols, ends - np.bincount(symbols, minlength=len(ends)), 1, numbers)
+    array[places] = lms[order]
 
-    missing = np.zeros(n, bool)
     low = np.zeros(n + 1, np.int32)
     np.add.at(low, starts, 1)
     np.add.at(low, low_ends, -1)
     is_low = np.cumsum(low[:n]) > 0
-    missing[is_low] = True
+    missing = is_low.copy()
     pointer = starts.copy()
     at, reach = 0, 256
     while at < n:
         stop = min(n, at + reach)
         gap = missing[at:stop]
-        first = int(gap.argmax()) if len(gap) else 0
-        if len(gap) and gap[first]:
+        first = int(gap.argmax())
+        if gap[first]:
             stop, reach = at + first, max(256, 2 * first)
         else:
             reach *= 2
         before = array[at:stop]
         before = before[before > 0] - 1
-        before = before[~is_s[before]]
+        before = before[is_l[before]]
         if len(before):
-            order, symbols, begins, rank = _grouped(text[before], small)
-            places = pointer[symbols] + rank
+            order, places = _dealt(text[before], pointer, 1, numbers)
             array[places] = before[order]
             missing[places] = False
-            heads = symbols[begins]
-            pointer[heads] += np.diff(np.append(begins, len(order)))
         at = stop
 
     array[~is_low] = -1
@@ -75,8 +80,8 @@ def _induce(text, is_s, starts, ends, low_ends, lms, small) -> np.ndarray:
     while at >= 0:
         stop = max(-1, at - reach)
         gap = missing[stop + 1:at + 1][::-1]
-        first = int(gap.argmax()) if len(gap) else 0
-        if len(gap) and gap[first]:
+        first = int(gap.argmax())
+        if gap[first]:
             stop, reach = at - first, max(256, 2 * first)
         else:
             reach *= 2
@@ -84,12 +89,9 @@ def _induce(text, is_s, starts, ends, low_ends, lms, small) -> np.ndarray:
         before = before[before > 0] - 1
         before = before[is_s[before]]
         if len(before):
-            order, symbols, begins, rank = _grouped(text[before], small)
-            places = pointer[symbols] - rank
+            order, places = _dealt(text[before], pointer, -1, numbers)
             array[places] = before[order]
             missing[places] = False
-            heads = symbols[begins]
-            pointer[heads] -= np.diff(np.append(begins, len(order)))
         at = stop
     return array
 
@@ -122,7 +124,6 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     text = text.astype(np.int32)
     is_s = _s_types(text)
     sizes = np.bincount(text)
-    small = len(sizes) <= 1 << 16
     ends = np.cumsum(sizes)
     starts = ends - sizes
     low_ends = starts + np.bincount(text[~is_s], minlength=len(sizes))
@@ -130,14 +131,16 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     first[0] = False
     first[1:] &= ~is_s[:-1]
     lms = np.flatnonzero(first).astype(np.int32)
-    array = _induce(text, is_s, starts, ends, low_ends, lms, small)
+    if len(sizes) <= 1 << 16:
+        text = text.astype(np.uint16)  # sorted by counting
+    array = _induce(text, is_s, starts, ends, low_ends, lms)
     ordered = array[first[array]]
     ranks = _names(text, lms, ordered)
     if ranks[-1] + 1 < len(lms):
         name = np.zeros(n, np.int32)
         name[ordered] = ranks
         ordered = lms[suffix_array(name[lms])]
-    return _induce(text, is_s, starts, ends, low_ends, ordered, small)
+    return _induce(text, is_s, starts, ends, low_ends, ordered)
 
 
 def common_prefixes(eights: np.ndarray, array: np.ndarray, places: np.ndarray, most: int) -> np.ndarray:
