@@ -3,7 +3,8 @@
 The markup of a page is stripped to lines, one for each block element. A line weighs its
 text; lines of page furniture (by element, role or name), and link lists outside an article,
 weigh nothing. An element that holds the page's article, or nearly all its paragraph text, is
-no furniture by its name. Weights are summed over sliding windows of three lines: text starts where the
+no furniture by its name; nor is one inside an article that reads as prose, if its name can
+mean content as well, such as the discussion of a study. Weights are summed over sliding windows of three lines: text starts where the
 sums rise from nothing (surge) and ends where they fall back to nothing (dive). Stretches
 between a surge and its dive are kept if their highest window is not far below the page's
 highest one. If the page marks an article, lines outside it weigh nothing and every stretch
@@ -31,7 +32,7 @@ SHARE, ENOUGH = 0.2, 200
 
 _MARK = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|canvas|iframe|object|select|textarea|button|title|math)\b.*?(?:</(?P=raw)\s*+>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|svg|canvas|iframe|object|select|textarea|button|title|annotation|annotation-xml)\b.*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<rest>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)/?>"
     r"|<[!?/][^>]*+>"
     r"|</?[a-z][^<>]*+>",
@@ -39,7 +40,8 @@ _MARK = re.compile(
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+                   "small span strike strong sub sup time tt u var wbr "
+                   "math mfrac mi mn mo mover mrow ms msqrt mstyle msub msubsup msup mtext munder munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE = frozenset("nav footer aside form menu dialog head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
@@ -49,12 +51,15 @@ _FURNITURE_NAME = re.compile(
     r"consent|gdpr|notices?|alerts?|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|"
     r"breadcrumbs?|login|popup|modal|overlay|widgets?|pagination|pager|skip|toolbar|copyright)(?:$|[\s_-])", re.IGNORECASE)
 _HEADER_NAME = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.IGNORECASE)
+#: Names that sections of articles have as well, and how many characters paragraphs of prose have on average.
+_DOUBTFUL_NAME = re.compile(r"(?:^|[\s_-])(?:discussion|foot|related|share|side[_-]by[_-]side|social)(?:$|[\s_-])", re.IGNORECASE)
+PROSE = 60
 ARTICLE = frozenset(("article", "main"))
 
 
-def _is_furniture(name: str, rest: str, inside: bool, wraps: bool = False) -> bool:
+def _is_furniture(name: str, rest: str, inside: bool, wraps: bool = False, prose: bool = False) -> bool:
     """Whether an element holds page furniture; inside: within an article, whose own header is content;
-    wraps: it holds what the page is about, whatever its class or id."""
+    wraps: it holds what the page is about, whatever its class or id; prose: it reads as such, and its class or id may be doubtful."""
     if name in FURNITURE or name == "header" and not inside:
         return True
     if not rest or name in ("html", "body", "h1", "h2", "h3", "h4", "h5", "h6") or name in ARTICLE:
@@ -68,21 +73,29 @@ def _is_furniture(name: str, rest: str, inside: bool, wraps: bool = False) -> bo
         if key == "role" and value.lower() in ROLES:
             return True
         if key in ("class", "id") and not wraps and _FURNITURE_NAME.search(value):
-            if not (inside and _HEADER_NAME.search(value) and not _FURNITURE_NAME.search(_HEADER_NAME.sub(" ", value))):
+            if inside:
+                value = _HEADER_NAME.sub(" ", value)
+                value = _DOUBTFUL_NAME.sub(" ", value) if prose else value
+            if _FURNITURE_NAME.search(value):
                 return True
     return False
 
 
-def _wrappers(html: str, marks: list[tuple], closed_by: dict[int, int]) -> Callable[[int], bool]:
-    """Whether the element opened by a mark holds the page's first article or main, or, if there is none,
+def _shapes(html: str, marks: list[tuple], closed_by: dict[int, int]) -> tuple[Callable[[int], bool], Callable[[int], bool]]:
+    """Whether the element opened by a mark wraps the page's subject, and whether it reads as prose.
+
+    It wraps the subject if it holds the page's first article or main, or, if there is none,
     nearly all of its paragraph text (of its text outside links if it has no paragraphs); long comments
-    beside a short article hold most of it as well, but not so much."""
-    paragraphs, unlinked = [0], [0]  # characters before each mark
+    beside a short article hold most of it as well, but not so much. It reads as prose if most of its text
+    is that of paragraphs, outside links, of `PROSE` characters on average."""
+    paragraphs, unlinked, everything, opened = [0], [0], [0], [0]  # characters and paragraphs before each mark
     within = links = at = 0
     for start, end, kind, name, _ in marks:
         n = len("".join(html[at:start].split()))
         paragraphs.append(paragraphs[-1] + (0 if links else n * within))
         unlinked.append(unlinked[-1] + (0 if links else n))
+        everything.append(everything[-1] + n)
+        opened.append(opened[-1] + (name == "p" and kind == "+"))
         at = end
         if name == "a":
             links = max(0, links + (1 if kind == "+" else -1))
@@ -100,7 +113,11 @@ def _wrappers(html: str, marks: list[tuple], closed_by: dict[int, int]) -> Calla
     def wraps(i: int) -> bool:
         return held(said, i) > (1 - SHARE) * said[-1] if first is None else i < first < closed_by[i]
 
-    return wraps
+    def prose(i: int) -> bool:
+        n = held(paragraphs, i)
+        return n >= PROSE * max(1, held(opened, i)) and 2 * n > held(everything, i)
+
+    return wraps, prose
 
 
 def lines_of(html: str) -> tuple[list[str], list[int], list[bool]]:
@@ -119,7 +136,7 @@ def lines_of(html: str) -> tuple[list[str], list[int], list[bool]]:
         elif kind == "-" and open_at.get(name):
             closed_by[open_at[name].pop()] = i
 
-    wraps = _wrappers(html, marks, closed_by)
+    wraps, prose = _shapes(html, marks, closed_by)
     lines, weights, inside_article = [], [], []
     text, linked, total = [], 0, 0
     ends: list[int] = []  # marks that end the furniture we are in
@@ -161,7 +178,7 @@ def lines_of(html: str) -> tuple[list[str], list[int], list[bool]]:
         if kind == "+" and name not in VOID:
             if name in ARTICLE and not ends:
                 articles.append(closed_by.get(i, len(marks)))
-            elif i in closed_by and _is_furniture(name, rest, bool(articles), wraps(i)):
+            elif i in closed_by and _is_furniture(name, rest, bool(articles), wraps(i), prose(i)):
                 ends.append(closed_by[i] if not ends else min(ends[-1], closed_by[i]))
     if at < len(html):
         text.append(html[at:])

@@ -57,6 +57,28 @@ def test_wrappers_named_like_furniture(wrapper, element):
     assert html.main_text(f'<div {wrapper} hidden>{body}</div><p>Shown text.</p>') == "Shown text."
 
 
+PROSE = "<p>The samples that were kept in the cold agree with what the earlier study had found for this species.</p>" * 2
+
+
+@pytest.mark.parametrize("name", ['id="discussion"', 'class="side-by-side"', 'class="columns side-by-side"', "id=foot", "class=social"])
+def test_sections_of_articles_that_read_as_prose(name):
+    page = f"<article><h1>Title</h1><p>First.</p><section {name}><h2>Heading</h2>{PROSE}</section><p>Last.</p></article>"
+    assert html.main_text(page).count("earlier study") == 2 and "Heading" in html.main_text(page)
+
+
+@pytest.mark.parametrize("inner", [
+    f'<div class="comments discussion">{PROSE}</div>', f"<div class=ad>{PROSE}</div>", f"<aside id=discussion>{PROSE}</aside>",
+    f'<div id="discussion" hidden>{PROSE}</div>', '<div class="share"><p>Share</p><p>Print</p></div>',
+    f'<div class="related"><p><a href=1>{PROSE[3:-4]}</a></p></div>', '<div class="social"><span>' + "Follow us wherever you are, " * 9 + "</span></div>"])
+def test_furniture_inside_articles(inner):
+    assert html.main_text(f"<article><h1>Title</h1><p>First.</p>{inner}<p>Last.</p></article>") == "Title\nFirst.\nLast."
+
+
+def test_formulas_are_text():
+    page = "<article><p>So <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>x=1/2</annotation></math> holds.</p></article>"
+    assert html.main_text(page) == "So x=12 holds."
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div class=ad>", "</div>", "<nav>", "</nav>", "<article>", "</article>", "<b", "x y", "&amp;", "<!--", "-->", ">", "'", "<br>"]), max_size=30))
 def test_any_markup_gives_lines(parts):
