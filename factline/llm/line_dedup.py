@@ -133,11 +133,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     A line goes if its key has at least `min_chars` code points and is found in at least
     `min_docs` documents, unless the document has the largest doc_id that holds it.
     """
-    docs, columns = set_aside(without(docs, ("n_lines", "n_dropped")), "doc_id", "text")
-    places = [c for c in docs.columns if c != "text"]
+    whole = without(docs, ("n_lines", "n_dropped"))
+    docs, columns = set_aside(whole, "doc_id", "text")
+    others = [column for c, column in zip(whole.columns, columns) if c != "text"]
+    kept = [c for c in docs.columns if c != "text"]
     gone = dropped_lines(docs, min_chars, min_docs, batches, fan_in)
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("places").alias("_places"))
-    whole = docs.select(*places, F.coalesce("text", F.lit("")).alias("_text")).withColumn("_hash", F.xxhash64("_text"))
+    whole = docs.select(*kept, F.coalesce("text", F.lit("")).alias("_text")).withColumn("_hash", F.xxhash64("_text"))
     joined = whole.join(gone, whole["doc_id"].eqNullSafe(gone["_id"]) & (whole["_hash"] == gone["_tie"]), "left")
     split = once(joined, _lines=F.split("_text", "\n"))
     split = split.withColumn("_n", F.size("_lines"))
@@ -147,7 +149,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
         lambda i: F.slice(
             "_lines", F.when(i == 0, 1).otherwise(F.get("_places", i - 1) + 2),
             F.coalesce(F.get("_places", i), F.col("_n")) - F.when(i == 0, 0).otherwise(F.get("_places", i - 1) + 1))))
-    split = split.withColumn("text", F.when(F.col("_places").isNull(), F.col("_text")).otherwise(F.array_join(stretch, "\n")))
-    return split.select(
-        *columns, F.col("_n").cast("long").alias("n_lines"),
-        F.when(F.col("_places").isNull(), 0).otherwise(F.size("_places")).cast("long").alias("n_dropped"))
+    made = split.withColumns({
+        "text": F.when(F.col("_places").isNull(), F.col("_text")).otherwise(F.array_join(stretch, "\n")),
+        "n_lines": F.col("_n").cast("long"),
+        "n_dropped": F.when(F.col("_places").isNull(), 0).otherwise(F.size("_places")).cast("long")})
+    return made.select(*others, "text", "n_lines", "n_dropped")

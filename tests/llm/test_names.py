@@ -46,7 +46,7 @@ def labels(spark):
 
 CASES = {
     "quality": (lambda s, d: quality.judge(d, labels(s)), quality, [*quality.METRICS, "base_failed", "score", "kept"], ()),
-    "lines": (lambda s, d: line_dedup.dedup_lines(d, batches=2), line_dedup, ["n_lines", "n_dropped"], ()),
+    "lines": (lambda s, d: line_dedup.dedup_lines(d, batches=2), line_dedup, ["n_lines", "n_dropped"], ("text",)),
     "mix": (lambda s, d: mixing.mix(d, "n_chars"), mixing, ["source_size", "target", "rate", "copies"], ()),
     "encode": (lambda s, d: bpe.encode(d, TOKENIZER), bpe, ["ids"], ()),
     "decode": (lambda s, d: bpe.decode(bpe.encode(d, TOKENIZER), TOKENIZER), bpe, ["ids", "decoded"], ()),
