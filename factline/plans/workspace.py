@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import inspect
+import re
 from collections.abc import Callable
 from contextlib import contextmanager
 from typing import Any
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from factline.functions import text
 from factline.functions.canonical import canonical, digest
-from factline.operators import chunks
+from factline.operators import chunks, lineage
 from factline.operators.checks import check_manifests, require_none, verify_files
 from factline.operators.versions import code_digest, table_digest
 from factline.plans import checkpoints, ingest, oplog
@@ -47,9 +48,10 @@ class Workspace:
         entry = {"operation_id": str(uuid4()), "action": action, "request": text.redact_text(canonical(request), text.known_secrets()),
                  "request_digest": digest(request), "input_tables": dict(self._versions), "started_at": artifacts.now(),
                  "status": "succeeded"}
-        before = dict(self.tables)
+        before, versions = dict(self.tables), dict(self._versions)
         try:
             yield entry
+            self._trace(entry, {name for name, version in self._versions.items() if versions.get(name) != version})
         except BaseException:
             entry["status"] = "failed"
             for name in self.tables.keys() - before.keys():
@@ -60,10 +62,32 @@ class Workspace:
             self.tables = before
             raise
         finally:
+            for key in ("reads", "files", "makes", "edges"):  # kept as edges, not in the log
+                entry.pop(key, None)
             entry["finished_at"] = artifacts.now()
             entry["output_tables"] = sorted(name for name, df in self.tables.items() if before.get(name) is not df)
             oplog.append(self.spark, f"{self.root}/log", entry)
 
+    def _node(self, name: str) -> str:
+        return f"table:{name}@{self._versions[name]}"
+
+    def _trace(self, entry: dict, made: set[str]) -> None:
+        """Record what a finished operation read and made.
+
+        An operation may set `reads` and `makes` (nodes), `files` (a table of assets it read) and
+        `edges` (pairs that do not lead through the operation).
+        """
+        operation = f"operation:{entry['operation_id']}"
+        direct = entry.get("edges", [])
+        targets = {self._node(name) for name in made} - {target for _, target in direct}
+        pairs = [*direct, *[(node, operation) for node in entry.get("reads", [])],
+                 *[(operation, node) for node in [*entry.get("makes", []), *sorted(targets)]]]
+        edges = self.spark.createDataFrame(pairs, lineage.EDGES).coalesce(1)
+        if entry.get("files") is not None:
+            edges = edges.unionByName(entry["files"].select(
+                F.concat(F.lit("asset:"), "asset_id").alias("source"), F.lit(operation).alias("target")))
+        lineage.record(edges, f"{self.root}/lineage", entry["operation_id"])
+
     def add(self, name: str, df: DataFrame, provenance: dict | None = None) -> DataFrame:
         """Register a table and make it visible to SQL."""
         if not name.isidentifier():
@@ -99,25 +123,28 @@ class Workspace:
 
     def load_file(self, path: str, name: str | None = None, glob: str | None = None, schema=None) -> DataFrame:
         """Register files as assets; tabular files also become a table when a name is given."""
-        with self._logged("load", {"kind": "file", "path": path, "name": name}):
+        with self._logged("load", {"kind": "file", "path": path, "name": name}) as entry:
             seen = keep(files.file_digests(self.spark, path, glob), "assets")
             self.sources.append((path, glob))
             self.seen = seen if self.seen is None else self.seen.unionByName(seen).dropDuplicates(["path", "sha256"])
             found = files.as_assets(seen.drop("modified"))
+            entry["files"] = found
             self.assets = found if self.assets is None else self.assets.unionByName(found).dropDuplicates(["asset_id"])
             if name is None:
                 return found
             return self.add(name, files.load_table(self.spark, path, schema=schema), {"kind": "file", "path": path})
 
     def load_database(self, name: str, url: str, query: str, **options) -> DataFrame:
-        with self._logged("load", {"kind": "database", "query": query}):
+        with self._logged("load", {"kind": "database", "query": query}) as entry:
+            entry["reads"] = [f"query:{code_digest(query)}"]
             result = keep(database.load_query(self.spark, url, query, **options), name)
             return self.add(name, result, {"kind": "database", "query": query, "read_only": True})
 
     def load_knowledge(self, prefix: str, documents_path: str, pages_path: str, allowed_bases: list[str],
                        requested: DataFrame | None = None, label: str = "ARTIFACT") -> dict[str, DataFrame]:
         """Documents, their chunks, completeness, and the status of the artifacts they name."""
-        with self._logged("load", {"kind": "knowledge", "pages": pages_path}):
+        with self._logged("load", {"kind": "knowledge", "pages": pages_path}) as entry:
+            entry["reads"] = [f"file:{documents_path}", f"file:{pages_path}"]
             documents = knowledge.load_documents(self.spark, documents_path, allowed_bases)
             pages = keep(knowledge.load_envelopes(self.spark, pages_path).join(
                 documents.select("knowledge_id"), "knowledge_id", "left_semi"), "envelopes")
@@ -151,7 +178,8 @@ class Workspace:
         return ids
 
     def load_artifact(self, prefix: str, artifact_id: str) -> dict[str, DataFrame]:
-        with self._logged("load", {"kind": "artifact", "artifact_id": artifact_id}):
+        with self._logged("load", {"kind": "artifact", "artifact_id": artifact_id}) as entry:
+            entry["reads"] = [f"artifact:{artifact_id}"]
             made = artifacts.load(self.spark, self.root, artifact_id, self.scope)
             return {f"{prefix}_{name}": self.add(f"{prefix}_{name}", df, {"kind": "artifact", "artifact_id": artifact_id})
                     for name, df in made.items()}
@@ -173,6 +201,16 @@ class Workspace:
     def operations(self, n: int = 20) -> DataFrame:
         return oplog.last_operations(oplog.read(self.spark, f"{self.root}/log"), n=n)
 
+    def depends_on(self, nodes: list[str], up: bool = False) -> DataFrame:
+        """What rests on the given nodes, in this workspace and in those before it under the same folder.
+
+        Nodes are `asset:<id>`, `table:<name>` (as it is now), `table:<name>@<version>`, `result:<id>`, `artifact:<id>`,
+        `checkpoint:<id>/<table>`, `operation:<id>`; with `up`, what the nodes rest on.
+        """
+        now = {f"table:{name}": self._node(name) for name in self.tables}
+        starts = self.spark.createDataFrame([(now.get(node, node),) for node in nodes], "node string")
+        return lineage.reach(lineage.recorded(self.spark, f"{self.root}/lineage"), starts, up)
+
     # Execute
 
     def register(self, name: str, function: Callable, parameters: list[str], returns: str) -> None:
@@ -189,13 +227,18 @@ class Workspace:
         with self._logged("execute", {"mode": "sql", "sql": query, "bindings": args or []}) as entry:
             result = store_result(self.spark.sql(query, args=args), path=f"{self.root}/results/{entry['operation_id']}")
             self.results[entry["operation_id"]] = result
+            # Every word of the statement that is a table's name, so that no table it reads is missed.
+            words = {word.lower() for word in re.findall(r"\w+", query)}
+            entry["reads"] = [self._node(table) for table in self.tables if table.lower() in words]
+            entry["makes"] = [f"result:{entry['operation_id']}"]
             if name:
                 self.add(name, result.table(), {"kind": "sql", "code_digest": code_digest(query)})
             return entry["operation_id"]
 
     def python(self, step: Callable[[SparkSession, dict[str, DataFrame]], dict[str, DataFrame]]) -> list[str]:
         """Run a step over the tables; the tables it returns are published."""
-        with self._logged("execute", {"mode": "python", "step": step.__qualname__}):
+        with self._logged("execute", {"mode": "python", "step": step.__qualname__}) as entry:
+            entry["reads"] = [self._node(name) for name in self.tables]
             made = step(self.spark, dict(self.tables))
             for name, df in made.items():
                 self.add(name, df, {"kind": "python", "step": step.__qualname__})
@@ -203,14 +246,16 @@ class Workspace:
 
     def pipeline(self, spec: ingest.PipelineSpec, inputs: list[str], params: dict | None = None) -> dict[str, Any]:
         """Run a declared pipeline. Every distinct run adds its own tables and leaves older ones."""
-        with self._logged("execute", {"mode": "pipeline", "id": spec.id, "params": params or {}}):
+        with self._logged("execute", {"mode": "pipeline", "id": spec.id, "params": params or {}}) as entry:
             taken = {name: self.tables[name] for name in inputs}
+            entry["reads"] = [self._node(name) for name in inputs]
             digests = {name: self.digest(name) for name in inputs}
             if self.assets is not None and "input_files" not in taken:
                 require_none(self.changed_sources(), "source changed")
-                taken["input_files"] = self.assets
+                taken["input_files"] = entry["files"] = self.assets
                 digests["input_files"] = table_digest(self.assets)[1]
             result = ingest.run(self.spark, spec, taken, params or {}, self.root, self.scope, input_digests=digests)
+            entry["makes"] = [f"artifact:{result['artifact_id']}"]
             prefix = "run_" + result["artifact_id"].replace("-", "")
             for name, df in result["tables"].items():
                 self.add(f"{prefix}_{name}", df, {"kind": "pipeline", "id": spec.id, "recipe_hash": result["recipe_hash"]})
@@ -224,7 +269,7 @@ class Workspace:
     def checkpoint(self, names: list[str]) -> str:
         if len(set(names)) != len(names):
             raise ValueError("name each table once")
-        with self._logged("checkpoint", {"tables": names}):
+        with self._logged("checkpoint", {"tables": names}) as entry:
             copies = self.copies
             if self.assets is not None:
                 require_none(self.changed_sources(), "source changed")
@@ -232,16 +277,19 @@ class Workspace:
                     found = files.scan_assets(self.spark, path, glob, content=True)
                     copies = found if copies is None else copies.unionByName(found)
                 copies = copies.dropDuplicates(["asset_id"])
-            return checkpoints.save(self.spark, {n: self.tables[n] for n in names}, self.root, self.scope,
-                                    {n: self.provenance[n] for n in names}, copies)
+            saved = checkpoints.save(self.spark, {n: self.tables[n] for n in names}, self.root, self.scope,
+                                     {n: self.provenance[n] for n in names}, copies)
+            entry["edges"] = [(self._node(n), f"checkpoint:{saved}/{n}") for n in names]
+            return saved
 
     def restore(self, checkpoint_id: str) -> list[str]:
-        with self._logged("restore", {"checkpoint_id": checkpoint_id}):
+        with self._logged("restore", {"checkpoint_id": checkpoint_id}) as entry:
             made = checkpoints.restore(self.spark, self.root, checkpoint_id, self.scope)
             copies = made.pop(checkpoints.ASSETS, None)
             if copies is not None:
                 self.assets, self.copies, self.sources, self.seen = copies.drop("content"), copies, [], None
             for name, df in made.items():
                 self.add(name, df, {"kind": "checkpoint", "checkpoint_id": checkpoint_id})
+            entry["edges"] = [(f"checkpoint:{checkpoint_id}/{name}", self._node(name)) for name in made]
             return list(made)
 

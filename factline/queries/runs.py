@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from factline.operators import versions
+from factline.operators import lineage, versions
 from factline.plans import checkpoints, ingest, oplog, results
 from factline.plans.results import store_result
 from factline.queries.registry import ORACLES, on_tables, query, table
@@ -173,3 +173,27 @@ def udf_increment(spark, sf_dir):
     spark.udf.register("increment", F.udf(lambda n: None if n is None else n + 1, "bigint", useArrow=True))
     return on_tables(spark, sf_dir, """
       SELECT l_orderkey, l_linenumber, increment(CAST(l_quantity AS BIGINT)) AS next_quantity FROM {lineitem}""")
+
+
+# A region's suppliers deliver to orders; each order of a customer is made with the one before it.
+@query("q_lineage", """
+  WITH ranked AS (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders),
+  met AS (SELECT DISTINCT n_regionkey, o_custkey, r FROM lineitem JOIN ranked ON l_orderkey = o_orderkey
+          JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
+  SELECT 'region:' || n_regionkey AS start, 'order:' || o.o_orderkey AS node, 3 + min(o.r - met.r) AS distance
+  FROM met JOIN ranked AS o ON o.o_custkey = met.o_custkey AND o.r >= met.r GROUP BY ALL
+  UNION ALL SELECT 'region:' || n_regionkey, 'nation:' || n_nationkey, 1 FROM nation
+  UNION ALL SELECT 'region:' || n_regionkey, 'supplier:' || s_suppkey, 2 FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def lineage_closure(spark, sf_dir):
+    """Everything that rests on a region, over edges recorded by four operations."""
+    folder = fresh_path(spark, "edges")
+    for operation, sql in {
+        "nations": "SELECT concat('region:', n_regionkey) AS source, concat('nation:', n_nationkey) AS target FROM {nation}",
+        "suppliers": "SELECT concat('nation:', s_nationkey) AS source, concat('supplier:', s_suppkey) AS target FROM {supplier}",
+        "lines": "SELECT concat('supplier:', l_suppkey) AS source, concat('order:', l_orderkey) AS target FROM {lineitem}",
+        "orders": """SELECT concat('order:', lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey)) AS source,
+                       concat('order:', o_orderkey) AS target FROM {orders}""",
+    }.items():
+        lineage.record(on_tables(spark, sf_dir, sql), folder, operation)
+    starts = on_tables(spark, sf_dir, "SELECT concat('region:', r_regionkey) AS node FROM {region}")
+    return lineage.reach(lineage.recorded(spark, folder), starts)
