@@ -266,7 +266,9 @@ class Workspace:
 
     # Checkpoints
 
-    def checkpoint(self, names: list[str]) -> str:
+    def checkpoint(self, names: list[str], after: str | None = None, keys: dict[str, list[str]] | None = None) -> str:
+        """Save tables and loaded files. With `after`, an earlier checkpoint, or `keys`, the key columns of tables, rows are
+        saved in buckets, and buckets that `after` already holds are not written again."""
         if len(set(names)) != len(names):
             raise ValueError("name each table once")
         with self._logged("checkpoint", {"tables": names}) as entry:
@@ -277,8 +279,13 @@ class Workspace:
                     found = files.scan_assets(self.spark, path, glob, content=True)
                     copies = found if copies is None else copies.unionByName(found)
                 copies = copies.dropDuplicates(["asset_id"])
-            saved = checkpoints.save(self.spark, {n: self.tables[n] for n in names}, self.root, self.scope,
-                                     {n: self.provenance[n] for n in names}, copies)
+            chosen, known = {n: self.tables[n] for n in names}, {n: self.provenance[n] for n in names}
+            if after is None and keys is None:
+                saved = checkpoints.save(self.spark, chosen, self.root, self.scope, known, copies)
+            else:
+                files_too = {} if copies is None else {checkpoints.ASSETS: copies}
+                saved = checkpoints.save_changed(self.spark, {**chosen, **files_too}, self.root, self.scope, after,
+                                                 {**(keys or {}), checkpoints.ASSETS: ["asset_id"]}, provenance=known)
             entry["edges"] = [(self._node(n), f"checkpoint:{saved}/{n}") for n in names]
             return saved
 

@@ -74,6 +74,22 @@ def checkpoint_roundtrip(spark, sf_dir):
     return checkpoints.restore(spark, root, checkpoints.save(spark, chosen, root, "local"), "local")["customer"]
 
 
+@query("q_checkpoint_changed", """
+  SELECT o.* REPLACE (CASE WHEN o_custkey = (SELECT max(o_custkey) FROM orders) THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+  FROM orders AS o""")
+def checkpoint_changed(spark, sf_dir):
+    """The orders with those of one customer corrected, from a checkpoint that continues the one before."""
+    root = fresh_path(spark, "workspace")
+    orders = table(spark, sf_dir, "orders")
+    corrected = on_tables(spark, sf_dir, """
+      SELECT * EXCEPT (o_totalprice), CASE WHEN o_custkey = (SELECT max(o_custkey) FROM {orders}) THEN o_totalprice + 1
+        ELSE o_totalprice END AS o_totalprice FROM {orders}""").select(orders.columns)
+    keys = {"orders": ["o_orderkey"]}
+    first = checkpoints.save_changed(spark, {"orders": orders}, root, "local", keys=keys)
+    last = checkpoints.save_changed(spark, {"orders": corrected}, root, "local", after=first, keys=keys)
+    return checkpoints.restore(spark, root, last, "local")["orders"]
+
+
 LINE_FACTS = ingest.PipelineSpec(
     id="line_facts", version="1.0.0", params=("multiplier",),
     steps=[
