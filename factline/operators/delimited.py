@@ -20,7 +20,7 @@ from factline.functions import text
 from factline.functions.once import once
 from factline.storage import keep
 
-#: Lines of a text cell that make one block.
+#: Lines that make one block at most; a task holds the flags of one block at a time.
 BLOCK_LINES = 50_000
 
 _INNER = r'(?:[^"]++|"")*+'
@@ -69,9 +69,12 @@ def _placed_lines(lines: DataFrame) -> DataFrame:
 
 def _blocks(placed: DataFrame) -> DataFrame:
     """For each block the state it starts in and the records begun before it."""
-    ends = placed.groupBy("asset_id", "block").agg(
-        F.max_by(F.struct(_after("0").alias("from0"), _after("1").alias("from1")), "at").alias("_end"), F.max("n0").alias("n0"), F.max("n1").alias("n1"))
-    known = carried(ends.select("asset_id", "block", "_end.from0", "_end.from1", "n0", "n1"), ["asset_id"], "block")
+    # The last line's states as the two low bits behind its place: one number, which Spark combines without a sort.
+    last = F.col("at") * 4 + _after("0").cast("bigint") * 2 + _after("1").cast("bigint")
+    ends = placed.groupBy("asset_id", "block").agg(F.max(last).alias("_last"), F.max("n0").alias("n0"), F.max("n1").alias("n1"))
+    known = carried(ends.select(
+        "asset_id", "block", (F.col("_last").bitwiseAND(F.lit(2)) != 0).alias("from0"), (F.col("_last").bitwiseAND(F.lit(1)) != 0).alias("from1"),
+        "n0", "n1"), ["asset_id"], "block")
     earlier = Window.partitionBy("asset_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     begun = F.when(F.col("before0"), F.col("n1")).otherwise(F.col("n0"))
     return known.select("asset_id", "block", F.col("before0").alias("inside"), F.coalesce(F.sum(begun).over(earlier), F.lit(0)).alias("begun"))
@@ -80,13 +83,16 @@ def _blocks(placed: DataFrame) -> DataFrame:
 def raw_records(lines: DataFrame) -> DataFrame:
     """Records `(asset_id, number, record)` of lines `(asset_id, block, at, line)`, numbered from 1 in each asset.
 
-    Only flags of lines take part in the first pass. In the second each block is dealt out once;
-    records of one line stay where they are, others are put together by number. A quote that
-    never closes makes the rest of its file one record.
+    Lines are dealt out by block once and stored with what they are for either state of their
+    block; then a row for each block tells which of both holds. Records of one line stay where
+    they are, others are put together by number. A quote that never closes makes the rest of
+    its file one record.
     """
+    # Stored: a file read anew may be cut elsewhere.
+    placed = keep(_placed_lines(lines), "csv-lines")
     # Stored: one row a block.
-    blocks = keep(_blocks(_placed_lines(lines)), "csv-blocks")
-    met = _placed_lines(lines).join(blocks, ["asset_id", "block"])
+    blocks = keep(_blocks(placed), "csv-blocks")
+    met = placed.join(blocks, ["asset_id", "block"])
     inside = F.col("inside")
     state = met.select(
         "asset_id", "block", "at", "line", F.when(inside, F.col("before1")).otherwise(F.col("before0")).alias("before"),

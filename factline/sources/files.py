@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from factline.functions import text
 from factline.functions.canonical import canonical_row
+from factline.operators.delimited import BLOCK_LINES
 from factline.storage import keep
 
 #: Files of up to this length are hashed as one value.
@@ -146,15 +147,16 @@ def scan_assets(spark: SparkSession, path: str, glob: str | None = None, content
     return as_assets(_files(spark, path, glob).select("path", "length", "content", F.sha2("content", 256).alias("sha256")))
 
 
-def csv_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def csv_lines(spark: SparkSession, path: str, glob: str | None = None, block_lines: int = BLOCK_LINES) -> DataFrame:
     """Lines `(asset_id, block, at, line)` of text files, cut where Spark cuts them; the id is the file's path.
 
-    `block` is where a file's part starts and `at` the order of lines in it, whatever the task.
+    `block` is where a file's part starts and which `block_lines` lines of its task it holds, `at` the order of lines in it.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     found = (reader.option("pathGlobFilter", glob) if glob else reader).text(path)
-    return found.select(plain_path(F.col("_metadata.file_path")).alias("asset_id"), F.col("_metadata.file_block_start").alias("block"),
+    read = found.select(plain_path(F.col("_metadata.file_path")).alias("asset_id"), F.col("_metadata.file_block_start").alias("start"),
                         F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    return read.select("asset_id", F.struct("start", F.floor(F.col("at") / block_lines).alias("part")).alias("block"), "at", "line")
 
 
 def oversized_files(spark: SparkSession, path: str, max_bytes: int, glob: str | None = None) -> DataFrame:

@@ -65,6 +65,17 @@ def test_one_file_gives_many_tasks(spark, tmp_path):
     assert sorted((names[r[0]], *r[1:]) for r in got) == sorted(r for name, body in texts.items() for r in expected(name, body.lstrip("﻿")))
 
 
+def test_a_task_holds_few_lines_of_a_file_at_a_time(spark, tmp_path):
+    body = "item,value\n" + "".join(f'"part\n""{n}""",{n}\n\n' for n in range(400))
+    (tmp_path / "long.csv").write_text(body)
+    lines = files.csv_lines(spark, str(tmp_path), "*.csv", block_lines=9)
+    held = lines.groupBy("block").count()
+    assert held.agg(F.max("count")).first()[0] <= 9 and held.agg(F.sum("count")).first()[0] == 1201
+    named = spark.createDataFrame([("long",)], "asset_id string").crossJoin(lines.select("asset_id").distinct().withColumnRenamed("asset_id", "path"))
+    got = delimited.csv_records(lines, named)
+    assert sorted(repr(tuple(r)) for r in got.collect()) == sorted(repr(r) for r in expected("long", body))
+
+
 def test_states_of_lines(spark):
     def state(line, inside):
         reader = csv.reader(iter([('"' if inside else "") + line, "end"]))
