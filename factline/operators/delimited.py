@@ -116,19 +116,23 @@ def fields(record: Column) -> Column:
     return F.when(F.contains(record, F.lit('"')), F.transform(found, plain)).otherwise(F.split(record, ","))
 
 
-def _quote(names: Column, values: Column) -> Column:
+def _places(names: Column) -> Column:
+    """Each name once, as it stands in the quote, with the place of the last field of that name."""
+    return F.transform(F.array_distinct(names), lambda name: F.struct(
+        F.concat(text.json_string(name), F.lit(": ")).alias("name"),
+        (F.size(names) - F.array_position(F.reverse(names), name)).cast("int").alias("place")))
+
+
+def _quote(places: Column, width: Column, values: Column) -> Column:
     """The record as a JSON object with blanks after separators; a name that recurs keeps its last value.
 
-    Fields beyond the header stand as a list under `null`; those that are missing are null.
+    Fields beyond the header, of `width` names, stand as a list under `null`; those that are missing are null.
     """
-    at = F.transform(F.array_distinct(names), lambda name: F.struct(
-        name.alias("name"), (F.size(names) - F.array_position(F.reverse(names), name)).cast("int").alias("place")))
-    pairs = F.transform(at, lambda x: F.concat(
-        text.json_string(x["name"]), F.lit(": "), F.coalesce(text.json_string(F.get(values, x["place"])), F.lit("null"))))
-    beyond = F.slice(values, F.size(names) + 1, F.greatest(F.size(values) - F.size(names), F.lit(0)))
-    listed = F.concat(F.lit("null: ["), F.array_join(F.transform(beyond, text.json_string), ", "), F.lit("]"))
-    extra = F.when(F.size(values) > F.size(names), F.array(F.replace(listed, F.lit("null: ["), F.lit('"null": [')))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.lit("{"), F.array_join(F.concat(pairs, extra), ", "), F.lit("}"))
+    pairs = F.transform(places, lambda x: F.concat(x["name"], F.coalesce(text.json_string(F.get(values, x["place"])), F.lit("null"))))
+    beyond = F.slice(values, width + 1, F.greatest(F.size(values) - width, F.lit(0)))
+    listed = F.concat(F.lit('"null": ['), F.array_join(F.transform(beyond, text.json_string), ", "), F.lit("]"))
+    whole = F.when(F.size(values) > width, F.concat(pairs, F.array(listed))).otherwise(pairs)
+    return F.concat(F.lit("{"), F.array_join(whole, ", "), F.lit("}"))
 
 
 def csv_records(lines: DataFrame, assets: DataFrame | None = None) -> DataFrame:
@@ -137,23 +141,25 @@ def csv_records(lines: DataFrame, assets: DataFrame | None = None) -> DataFrame:
     `assets` maps the `asset_id` of the lines, such as a path, to the one to publish: `(path, asset_id)`.
     """
     raw = keep(raw_records(lines), "csv-records")
-    heads = raw.filter("number = 1").select(F.col("asset_id").alias("_of"), fields(text.strip_bom(F.col("record"))).alias("_names"))
+    heads = once(raw.filter("number = 1").select(F.col("asset_id").alias("_of"), "record"), _names=fields(text.strip_bom(F.col("record"))))
+    # What names alone tell is found once a file, not once a record.
+    last = {f"_{name}": F.size("_names") - F.array_position(F.reverse("_names"), name) for name in ("item", "value", "category")}
+    heads = heads.select("_of", F.size("_names").alias("_width"), _places(F.col("_names")).alias("_places"), *[
+        F.when(F.array_contains("_names", name[1:]), place).cast("int").alias(name) for name, place in last.items()])
     if assets is not None:
         known = assets.select(F.col("path").alias("_path"), F.col("asset_id").alias("_asset"))
-        heads = heads.join(known, F.col("_of") == F.col("_path")).select("_of", "_names", "_asset")
+        heads = heads.join(known, F.col("_of") == F.col("_path")).select(*heads.columns, "_asset")
     else:
         heads = heads.withColumn("_asset", F.col("_of"))
     # One row a file: Spark deals records anew only where these are many.
     met = raw.filter("number > 1").join(keep(heads, "csv-heads"), F.col("asset_id") == F.col("_of"))
-    split = once(met.select("_asset", "number", "_names", "record"), _values=fields(F.col("record")))
-    names, values = F.col("_names"), F.col("_values")
+    split = once(met.select("_asset", "number", "_width", "_places", "_item", "_value", "_category", "record"), _values=fields(F.col("record")))
 
     def named(name: str) -> Column:
-        place = F.array_position(F.reverse(names), name)
-        return F.when(place > 0, F.get(values, (F.size(names) - place).cast("int")))
+        return F.get("_values", F.col(f"_{name}"))
 
     return split.select(
         F.col("_asset").alias("asset_id"), F.col("number").cast("string").alias("key"),
         F.concat(F.lit('{"row":'), F.col("number").cast("string"), F.lit("}")).alias("locator_json"),
-        _quote(names, values).alias("quote"), named("item").alias("item"), text.float_or_null(named("value")).alias("value"),
+        _quote(F.col("_places"), F.col("_width"), F.col("_values")).alias("quote"), named("item").alias("item"), text.float_or_null(named("value")).alias("value"),
         text.blank_to_null(named("category")).alias("category"))

@@ -123,6 +123,8 @@ def ingest_documents(
     caller's. With a model every document is read by it, and its output is not guaranteed to
     repeat, but a reply once given is kept under `root` and not asked for again. Any asset, reply or row that breaks a rule stops the run, and nothing is published.
     """
+    # Stored: files are read several times over, and listing and opening many small ones costs more than their bytes.
+    assets = keep(assets, "assets")
     inputs = {"assets": assets} if pages is None else {"assets": assets, "pages": pages}
     params = {"multiplier": multiplier, **({"model_alias": model.alias, "prompt": prompt} if model else {})}
     spec = document_spec(model, prompt, multiplier, f"{root}/replies")

@@ -90,3 +90,15 @@ def test_other_model_settings_are_another_run(spark, pages, tmp_path):
                     Model("m", "p", reader(1), max_tokens=9)):
         again = run(changed)
         assert not again["reused"] and again["artifact_id"] != first["artifact_id"]
+
+
+def test_assets_are_read_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(media_type):
+        read.add(1)
+        return media_type
+
+    counting = assets(spark, *[(f"csv{i}", *CSV[1:]) for i in range(5)]).withColumn("media_type", F.udf(counted)("media_type"))
+    result = ingest_documents(spark, counting, str(tmp_path), "s")
+    assert read.value == 5 and result["tables"]["facts"].count() == 10
