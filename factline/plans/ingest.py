@@ -15,6 +15,7 @@ from factline.operators.compare import duplicate_keys
 from factline.operators.code import code_digest, identity, library_digest
 from factline.operators.versions import recipe_hash, table_digest
 from factline.sources import artifacts
+from factline.storage import keep
 
 Step = str | Callable[[SparkSession, dict], DataFrame]
 
@@ -91,6 +92,9 @@ def _published(spark: SparkSession, spec: PipelineSpec, inputs: dict, params: di
                key: str) -> dict:
     """Run the steps and publish what they made; gives the manifest."""
     tables = {**inputs, "run_params": params_table(spark, params)}
+    if asset_table in inputs:
+        # Stored: read by steps and checks, and joined by its real size, which hashes as ids make far larger than Spark's guess.
+        tables[asset_table] = keep(inputs[asset_table], "assets")
     for name, step in spec.steps:
         tables[name] = sql_step(spark, step, tables) if isinstance(step, str) else step(spark, tables)
     outputs = {logical: tables[name] for logical, name in spec.outputs.items()}

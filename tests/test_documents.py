@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from factline.operators import publish
 from factline.operators.checks import ContractError
+from factline.plans import ingest
 from factline.plans.documents import Model, ingest_documents
 from factline.sources import artifacts
 
@@ -102,3 +103,15 @@ def test_assets_are_read_once(spark, tmp_path):
     counting = assets(spark, *[(f"csv{i}", *CSV[1:]) for i in range(5)]).withColumn("media_type", F.udf(counted)("media_type"))
     result = ingest_documents(spark, counting, str(tmp_path), "s")
     assert read.value == 5 and result["tables"]["facts"].count() == 10
+
+
+def test_the_asset_table_of_a_run_is_stored(spark, tmp_path):
+    """Ids that are hashes are joined by their size in files, not by a guess of their length."""
+    loaded = spark.range(3).select(F.sha2(F.col("id").cast("string"), 256).alias("asset_id"))
+
+    def step(spark, tables):
+        return spark.range(1).select(F.lit(len(tables["input_files"].inputFiles())).alias("files"))
+
+    spec = ingest.PipelineSpec(id="stored", version="1", steps=[("plain", step)], outputs={"plain": "plain"})
+    made = ingest.run(spark, spec, {"input_files": loaded}, {}, str(tmp_path), "s")
+    assert made["tables"]["plain"].first()["files"] > 0
