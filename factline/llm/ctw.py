@@ -54,9 +54,23 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return series - np.log(shift)
 
 
+#: log_gamma of small counts and a half, and of small counts and one: nearly all counts are small.
+_SMALL = 1 << 12
+_TABLES = {plus: log_gamma(np.arange(_SMALL) + plus) for plus in (0.5, 1.0)}
+
+
+def _log_gamma_of(counts: np.ndarray, plus: float) -> np.ndarray:
+    """log_gamma(counts + plus) of whole numbers."""
+    small = counts < _SMALL
+    found = _TABLES[plus][np.where(small, counts, 0).astype(np.intp)]
+    if not small.all():
+        found[~small] = log_gamma(counts[~small] + plus)
+    return found
+
+
 def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Natural logarithm of the Krichevsky-Trofimov probability of any sequence with these counts."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - np.log(np.pi) - log_gamma(zeros + ones + 1.0)
+    return _log_gamma_of(zeros, 0.5) + _log_gamma_of(ones, 0.5) - np.log(np.pi) - _log_gamma_of(zeros + ones, 1.0)
 
 
 def strings_of(texts: np.ndarray, offsets: np.ndarray) -> np.ndarray:

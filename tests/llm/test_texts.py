@@ -2,6 +2,7 @@ import random
 import sys
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
@@ -245,3 +246,13 @@ def test_mix_of_odd_tables(spark):
     assert sorted((r["size"] or 0, r["target"]) for r in rows) == [(0, 0.0), (0, 0.0), (4, 8.0), (4, 8.0)]
     nothing = mixing.mix(spark.createDataFrame([(1, "s", 0, "x")], schema)).first()
     assert nothing["target"] == 0
+
+
+def test_small_counts_take_no_logarithm(monkeypatch):
+    zeros, ones = np.array([0.0, 1, 4095, 4096, 7e6, 3]), np.array([0.0, 5, 1, 4095, 2, 4e6])
+    plain = ctw.log_gamma(zeros + 0.5) + ctw.log_gamma(ones + 0.5) - np.log(np.pi) - ctw.log_gamma(zeros + ones + 1.0)
+    assert np.array_equal(ctw.log_estimate(zeros, ones), plain)
+    asked = []
+    monkeypatch.setattr(ctw, "log_gamma", lambda x: asked.extend(x) or x)
+    ctw.log_estimate(zeros[:2], ones[:2])
+    assert not asked
