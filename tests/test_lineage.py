@@ -1,12 +1,15 @@
 """Closures of edges against a search by hand, and what a workspace records."""
 
 import random
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from factline.operators import lineage
 from factline.plans.ingest import PipelineSpec
 from factline.plans.workspace import Workspace
+from factline.storage import work_folder
 
 COPY = PipelineSpec(id="copy", version="1", steps=[("facts", "SELECT item, value FROM {t}")], outputs={"totals": "facts"})
 
@@ -44,6 +47,39 @@ def test_chain_of_thirty_and_nothing_at_all(spark):
     assert closure(spark, [], ["a"]) == [] and closure(spark, chain, []) == []
 
 
+def chained(rng, name):
+    """Edges of chains that cross, merge, turn back and close to rings, most nodes having one edge onwards."""
+    nodes = [f"{name}{i}" for i in range(24)]
+    edges = [(a, b) for a, b in zip(nodes, nodes[1:]) if rng.random() < 0.9]
+    edges += [(rng.choice(nodes), rng.choice(nodes)) for _ in range(rng.randrange(8))]
+    ring = [f"{name}r{i}" for i in range(rng.randrange(1, 7))]
+    return edges + [*zip(ring, ring[1:] + ring[:1]), (rng.choice(nodes), ring[0])], rng.sample(nodes, 3) + [ring[-1]]
+
+
+@pytest.mark.parametrize("segment, up", [(1, False), (3, False), (3, True), (1024, False), (1024, True)])
+def test_crossing_chains_equal_a_search(spark, monkeypatch, segment, up):
+    monkeypatch.setattr(lineage, "SEGMENT", segment)
+    graphs = [chained(random.Random(seed), f"g{seed}.") for seed in range(40)]
+    edges, starts = ([x for graph in graphs for x in graph[i]] for i in (0, 1))
+    got = closure(spark, edges, starts, up)
+    assert len(got) == len(set(got))
+    assert set(got) == {row for edges, starts in graphs for row in searched(edges, starts, up)}
+
+
+def test_rounds_do_not_grow_with_the_length_of_a_chain(spark):
+    rounds = lambda: set(Path(work_folder(spark).removeprefix("file:")).glob("lineage*/*=*"))
+    before = rounds()
+    assert len(closure(spark, [(f"n{i}", f"n{i + 1}") for i in range(60)], ["n0"])) == 60
+    assert 0 < len(rounds() - before) < 20
+
+
+def test_names_of_one_hash_are_told_apart(spark, monkeypatch):
+    hashed = lineage._number
+    monkeypatch.setattr(lineage, "_number", lambda name, salt: F.pmod(hashed(name, salt), F.lit(2)) if salt < 2 else hashed(name, salt))
+    edges = [("a", "b"), ("b", "c"), ("x", "y"), ("c", "d"), ("c", "e")]
+    assert set(closure(spark, edges, ["a", "gone"])) == searched(edges, ["a", "gone"])
+
+
 def test_operations_recorded_again_replace_their_edges(spark, tmp_path):
     folder = str(tmp_path / "edges")
     assert lineage.recorded(spark, folder).count() == 0
