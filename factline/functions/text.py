@@ -115,6 +115,7 @@ def number_or_null(text: Column) -> Column:
 
 # How a number may be written in Python source, blanks around it allowed.
 _DIGITS = r"\p{Nd}+(?:_\p{Nd}+)*"
+SIMPLE_FLOAT = r"\A-?[0-9]{1,15}(?:\.[0-9]{1,15})?\z"
 FLOAT = rf"(?i)\A[{SPACE}]*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?(?:e[+-]?{_DIGITS})?|\.{_DIGITS}(?:e[+-]?{_DIGITS})?|inf(?:inity)?|nan)[{SPACE}]*\z"
 
 
@@ -124,7 +125,8 @@ def float_or_null(text: Column) -> Column:
     bare = F.regexp_replace(text, rf"[{SPACE}_]", "")
     number = F.when(bare.rlike(r"[^\x00-\x7f]"), F.translate(bare, foreign, ascii_digits)).otherwise(bare).cast("double")
     wrong = F.raise_error(F.concat(F.lit("could not convert string to float: "), text)).cast("double")
-    return F.when(text.isNull() | (text == ""), None).when(text.rlike(FLOAT), number).otherwise(wrong)
+    # The usual form needs none of the rewriting.
+    return F.when(text.isNull() | (text == ""), None).when(text.rlike(SIMPLE_FLOAT), text.cast("double")).when(text.rlike(FLOAT), number).otherwise(wrong)
 
 
 # The short escapes of JSON strings.

@@ -9,6 +9,8 @@ know their state and record number without a task having seen the file before th
 The rules are those of the usual dialect: comma, double quotes, a doubled quote inside quotes;
 a quote only opens at the start of a field, and text after a closing quote is taken literally.
 Blank lines outside quotes are no records. The first record names the fields.
+
+Short texts without quotes need none of this: each of their lines is a record, and is read where it lies.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from factline.storage import keep
 
 #: Lines that make one block at most; a task holds the flags of one block at a time.
 BLOCK_LINES = 50_000
+#: Bytes of a text without quotes that is read where it lies; the lines of a longer one go over tasks.
+PLAIN_BYTES = 1 << 20
 
 _INNER = r'(?:[^"]++|"")*+'
 _FIELDS = rf'(?:(?:"{_INNER}"[^,]*+|[^",][^,]*+|),)*+'
@@ -30,6 +34,8 @@ OPENS = rf'\A{_FIELDS}"{_INNER}\z'
 #: A line from inside quotes that ends inside them: the quotes stay open, or others do later.
 STAYS = rf'\A{_INNER}(?:"[^,]*+,{_FIELDS}"{_INNER})?+\z'
 FIELD = rf',("{_INNER}"?+[^,]*+|[^,]*+)'
+#: What JSON escapes, quotes and newlines aside.
+_ESCAPED = r"[\x00-\x09\x0b-\x1f\\]"
 
 
 def lines_of_text(documents: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
@@ -135,17 +141,35 @@ def _quote(places: Column, width: Column, values: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(whole, ", "), F.lit("}"))
 
 
+def _heads(first: DataFrame, names: Column) -> DataFrame:
+    """What names alone tell, found once a file, not once a record: their number, and the places of those asked for."""
+    named = once(first, _names=names)
+    last = {f"_{name}": F.size("_names") - F.array_position(F.reverse("_names"), name) for name in ("item", "value", "category")}
+    return named.select(*first.columns, F.size("_names").alias("_width"), _places(F.col("_names")).alias("_places"), *[
+        F.when(F.array_contains("_names", name[1:]), place).cast("int").alias(name) for name, place in last.items()])
+
+
+def _published(split: DataFrame, quote: Column) -> DataFrame:
+    """Evidence and observation columns of records `(_asset, number, _values)` with the places of their names."""
+
+    def named(name: str) -> Column:
+        return F.get("_values", F.col(f"_{name}"))
+
+    return split.select(
+        F.col("_asset").alias("asset_id"), F.col("number").cast("string").alias("key"),
+        F.concat(F.lit('{"row":'), F.col("number").cast("string"), F.lit("}")).alias("locator_json"),
+        quote.alias("quote"), named("item").alias("item"), text.float_or_null(named("value")).alias("value"),
+        text.blank_to_null(named("category")).alias("category"))
+
+
 def csv_records(lines: DataFrame, assets: DataFrame | None = None) -> DataFrame:
     """Records of CSV lines as evidence and observation columns, keyed by record number from 2.
 
     `assets` maps the `asset_id` of the lines, such as a path, to the one to publish: `(path, asset_id)`.
     """
     raw = keep(raw_records(lines), "csv-records")
-    heads = once(raw.filter("number = 1").select(F.col("asset_id").alias("_of"), "record"), _names=fields(text.strip_bom(F.col("record"))))
-    # What names alone tell is found once a file, not once a record.
-    last = {f"_{name}": F.size("_names") - F.array_position(F.reverse("_names"), name) for name in ("item", "value", "category")}
-    heads = heads.select("_of", F.size("_names").alias("_width"), _places(F.col("_names")).alias("_places"), *[
-        F.when(F.array_contains("_names", name[1:]), place).cast("int").alias(name) for name, place in last.items()])
+    first = raw.filter("number = 1").select(F.col("asset_id").alias("_of"), "record")
+    heads = _heads(first, fields(text.strip_bom(F.col("record")))).drop("record")
     if assets is not None:
         known = assets.select(F.col("path").alias("_path"), F.col("asset_id").alias("_asset"))
         heads = heads.join(known, F.col("_of") == F.col("_path")).select(*heads.columns, "_asset")
@@ -154,12 +178,31 @@ def csv_records(lines: DataFrame, assets: DataFrame | None = None) -> DataFrame:
     # One row a file: Spark deals records anew only where these are many.
     met = raw.filter("number > 1").join(keep(heads, "csv-heads"), F.col("asset_id") == F.col("_of"))
     split = once(met.select("_asset", "number", "_width", "_places", "_item", "_value", "_category", "record"), _values=fields(F.col("record")))
+    return _published(split, _quote(F.col("_places"), F.col("_width"), F.col("_values")))
 
-    def named(name: str) -> Column:
-        return F.get("_values", F.col(f"_{name}"))
 
-    return split.select(
-        F.col("_asset").alias("asset_id"), F.col("number").cast("string").alias("key"),
-        F.concat(F.lit('{"row":'), F.col("number").cast("string"), F.lit("}")).alias("locator_json"),
-        _quote(F.col("_places"), F.col("_width"), F.col("_values")).alias("quote"), named("item").alias("item"), text.float_or_null(named("value")).alias("value"),
-        text.blank_to_null(named("category")).alias("category"))
+def is_plain(body: Column) -> Column:
+    """Whether a text is short and without quotes."""
+    return F.coalesce((F.octet_length(body) <= PLAIN_BYTES) & ~F.contains(body, F.lit('"')), F.lit(False))
+
+
+def plain_records(documents: DataFrame) -> DataFrame:
+    """Records of `(asset_id, markdown)` texts that are plain: those of `csv_records`, without a shuffle or a stored table.
+
+    No quote opens, so lines have no states: the number of a record is its place among the lines
+    that are not blank, and the names lie in the row of the text.
+    """
+    cut = once(documents.filter(F.col("asset_id").isNotNull()).select(F.col("asset_id").alias("_asset"), "markdown"),
+               _lines=F.array_remove(F.split("markdown", "\n"), ""))
+    named = once(cut.filter(F.size("_lines") > 1), _first=F.split(text.strip_bom(F.get("_lines", F.lit(0))), ","))
+    # The usual record has a value for each name, once, and nothing that JSON escapes: names and values alternate.
+    usual = (F.size(F.array_distinct("_first")) == F.size("_first")) & ~F.col("markdown").rlike(_ESCAPED)
+    openings = F.when(usual, F.transform("_first", lambda name: F.concat(F.lit('"'), name, F.lit('": "'))))
+    heads = _heads(named.select("_asset", "_lines", "_first", openings.alias("_openings")), F.col("_first"))
+    each = heads.select(
+        "_asset", "_width", "_places", "_item", "_value", "_category", "_openings", F.posexplode("_lines").alias("_at", "_line")).filter("_at > 0")
+    split = once(each.withColumn("number", F.col("_at") + 1), _values=F.split("_line", ","))
+    pairs = F.array_join(F.zip_with("_openings", "_values", lambda opening, value: F.concat(opening, value)), '", ')
+    quote = F.when(F.col("_openings").isNotNull() & (F.size("_values") == F.col("_width")), F.concat(F.lit("{"), pairs, F.lit('"}'))).otherwise(
+        _quote(F.col("_places"), F.col("_width"), F.col("_values")))
+    return _published(split, quote)

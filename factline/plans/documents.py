@@ -15,6 +15,9 @@ from factline.operators.compare import duplicate_keys
 from factline.plans import ingest
 from factline.storage import fresh_path, keep
 
+#: Tasks that store the assets at most, or eight for each core where those are more.
+STORE_TASKS = 64
+
 
 @dataclass(frozen=True)
 class Model:
@@ -124,7 +127,8 @@ def ingest_documents(
     repeat, but a reply once given is kept under `root` and not asked for again. Any asset, reply or row that breaks a rule stops the run, and nothing is published.
     """
     # Stored: files are read several times over, and listing and opening many small ones costs more than their bytes.
-    assets = keep(assets, "assets")
+    # Spark reads a few small files a task, each of which would store a small file in turn.
+    assets = keep(assets.coalesce(max(STORE_TASKS, 8 * spark.sparkContext.defaultParallelism)), "assets")
     inputs = {"assets": assets} if pages is None else {"assets": assets, "pages": pages}
     params = {"multiplier": multiplier, **({"model_alias": model.alias, "prompt": prompt} if model else {})}
     spec = document_spec(model, prompt, multiplier, f"{root}/replies")

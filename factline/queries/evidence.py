@@ -204,14 +204,17 @@ CSV_QUOTE = r"""concat('{"item": "', replace(replace(item, '"', '\"'), chr(10),
          '", "category": "', coalesce(category, ''), '"}')"""
 
 
-def written_csv(spark, sf_dir, folder: str, item: str) -> str:
-    """Lines as one CSV file for each value of a column, in order."""
-    rows = on_tables(spark, sf_dir, f"""
+def csv_rows(spark, sf_dir, folder: str, item: str) -> DataFrame:
+    return on_tables(spark, sf_dir, f"""
       SELECT {item} AS item, l_quantity AS value, nullif(l_returnflag, 'N') AS category, {folder} AS folder, {", ".join(ORDER)}
       FROM {{lineitem}}""")
+
+
+def written_csv(spark, sf_dir, folder: str, item: str) -> str:
+    """Lines as one CSV file for each value of a column, in order."""
     path = fresh_path(spark, "csv-documents")
-    (rows.repartition("folder").sortWithinPartitions("folder", *ORDER).select("item", "value", "category", "folder")
-     .write.partitionBy("folder").option("header", "true").option("escape", '"').csv(path))
+    (csv_rows(spark, sf_dir, folder, item).repartition("folder").sortWithinPartitions("folder", *ORDER)
+     .select("item", "value", "category", "folder").write.partitionBy("folder").option("header", "true").option("escape", '"').csv(path))
     return path
 
 
@@ -233,10 +236,12 @@ INGESTED = f"""
 
 def ingested(spark, sf_dir) -> dict:
     """CSV files and paged conversations through the whole ingest; conversations hold no observations."""
-    path = written_csv(spark, sf_dir, "l_suppkey", "concat('part-', l_partkey)")
+    path = fresh_path(spark, "csv-documents")
+    files.write_csv_each(csv_rows(spark, sf_dir, "l_suppkey", "concat('part-', l_partkey)"), "folder", ORDER, ["item", "value", "category"], path)
+    supplier = F.regexp_extract("path", "folder=([^/.]*)", 1)
     written = files.scan_assets(spark, path, "*.csv", content=True).select(
-        F.concat(F.lit("supplier-"), F.regexp_extract("path", "folder=([^/]*)/", 1)).alias("asset_id"), "media_type",
-        F.concat(F.lit("supplier "), F.regexp_extract("path", "folder=([^/]*)/", 1), F.lit(".csv")).alias("original_name"), "content")
+        F.concat(F.lit("supplier-"), supplier).alias("asset_id"), "media_type",
+        F.concat(F.lit("supplier "), supplier, F.lit(".csv")).alias("original_name"), "content")
     paged = on_tables(spark, sf_dir, """
       SELECT DISTINCT concat('conversation-', conv_id) AS asset_id, 'application/pdf' AS media_type,
              concat('conversation ', conv_id) AS original_name, CAST('' AS BINARY) AS content FROM {conversations}""")

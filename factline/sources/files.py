@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,10 @@ from factline.functions.canonical import canonical_row
 from factline.operators.delimited import BLOCK_LINES
 from factline.storage import keep
 
+#: Folders that small files are spread over: enough for Spark to list them in tasks, whatever the number of files.
+FOLDERS = 64
+#: What Spark's writers call the folder of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 #: Files of up to this length are hashed as one value.
 CELL_BYTES = 64 << 20
 MARK = b"\xef\xbb\xbf"
@@ -194,3 +201,57 @@ def load_table(spark: SparkSession, path: str, kind: str | None = None, schema:
 def write_jsonl(df: DataFrame, path: str) -> None:
     """Rows as canonical JSON lines: sorted keys, nulls kept, hex bytes, other types as text."""
     df.select(canonical_row(df.schema).alias("value")).write.text(path)
+
+
+def _local_folder(spark: SparkSession, path: str) -> str | None:
+    """The path as the operating system names it; null where it lies in another kind of store."""
+    scheme = re.match("([a-zA-Z][^:/]*):", path) or re.match("([a-zA-Z][^:/]*):", spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "")
+    return os.path.abspath(re.sub("^file:(?://[^/]*)?", "", path)) if scheme is None or scheme[1] == "file" else None
+
+
+def write_csv_each(rows: DataFrame, by: str, order: list[str], columns: list[str], path: str) -> None:
+    """One CSV file with a header for each value of `by`, its rows in order; the path of a file holds `<by>=<value>`.
+
+    Rows are sorted and formatted by Spark. For a folder of the file system, tasks write the
+    files themselves: Spark's writer starts two processes for each file there, to set its mode
+    and that of its checksum, and makes a folder for each, which is then listed by a task of its
+    own. Files are many to a folder here. Other stores get Spark's writer.
+    """
+    spark = rows.sparkSession
+    ordered = rows.repartition(by).sortWithinPartitions(by, *order)
+    folder = _local_folder(spark, path)
+    if folder is None:
+        ordered.select(*columns, by).write.partitionBy(by).option("header", "true").option("escape", '"').csv(path)
+        return
+    head = (",".join(columns) + "\n").encode()
+    name = F.concat(
+        F.pmod(F.xxhash64(by), F.lit(FOLDERS)).cast("string"), F.lit(f"/{by}="), F.coalesce(F.col(by).cast("string"), F.lit(NO_VALUE)), F.lit(".csv"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, file, hidden, made = None, None, None, 0
+
+        def ended() -> None:
+            file.close()
+            os.replace(hidden, f"{folder}/{current}")  # whole at once, also if a task is tried again
+
+        for batch in batches:
+            runs = pc.run_end_encode(batch.column("name"))
+            stops = runs.run_ends.to_pylist()
+            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, *stops], pa.int32()), batch.column("line")), "\n")
+            for found, text_ in zip(runs.values.to_pylist(), texts):
+                if found != current:
+                    if current is not None:
+                        ended()
+                    current, hidden, made = found, f"{folder}/{os.path.dirname(found)}/.{uuid4().hex}", made + 1
+                    os.makedirs(os.path.dirname(hidden), exist_ok=True)
+                    file = open(hidden, "wb")
+                    file.write(head)
+                file.write(text_.as_buffer())
+                file.write(b"\n")
+        if current is not None:
+            ended()
+        yield pa.record_batch([[made]], ["files"])
+
+    lines = ordered.select(name.alias("name"), F.to_csv(F.struct(*columns), {"escape": '"'}).alias("line"))
+    os.makedirs(folder, exist_ok=True)
+    lines.mapInArrow(run, "files bigint").write.format("noop").mode("overwrite").save()

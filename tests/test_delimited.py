@@ -9,7 +9,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from factline.operators import delimited
+from factline.operators import delimited, observations
 from factline.sources import files
 
 COLUMNS = ["asset_id", "key", "locator_json", "quote", "item", "value", "category"]
@@ -101,3 +101,30 @@ def test_what_python_refuses_fails(spark, bad):
     documents = spark.createDataFrame([("a", f"item,value\nA,{bad}\n")], "asset_id string, markdown string")
     with pytest.raises(Exception, match="could not convert"):
         delimited.csv_records(delimited.lines_of_text(documents)).collect()
+
+
+def test_short_texts_without_quotes_are_read_where_they_lie(spark):
+    rng = random.Random(10)
+    pieces = [p for p in PIECES if '"' not in p] + ["$1", "\\$", "a,b,c\n", "x,2,y\n"]
+    heads = ["item,note,category\n", "\n\nitem,category\n", "item,item,category\n", "no$te,item,x\\y\n", "category\n", ",item\n", "\ufeffitem,note\n", ""]
+    texts = {f"t{i}": heads[i % len(heads)] + "".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))) for i in range(400)}
+    texts |= {"numbers": "value\n1\n-0\n-2.5e3\n 1_0 \nnan\n.5\n٣\n00012.50\n123456789012345678901\n", "quoted": 'item,value\n"a\nb",1\nc,2\n'}
+    documents = spark.createDataFrame([*texts.items(), (None, "item\na\n"), ("no text", None)], "asset_id string, markdown string")
+    plain = documents.filter(delimited.is_plain(F.col("markdown")))
+    assert plain.count() == len(texts)
+    assert "Exchange" not in delimited.plain_records(plain)._jdf.queryExecution().toString()
+    got = observations.csv_records(documents)
+    assert got.columns == COLUMNS
+    # Blank lines before the names are passed over here, not by Python.
+    want = [r for a, t in texts.items() for r in expected(a, t.removeprefix("\ufeff").lstrip("\n"))]
+    found = sorted(repr(tuple(r)) for r in got.collect())
+    assert found == sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in delimited.csv_records(delimited.lines_of_text(documents)).collect())
+
+
+def test_long_texts_go_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(delimited, "PLAIN_BYTES", 30)
+    texts = {"short": "item,value\na,1\n", "long": "item,value\n" + "b,2\n" * 40}
+    documents = spark.createDataFrame(list(texts.items()), "asset_id string, markdown string")
+    assert [r["asset_id"] for r in documents.filter(delimited.is_plain(F.col("markdown"))).collect()] == ["short"]
+    got = observations.csv_records(documents, batch=7).collect()
+    assert sorted(repr(tuple(r)) for r in got) == sorted(repr(r) for a, t in texts.items() for r in expected(a, t))

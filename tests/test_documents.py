@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -6,9 +7,10 @@ from pyspark.sql import functions as F
 
 from factline.operators import publish
 from factline.operators.checks import ContractError
-from factline.plans import ingest
+from factline.plans import documents, ingest
 from factline.plans.documents import Model, ingest_documents
 from factline.sources import artifacts
+from factline.storage import work_folder
 
 ASSETS = "asset_id string, media_type string, original_name string, content binary"
 PNG = bytes.fromhex("89504e470d0a1a0a") + bytes(8)
@@ -115,3 +117,12 @@ def test_the_asset_table_of_a_run_is_stored(spark, tmp_path):
     spec = ingest.PipelineSpec(id="stored", version="1", steps=[("plain", step)], outputs={"plain": "plain"})
     made = ingest.run(spark, spec, {"input_files": loaded}, {}, str(tmp_path), "s")
     assert made["tables"]["plain"].first()["files"] > 0
+
+
+def test_many_small_assets_are_stored_in_few_files(spark, tmp_path):
+    folder = Path(work_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("assets-*"))
+    many = assets(spark, *[(f"csv{i}", *CSV[1:]) for i in range(300)]).repartition(200)
+    assert ingest_documents(spark, many, str(tmp_path), "s")["tables"]["facts"].count() == 600
+    stored, = set(folder.glob("assets-*")) - before
+    assert len(list(stored.glob("*.parquet"))) <= max(documents.STORE_TASKS, 8 * spark.sparkContext.defaultParallelism)

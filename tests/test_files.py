@@ -63,3 +63,25 @@ def test_only_what_changed_is_read_again(spark, tmp_path):
     os.utime(tmp_path / "touched.txt", (11, 11))
     again = files.rescan(spark, kept, files.list_files(spark, str(tmp_path)))
     assert rows(again.groupBy("status").count()) == [("touched", 1), ("unchanged", 4)]
+
+
+def test_one_csv_file_for_each_value(spark, tmp_path, monkeypatch):
+    """The bytes are those of Spark's writer; folders are few however many files there are."""
+    odd = [('a"b', 1.0, None), ("x,y\nz", 2.5, "é"), ("", float("nan"), ""), (None, None, " s "), ("\\", 1e20, 'q\\"')]
+    made = [(k, n, *odd[(k + n) % 5]) for k in range(-3, 120) for n in range(6)] + [(500, n, *odd[n % 5]) for n in range(25_000)] + [(None, 0, *odd[0])]
+    rows_ = spark.createDataFrame(made, "by bigint, n int, item string, value double, category string").repartition(7)
+
+    def written(name):
+        files.write_csv_each(rows_, "by", ["n"], ["item", "value", "category"], f"{tmp_path}/{name}")
+        found = files._files(spark, f"{tmp_path}/{name}", "*.csv").select(F.regexp_extract("path", "by=([^/.]*)", 1), "content").collect()
+        return [(r[0], bytes(r[1])) for r in found]
+
+    got = written("here é%20")
+    assert len(list((tmp_path / "here é%20").rglob("*"))) <= len(got) + files.FOLDERS
+    monkeypatch.setattr(files, "_local_folder", lambda spark, path: None)
+    assert len(got) == 125 and sorted(got) == sorted(written("there"))
+
+
+def test_folders_of_the_file_system(spark):
+    got = [files._local_folder(spark, p) for p in ("/a b/%20", "file:/a b", "file:///a#b", "s3a://bucket/a", "hdfs://host:1/a")]
+    assert got == ["/a b/%20", "/a b", "/a#b", None, None]
